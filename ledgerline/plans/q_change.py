@@ -56,12 +56,13 @@ def cust_today_sql(day: int) -> str:
             f"{sql_dedupe(f'v_cust_d{day}', ['customer_id'], 'last_updated_dt DESC NULLS LAST', CUST_RAW)})")
 
 
-def cust_hist_ctes(upto: int, on_missing: str = "keep"):
-    ctes = [(f"t{d}", cust_today_sql(d)) for d in range(1, upto + 1)]
-    ctes.append(("h1", sql_scd2_initial("t1", CUST_OUT, CUST_TRACKED, RUN_TS[1])))
+def cust_hist_ctes(upto: int, on_missing: str = "keep", h: str = "h", with_today: bool = True):
+    """CTEs t1..t<upto> (deduped, projected snapshots) and h1..h<upto> (histories)."""
+    ctes = [(f"t{d}", cust_today_sql(d)) for d in range(1, upto + 1)] if with_today else []
+    ctes.append((f"{h}1", sql_scd2_initial("t1", CUST_OUT, CUST_TRACKED, RUN_TS[1])))
     for d in range(2, upto + 1):
-        ctes.append((f"h{d}", sql_scd2_step(f"h{d - 1}", f"t{d}", ["customer_id"], CUST_OUT[1:], CUST_TRACKED,
-                                            RUN_TS[d], on_missing)))
+        ctes.append((f"{h}{d}", sql_scd2_step(f"{h}{d - 1}", f"t{d}", ["customer_id"], CUST_OUT[1:], CUST_TRACKED,
+                                              RUN_TS[d], on_missing)))
     return ctes
 
 
