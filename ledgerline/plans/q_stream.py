@@ -1,5 +1,178 @@
-"""q_stream queries."""
+"""Stream queries, run on the batch twin of the feed.
+
+``v_raw_events`` is the Kafka feed as a table (offset, key, JSON value); the
+same operator functions run on a ``readStream`` of it in the tests. Times
+leave as TIMESTAMP_NTZ (UTC wall clock).
+"""
 
 from __future__ import annotations
 
-from ledgerline.plans.catalog import query  # noqa: F401
+from pyspark.sql import functions as F
+
+from ledgerline.plans.catalog import query
+from ledgerline.plans.fixtures import table, view, with_views
+from ledgerline.streaming import events as ev
+
+TOPIC = "clickstream_events"
+EPOCH_2024 = 1704067200  # fixed: 2024-01-01 00:00:00 UTC, base of the simulated ingest clock
+WATERMARK_SECONDS = 600  # fixed: 10 minutes, the reference's default watermark
+BAD_RATE_THRESHOLD = 0.02  # fixed: 2 %, the reference's default alert threshold
+BATCH_OFFSETS = 100  # offsets per simulated micro-batch
+
+
+def _ntz(c):
+    return F.col(c).cast("timestamp_ntz")
+
+
+def frames(spark, sf):
+    """The fixture feed shaped as Kafka frames (binary key/value)."""
+    r = view(spark, sf, "v_raw_events")
+    return r.select(F.col("msg_key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"),
+                    F.lit(TOPIC).alias("topic"), F.lit(0).alias("partition"), F.col("kafka_offset").alias("offset"),
+                    F.timestamp_seconds(F.lit(EPOCH_2024) + F.col("kafka_offset")).alias("timestamp"))
+
+
+def parsed(spark, sf):
+    return ev.parse_events(ev.envelope_project(frames(spark, sf)))
+
+
+def good(spark, sf):
+    return ev.good_events(parsed(spark, sf))
+
+
+# ------------------------------------------------------------------ oracle CTEs
+
+PARSE_SQL = """
+SELECT kafka_offset AS "offset", msg_key AS key, value, ok,
+       CASE WHEN ok THEN json_extract_string(value, '$.event_id') END AS event_id,
+       CASE WHEN ok THEN json_extract_string(value, '$.event_type') END AS event_type,
+       CASE WHEN ok THEN json_extract_string(value, '$.event_ts') END AS event_ts,
+       CASE WHEN ok THEN json_extract_string(value, '$.user_id') END AS user_id,
+       CASE WHEN ok THEN CAST(json_extract_string(value, '$.amount') AS DOUBLE) END AS amount,
+       CASE WHEN ok THEN json_extract_string(value, '$.page') END AS page,
+       CASE WHEN ok THEN json_extract_string(value, '$.device.os') END AS device_os,
+       CASE WHEN ok THEN json_extract_string(value, '$.device.app_ver') END AS device_app_ver,
+       CASE WHEN ok THEN TRY_CAST(replace(substr(json_extract_string(value, '$.event_ts'), 1, 19), 'T', ' ') AS TIMESTAMP) END AS event_time
+FROM (SELECT *, value IS NOT NULL AND json_valid(value) AS ok FROM v_raw_events)"""
+
+REASON_SQL = """
+SELECT *, CASE WHEN NOT ok THEN 'SCHEMA_PARSE_FAILED'
+               WHEN event_id IS NULL OR event_ts IS NULL THEN 'MISSING_REQUIRED'
+               WHEN event_time IS NULL THEN 'BAD_TIMESTAMP' END AS reason
+FROM p0"""
+
+GOOD_SQL = "SELECT * FROM pr WHERE reason IS NULL"
+FIRST_SQL = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY \"offset\") AS rn FROM good) WHERE rn = 1"
+
+STREAM_CTES = [("p0", PARSE_SQL), ("pr", REASON_SQL), ("good", GOOD_SQL), ("first", FIRST_SQL)]
+
+
+def stream_sql(body: str) -> str:
+    return with_views(body, ["v_raw_events"], STREAM_CTES)
+
+
+def _slot_sql(expr: str) -> str:
+    return f"TIMESTAMP '1970-01-01 00:00:00' + to_seconds(CAST(floor(epoch({expr}) / 600) * 600 AS BIGINT))"
+
+
+# ------------------------------------------------------------------ queries
+
+@query("envelope_project", with_views(f"""
+SELECT msg_key AS key, value, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(kafka_offset) AS kafka_ingest_ts,
+       '{TOPIC}' AS topic, 0 AS "partition", kafka_offset AS "offset" FROM v_raw_events""", ["v_raw_events"]))
+def envelope_project(spark, sf):
+    """Kafka frame -> text envelope."""
+    return ev.envelope_project(frames(spark, sf)).withColumn("kafka_ingest_ts", _ntz("kafka_ingest_ts"))
+
+
+@query("stream_parse", stream_sql("""
+SELECT "offset", key, event_id, event_type, user_id, amount, page, device_os, device_app_ver, event_time FROM good"""))
+def stream_parse(spark, sf):
+    """Good events, typed, from the JSON payload."""
+    g = good(spark, sf)
+    return g.select("offset", "key", "event_id", "event_type", "user_id", "amount", "page", "device_os",
+                    "device_app_ver", _ntz("event_time").alias("event_time"))
+
+
+@query("stream_dlq", stream_sql('SELECT "offset", key, value, reason FROM pr WHERE reason IS NOT NULL'))
+def stream_dlq(spark, sf):
+    """Dead-letter rows with a reason (broken JSON, missing id, bad time)."""
+    return ev.dead_letters(parsed(spark, sf)).select("offset", "key", "value", "reason")
+
+
+@query("struct_flatten", stream_sql('SELECT "offset", event_id, device_os, device_app_ver FROM good'))
+def struct_flatten(spark, sf):
+    """device{os, app_ver} -> device_os, device_app_ver."""
+    env = ev.envelope_project(frames(spark, sf))
+    p = ev.parse_events(env).where(F.col("reason").isNull())
+    flat = p.select("offset", F.col("json.event_id").alias("event_id"), F.col("json.device").alias("device"))
+    from ledgerline.operators.shape import flatten_struct
+    return flatten_struct(flat, "device")
+
+
+@query("stream_dedupe", stream_sql('SELECT "offset", event_id, event_type, event_time FROM first'))
+def stream_dedupe(spark, sf):
+    """T3 batch twin: first arrival per event id (re-sent copies dropped)."""
+    d = ev.first_arrival(good(spark, sf))
+    return d.select("offset", "event_id", "event_type", _ntz("event_time").alias("event_time"))
+
+
+@query("late_events", stream_sql(f"""
+SELECT "offset", event_id, event_time, watermark_ts FROM (
+  SELECT *, max(event_time) OVER (ORDER BY "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+            - INTERVAL {WATERMARK_SECONDS} SECOND AS watermark_ts FROM good)
+WHERE event_time < watermark_ts"""))
+def late_events(spark, sf):
+    """T4: rows a 10-minute watermark drops (older than the max seen minus the delay)."""
+    late = ev.late_events(good(spark, sf), "offset", "event_time", WATERMARK_SECONDS)
+    return late.select("offset", "event_id", _ntz("event_time").alias("event_time"), _ntz("watermark_ts").alias("watermark_ts"))
+
+
+@query("event_partitions", stream_sql("""
+SELECT "offset", event_id, strftime(event_time, '%Y-%m-%d') AS dt, strftime(event_time, '%H') AS hh FROM first"""))
+def event_partitions(spark, sf):
+    """Dt and hh partition values of deduplicated events."""
+    d = ev.event_partitions(ev.first_arrival(good(spark, sf)))
+    return d.select("offset", "event_id", F.date_format("dt", "yyyy-MM-dd").alias("dt"), "hh")
+
+
+@query("events_by_window", stream_sql("""
+SELECT date_trunc('hour', event_time) AS window_start, event_type, count(*) AS n_events,
+       CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount
+FROM first GROUP BY 1, 2"""))
+def events_by_window(spark, sf):
+    """Hourly event counts per type (tumbling windows)."""
+    c = ev.counts_by_window(ev.first_arrival(good(spark, sf)), "event_time", "1 hour")
+    return c.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "event_type", "n_events",
+                    F.col("total_amount").cast("double").alias("total_amount"))
+
+
+@query("alert_bad_rate", stream_sql(f"""
+SELECT * FROM (
+  SELECT "offset" // {BATCH_OFFSETS} AS batch_id, count(*) AS n_total,
+         CAST(sum(CASE WHEN reason IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_bad,
+         sum(CASE WHEN reason IS NOT NULL THEN 1 ELSE 0 END) / count(*) AS bad_rate, 'BAD_RATE' AS alert_type
+  FROM pr GROUP BY 1) WHERE bad_rate > {BAD_RATE_THRESHOLD}"""))
+def alert_bad_rate(spark, sf):
+    """Dead-letter share per micro-batch above 2 % -> alert row."""
+    p = parsed(spark, sf)
+    return ev.bad_rate_alerts(p, F.floor(F.col("offset") / BATCH_OFFSETS), BAD_RATE_THRESHOLD)
+
+
+@query("alert_zero_events", stream_sql(f"""
+SELECT slot_start, 'ZERO_EVENTS' AS alert_type FROM (
+  SELECT unnest(generate_series(lo, hi, INTERVAL 10 MINUTE)) AS slot_start
+  FROM (SELECT {_slot_sql('min(event_time)')} AS lo, {_slot_sql('max(event_time)')} AS hi FROM first))
+WHERE slot_start NOT IN (SELECT DISTINCT {_slot_sql('event_time')} FROM first)"""))
+def alert_zero_events(spark, sf):
+    """10-minute slots with no events between the first and last one."""
+    z = ev.zero_event_alerts(ev.first_arrival(good(spark, sf)), "event_time", 600)
+    return z.select(_ntz("slot_start").alias("slot_start"), "alert_type")
+
+
+@query("json_parse_events", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""")
+def json_parse_events(spark, sf):
+    """typed field out of the events' JSON props."""
+    e = table(spark, sf, "events").select("event_id", "props")
+    return ev.parse_props(e, "props", "k bigint").select("event_id", "k")
