@@ -143,10 +143,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def with_views(body: str, views=(), ctes=()) -> str:
+def with_views(body: str, views=(), ctes=(), recursive: bool = False) -> str:
     """DuckDB oracle text: fixture views (and extra named CTEs) as a WITH list."""
     parts = [f"{n} AS ({VIEWS[n][1].strip()})" for n in view_closure(views)]
     parts += [f"{n} AS ({q.strip()})" for n, q in ctes]
     if not parts:
         return body.strip()
-    return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n" + body.strip()

@@ -87,7 +87,8 @@ def lineage_from_spec(spec: Mapping) -> list[tuple[str, str, str]]:
     target = spec["target"].get("path") or spec.get("name")
     if "sources" in spec:
         for name, s in spec["sources"].items():
-            edges.append((s.get("path", name), name, "source"))
+            if s.get("path", name) != name:
+                edges.append((s.get("path", name), name, "source"))
         last = None
         for t in spec.get("transforms", []):
             edges.append((t["input"], t["name"], "transform"))
