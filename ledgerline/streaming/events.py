@@ -208,3 +208,24 @@ def zero_event_alerts(good: DataFrame, ts: str, slot_seconds: int = 600, partiti
              .select("slot_start"))
     seen = good.select(_floor_to(t, slot_seconds).alias("slot_start")).distinct()
     return slots.join(seen, "slot_start", "left_anti").withColumn("alert_type", F.lit("ZERO_EVENTS"))
+
+
+# ---------------------------------------------------------------- pipeline wiring
+
+def start_event_pipeline(frames: DataFrame, out_path: str, dlq_path: str, checkpoint_base: str,
+                         delay: str = "10 minutes", trigger: dict | None = None, alerts_path: str | None = None,
+                         on_metrics=None):
+    """Two streaming queries over one Kafka-frame stream, as in the reference:
+    parsed + deduplicated events to ``out_path`` (dt/hh partitions, written
+    per batch id) and dead letters to ``dlq_path``; each has its own
+    checkpoint. Returns ``(good_query, dlq_query)``."""
+    from ledgerline.sources.sinks import foreach_batch_writer, stream_to_files
+
+    trig = trigger or {"availableNow": True}
+    parsed = parse_events(envelope_project(frames))
+    good = event_partitions(dedupe_stream(good_events(parsed), delay=delay))
+    q_good = (good.writeStream.outputMode("append")
+              .foreachBatch(foreach_batch_writer(out_path, alerts_path=alerts_path, on_metrics=on_metrics))
+              .option("checkpointLocation", f"{checkpoint_base}/good").trigger(**trig).start())
+    q_dlq = stream_to_files(dead_letters(parsed), dlq_path, f"{checkpoint_base}/bad", trigger=trig)
+    return q_good, q_dlq
