@@ -10,6 +10,8 @@ gateway log lines. All of them scale with the underlying tables.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = (
@@ -123,15 +125,36 @@ def view_closure(names) -> list[str]:
     return out
 
 
+def _registry(spark: SparkSession) -> dict:
+    # name -> sf_dir it is registered for, kept on the session object so a
+    # query that asks for the same view again does not re-resolve its files.
+    reg = getattr(spark, "_ledgerline_views", None)
+    if reg is None:
+        reg = {}
+        spark._ledgerline_views = reg
+    return reg
+
+
+def _tables_of(sql: str) -> list[str]:
+    return [t for t in BASE_TABLES if re.search(rf"\b{t}\b", sql)]
+
+
 def register_tables(spark: SparkSession, sf_dir: str, tables=BASE_TABLES) -> None:
+    reg = _registry(spark)
     for t in tables:
-        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+        if reg.get(t) != sf_dir:
+            spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+            reg[t] = sf_dir
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=None) -> None:
-    register_tables(spark, sf_dir)
+    reg = _registry(spark)
     for n in view_closure(names or VIEWS.keys()):
+        if reg.get(n) == sf_dir:
+            continue
+        register_tables(spark, sf_dir, _tables_of(VIEWS[n][1]))
         spark.sql(VIEWS[n][1]).createOrReplaceTempView(n)
+        reg[n] = sf_dir
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

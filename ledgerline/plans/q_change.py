@@ -15,6 +15,7 @@ from ledgerline.plans.fixtures import table, view, with_views
 from ledgerline.plans.oracle_sql import (sql_dedupe, sql_hash, sql_hist_out, sql_net_ops, sql_scd2_initial,
                                          sql_scd2_step)
 from ledgerline.plans.spec import run_scd2_spec
+from ledgerline.session import cut_lineage
 
 RUN_TS = {1: "2019-01-01 00:00:00", 2: "2019-01-02 00:00:00", 3: "2019-01-03 00:00:00"}
 RUN_DT = {d: ts[:10] for d, ts in RUN_TS.items()}
@@ -43,10 +44,8 @@ def hist_out(h, cols):
 
 def cust_history(spark, sf, upto: int, on_missing: str = "keep"):
     """Customer dimension after applying snapshots 1..upto (B2 per day)."""
-    h = jobs.scd2_load(None, view(spark, sf, "v_cust_d1"), S.DIM_CUSTOMER_CFG, RUN_TS[1])
-    for d in range(2, upto + 1):
-        h = jobs.scd2_load(h, view(spark, sf, f"v_cust_d{d}"), S.DIM_CUSTOMER_CFG, RUN_TS[d], on_missing=on_missing)
-    return h
+    days = [(RUN_TS[d], view(spark, sf, f"v_cust_d{d}")) for d in range(1, upto + 1)]
+    return jobs.scd2_replay(None, days, S.DIM_CUSTOMER_CFG, on_missing=on_missing)
 
 
 # ------------------------------------------------------------------ oracle side
@@ -245,7 +244,7 @@ def scd2_history_close_missing(spark, sf):
 @query("scd2_rerun", with_views(sql_hist_out("h3", CUST_OUT), cust_views(3), cust_hist_ctes(3)))
 def scd2_rerun(spark, sf):
     """Day 3 applied again after a rewind equals a single application."""
-    h = cust_history(spark, sf, 3)
+    h = cut_lineage(cust_history(spark, sf, 3))
     again = jobs.scd2_load(h, view(spark, sf, "v_cust_d3"), S.DIM_CUSTOMER_CFG, RUN_TS[3], rewind_first=True)
     return hist_out(again, CUST_OUT)
 
