@@ -176,8 +176,8 @@ def dim_date(spark, sf):
 @query("dim_payment_method", with_views("SELECT DISTINCT payment_type AS payment_method FROM v_payments WHERE payment_type IS NOT NULL",
                                         ["v_payments"]))
 def dim_payment_method(spark, sf):
-    """A5: payment-method dimension from payments."""
-    return dd.distinct_dimension(view(spark, sf, "v_payments"), S.DIM_PAYMENT_METHOD_CFG["select_expr"], ["payment_method"])
+    """A5/B1: payment-method dimension from payments (full-load job, empty dedupe order)."""
+    return jobs.full_load(view(spark, sf, "v_payments").where(F.col("payment_type").isNotNull()), S.DIM_PAYMENT_METHOD_CFG)
 
 
 @query("distinct_rows", with_views("""

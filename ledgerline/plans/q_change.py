@@ -164,9 +164,8 @@ SELECT product_id, warehouse_id, on_hand_qty, reserved_qty FROM net WHERE op <>
     ["v_inventory", "v_inventory_delta"],
     [("net", sql_net_ops("v_inventory_delta", ["product_id", "warehouse_id"], INV_DELTA))]))
 def cdc_merge_inventory(spark, sf):
-    """Deletes and upserts applied together to the inventory state."""
-    return ch.cdc_merge(view(spark, sf, "v_inventory"), view(spark, sf, "v_inventory_delta"),
-                        ["product_id", "warehouse_id"])
+    """Deletes and upserts applied together to the inventory state (upsert job)."""
+    return jobs.delta_upsert(view(spark, sf, "v_inventory"), view(spark, sf, "v_inventory_delta"), S.INVENTORY_CFG)
 
 
 @query("delete_by_key", with_views("""
