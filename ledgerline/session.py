@@ -67,3 +67,29 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def scale_conf(input_bytes: int, executor_cores_total: int, target_partition_bytes: int = 256 << 20,
+               max_broadcast_bytes: int = 64 << 20, shuffle_fraction: float = 0.25,
+               max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+    """Settings sized from the input volume (not a fixed 200 partitions).
+
+    The static shuffle width gives each shuffle partition about
+    ``target_partition_bytes`` of the expected shuffle volume (``shuffle_fraction``
+    of the input, after projection and partial aggregation), at least two waves
+    of tasks and at most ``max_shuffle_partitions`` (map-status size grows with
+    mappers x reducers); adaptive execution then coalesces small partitions and splits skewed
+    ones at run time. Scans read ``target_partition_bytes`` splits. Automatic
+    broadcast stays capped at ``max_broadcast_bytes`` of *measured* size, so a
+    dimension that grows past it falls back to a sort-merge join by itself.
+    """
+    wanted = -(-int(input_bytes * shuffle_fraction) // target_partition_bytes)
+    parts = min(max(2 * executor_cores_total, wanted), max_shuffle_partitions)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(max_broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(max_broadcast_bytes),
+    }
