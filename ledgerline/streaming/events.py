@@ -81,8 +81,11 @@ def parse_events(env: DataFrame, schema: StructType = EVENT_SCHEMA) -> DataFrame
     unparseable JSON, a missing required field, an event time that is not
     ISO-8601.
     """
-    parsed = env.withColumn("json", F.from_json(F.col("value"), schema,
-                                                {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}))
+    js = F.from_json(F.col("value"), schema, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
+    # The parsed struct is produced by a one-element generator: filters on the
+    # reason cannot be pushed below it, so each payload is parsed exactly once
+    # (a plain projection would be inlined into every pushed-down predicate).
+    parsed = env.select("*", F.inline(F.array(F.struct(js.alias("json")))))
     j = F.col("json")
     event_time = F.try_to_timestamp(j["event_ts"])
     missing = F.lit(False)
