@@ -69,7 +69,7 @@ def edges_frame(spark: SparkSession, edges: Sequence[tuple[str, str, str]]) -> D
     return spark.createDataFrame(list(edges), "upstream string, downstream string, kind string").distinct()
 
 
-def lineage_closure(edges: DataFrame, max_rounds: int = 32, checkpoint_every: int = 4) -> DataFrame:
+def lineage_closure(edges: DataFrame, max_rounds: int = 32, checkpoint_every: int = 1) -> DataFrame:
     """Every (upstream, downstream) pair connected by a path, with the
     shortest hop count (D8).
 

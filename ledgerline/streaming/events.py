@@ -151,18 +151,16 @@ def late_events(df: DataFrame, order: str, ts: str, delay_seconds: int, block: i
     prefix-maxed over blocks, and the two are combined.
     """
     blk = F.floor(F.col(order) / F.lit(block))
-    w_in = Window.partitionBy("__blk").orderBy(F.col(order)).rowsBetween(Window.unboundedPreceding, -1)
-    w_blk = Window.partitionBy("__blk")
-    # One shuffle by block serves both windows; the per-block summary below
-    # reads the same exchange again (exchange reuse), so the feed is read once.
-    x = (df.withColumn("__blk", blk)
-           .withColumn("__inblk", F.max(ts).over(w_in))
-           .withColumn("__bmax", F.max(ts).over(w_blk)))
-    per_block = x.groupBy("__blk").agg(F.max("__bmax").alias("__bmax"))
+    x = df.withColumn("__blk", blk)
+    # Per-block maxima: a partial aggregate, one row per block after the shuffle.
+    per_block = x.groupBy("__blk").agg(F.max(ts).alias("__bmax"))
     before = per_block.withColumn(
         "__before", F.max("__bmax").over(Window.orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1))
     ).select("__blk", "__before")
-    x = x.drop("__bmax").join(before, "__blk", "left")
+    # In-block running maximum: the window is partitioned by block, so no task
+    # holds more than ``block`` rows.
+    w_in = Window.partitionBy("__blk").orderBy(F.col(order)).rowsBetween(Window.unboundedPreceding, -1)
+    x = x.withColumn("__inblk", F.max(ts).over(w_in)).join(before, "__blk", "left")
     seen = F.greatest(F.col("__before"), F.col("__inblk"))
     mark = seen - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(delay_seconds))
     return (x.withColumn("watermark_ts", mark)
