@@ -21,7 +21,7 @@ OP_INSERT, OP_CHANGE, OP_DELETE, OP_UNCHANGED = "I", "C", "D", "U"
 
 
 def snapshot_diff(prev: DataFrame, cur: DataFrame, keys: Sequence[str], cols: Sequence[str] | None = None,
-                  include_unchanged: bool = False) -> DataFrame:
+                  include_unchanged: bool = False, unique: bool = False) -> DataFrame:
     """Infer I / C / D (and U) rows by comparing two full snapshots.
 
     One full outer join on the keys; a presence flag on each side tells
@@ -30,6 +30,12 @@ def snapshot_diff(prev: DataFrame, cur: DataFrame, keys: Sequence[str], cols: Se
     comma-joined. Output carries the current values (previous values for D).
     """
     cols = list(cols) if cols is not None else [c for c in cur.columns if c not in keys]
+    if not unique:
+        # One row per key and side (highest whole-row hash), so a key with many
+        # copies cannot multiply in the join; same partitioning as the join.
+        from ledgerline.operators.dedupe import dedupe_by_hash
+        prev = dedupe_by_hash(prev.select(*keys, *cols), keys)
+        cur = dedupe_by_hash(cur.select(*keys, *cols), keys)
     p = prev.select(*keys, *cols).withColumn("__in", F.lit(True)).alias(_L)
     c = cur.select(*keys, *cols).withColumn("__in", F.lit(True)).alias(_R)
     j = p.join(c, [F.col(f"{_L}.{k}") == F.col(f"{_R}.{k}") for k in keys], "full_outer")

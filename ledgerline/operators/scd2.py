@@ -60,7 +60,8 @@ def rewind(hist: DataFrame, run_ts: str, open_to: str = OPEN_END) -> DataFrame:
 
 
 def scd2_apply(hist: DataFrame, today: DataFrame, keys: Sequence[str], tracked: Sequence[str], run_ts: str,
-               on_missing: str = "keep", open_to: str = OPEN_END, rewind_first: bool = False) -> DataFrame:
+               on_missing: str = "keep", open_to: str = OPEN_END, rewind_first: bool = False,
+               unique_today: bool = False) -> DataFrame:
     """Merge one day's deduplicated snapshot into a full history.
 
     Only the open versions meet today's rows, in **one** full outer join on
@@ -73,6 +74,12 @@ def scd2_apply(hist: DataFrame, today: DataFrame, keys: Sequence[str], tracked:
     * only history               -> unchanged (``on_missing="keep"``) or closed (``"close"``)
 
     Closed versions pass through untouched (no join).
+
+    ``today`` must hold one row per key; unless ``unique_today`` says so, a
+    keyed dedupe (highest whole-row hash) guarantees it. That dedupe is
+    partitioned by the same keys as the join, so it adds no shuffle, and its
+    partial per-partition limit keeps a key with many copies from landing
+    whole in one task.
     """
     if on_missing not in ("keep", "close"):
         raise ValueError("on_missing must be 'keep' or 'close'")
@@ -82,7 +89,11 @@ def scd2_apply(hist: DataFrame, today: DataFrame, keys: Sequence[str], tracked:
     out_cols = list(keys) + attrs + list(HIST_COLS)
     closed = hist.where(~F.col("is_current")).select(*out_cols)
     cur = hist.where(F.col("is_current")).select(*out_cols).withColumn("__in", F.lit(True)).alias(_D)
-    src = (_valid_keys(today, keys).select(*keys, *attrs).withColumn("hash_diff", hash_diff(tracked))
+    today = _valid_keys(today, keys).select(*keys, *attrs)
+    if not unique_today:
+        from ledgerline.operators.dedupe import dedupe_by_hash
+        today = dedupe_by_hash(today, keys)
+    src = (today.withColumn("hash_diff", hash_diff(tracked))
            .withColumn("__in", F.lit(True)).alias(_S))
 
     j = cur.join(src, [F.col(f"{_D}.{k}") == F.col(f"{_S}.{k}") for k in keys], "full_outer")
