@@ -103,3 +103,51 @@ def stream_to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parqu
         w = w.queryName(query_name)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
+
+
+# ---------------------------------------------------------------- bucketed tables (co-located joins)
+
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int,
+                   fmt: str = "parquet") -> None:
+    """Write ``df`` as a table bucketed and sorted by ``keys`` at ``path``.
+
+    A later join or window on the same keys reads it without a shuffle: only
+    the other side is hash-partitioned into the same ``buckets`` (use the
+    session's shuffle width). Used for the SCD2 history and the facts that are
+    joined to it every day, which are the large sides.
+    """
+    (df.write.format(fmt).mode("overwrite").option("path", path)
+       .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table))
+
+
+def read_bucketed(spark: SparkSession, table: str, path: str, keys: Sequence[str], buckets: int,
+                  fmt: str = "parquet") -> DataFrame:
+    """Open a bucketed table written by ``write_bucketed``; when the catalog
+    does not know it (new session without a shared metastore), the bucket spec
+    is attached again to the files in place."""
+    if not spark.catalog.tableExists(table):
+        schema = spark.read.format(fmt).load(path).schema
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        cols = ", ".join(f"`{k}`" for k in keys)
+        spark.sql(f"CREATE TABLE `{table}` ({ddl}) USING {fmt} CLUSTERED BY ({cols}) SORTED BY ({cols}) "
+                  f"INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(table)
+
+
+def publish_bucketed_version(df: DataFrame, name: str, table_path: str, version: str, keys: Sequence[str],
+                             buckets: int) -> str:
+    """``publish_version`` for bucketed tables: ``<name>__v<version>`` at
+    ``table_path/v=<version>``, then the pointer moves."""
+    target = f"{table_path}/v={version}"
+    write_bucketed(df, f"{name}__v{version}", target, keys, buckets)
+    df.sparkSession.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").text(
+        f"{table_path}/{POINTER}")
+    return target
+
+
+def read_current_bucketed(spark: SparkSession, name: str, table_path: str, keys: Sequence[str],
+                          buckets: int) -> DataFrame | None:
+    v = current_version(spark, table_path)
+    if v is None:
+        return None
+    return read_bucketed(spark, f"{name}__v{v}", f"{table_path}/v={v}", keys, buckets)
