@@ -67,3 +67,37 @@ def test_late_events_no_single_partition_of_its_own(spark):
     late = plan(ev.late_events(g, "offset", "event_time", 600))
     # only the block summary (one row per block) goes through a single-partition window
     assert late.count("SinglePartition") <= 2 * base + 1
+
+
+def test_hot_customer_is_split_in_the_asof_join(spark):
+    """A customer holding a third of the facts: adaptive execution splits its
+    partition of the point-in-time join instead of running it in one task."""
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators import scd2, star
+
+    facts = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("customer_id"),
+        F.col("id").alias("order_id"), F.lit("2019-01-02").cast("date").alias("order_dt"))
+    dim = spark.range(0, 500).select(F.col("id").alias("customer_id"), (F.col("id") % 5).cast("string").alias("seg"))
+    hist = scd2.scd2_initial(dim, ["customer_id"], ["seg"], "2019-01-01 00:00:00")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1024",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        j = star.point_in_time_join(facts, hist, ["customer_id"], "order_dt", "sk", ["seg"])
+        assert j.count() == 30000
+        j.collect()
+        final = plan(j, "formatted")
+        assert "isFinalPlan=true" in final and "skew=true" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

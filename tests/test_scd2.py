@@ -144,3 +144,17 @@ def test_one_open_row_and_disjoint_intervals(spark, days):
         vs.sort(key=lambda r: r["effective_from"])
         for a, b in zip(vs, vs[1:]):
             assert a["effective_to"] <= b["effective_from"]
+
+
+def test_delimiter_inside_values_still_a_change(spark):
+    s = "id bigint, a string, b string"
+    h1 = scd2.scd2_initial(spark.createDataFrame([(1, "x||y", "z")], s), ["id"], ["a", "b"], T1)
+    h2 = scd2.scd2_apply(h1, spark.createDataFrame([(1, "x", "y||z")], s), ["id"], ["a", "b"], T2)
+    assert h2.select("hash_diff").distinct().count() == 1  # the text hash collides ...
+    assert h2.count() == 2 and h2.where("is_current").first().a == "x"  # ... the change is still seen
+
+
+def test_duplicate_keys_in_today_give_one_open_row(spark):
+    h1 = scd2.scd2_initial(snap(spark, [(1, "x", 1)]), ["id"], ["a"], T1)
+    h2 = scd2.scd2_apply(h1, snap(spark, [(1, "p", 1), (1, "q", 1), (1, "q", 1)]), ["id"], ["a"], T2)
+    assert h2.where("is_current").count() == 1

@@ -104,3 +104,20 @@ def test_late_events_block_size_does_not_matter(spark):
 def test_late_drop_count_reads_progress():
     assert ev.late_drop_count({"stateOperators": [{"numRowsDroppedByWatermark": 3}, {}]}) == 3
     assert ev.late_drop_count(None) == 0
+
+
+def test_parse_reasons_on_hand_made_rows(spark):
+    rows = [
+        (0, '{"event_id":"e1","event_ts":"2024-01-01T00:00:00+00:00","amount":1.5}', None),
+        (1, '{"event_id":"e2","event_ts":"2024-01-01T00:00:00Z","amount":"lots"}', "SCHEMA_PARSE_FAILED"),
+        (2, '{"event_id":', "SCHEMA_PARSE_FAILED"),
+        (3, '{"event_ts":"2024-01-01T00:00:00+00:00"}', "MISSING_REQUIRED"),
+        (4, '{"event_id":"e5","event_ts":"yesterday"}', "BAD_TIMESTAMP"),
+        (5, None, "SCHEMA_PARSE_FAILED"),
+        (6, '{"event_id":"e7","event_ts":"2024-01-01 10:00:00"}', None),
+    ]
+    env = spark.createDataFrame([(o, v) for o, v, _ in rows], "offset bigint, value string")
+    got = {r.offset: r.reason for r in ev.parse_events(env).select("offset", "reason").collect()}
+    assert got == {o: want for o, _, want in rows}
+    t = ev.good_events(ev.parse_events(env)).where("offset = 0").first().event_time
+    assert str(t).startswith("2024-01-01 00:00:00")
