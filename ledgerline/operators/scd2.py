@@ -160,6 +160,11 @@ def scd2_from_snapshots(snaps: DataFrame, keys: Sequence[str], tracked: Sequence
     absence, matching ``scd2_apply(on_missing="keep")`` applied day by day.
     Both windows share one partitioning by key, so this costs one shuffle.
     """
+    from ledgerline.operators.dedupe import dedupe_by_hash
+
+    # one row per key and day even if a snapshot repeats a key (partial limit
+    # before the shuffle; the windows below reuse the partitioning by key)
+    snaps = dedupe_by_hash(snaps, [*keys, dt_col])
     w = Window.partitionBy(*keys).orderBy(F.col(dt_col))
     attrs = [c for c in snaps.columns if c not in keys and c != dt_col]
     prev_differs = F.lit(False)
