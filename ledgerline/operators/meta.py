@@ -95,6 +95,16 @@ def lineage_closure(edges: DataFrame, max_rounds: int = 32, checkpoint_every: in
     return reach
 
 
+def node_row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """Row count of every named node of a pipeline (lineage run metadata),
+    each a global count (partial per task), unioned into one small frame."""
+    out = None
+    for name, df in frames.items():
+        one = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("node"), "rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # ---------------------------------------------------------------- PII
 
 def pii_hit_rates(df: DataFrame, columns: Sequence[str], patterns: Mapping[str, str] = PII_PATTERNS,

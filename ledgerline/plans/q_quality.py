@@ -151,10 +151,14 @@ def run_metrics(spark, sf):
     return meta.run_metrics(view(spark, sf, "v_cust_d2"), ["customer_id"], bad, "r20190102", "2019-01-02", "dim_customer")
 
 
-def _lineage_edges():
+def _fact_spec():
     fact = dict(S.FACT_ORDERS_SPEC)
     fact["sources"] = {"orders": {"path": "orders"}, "items": {"path": "lineitem"}}
-    return lineage_from_spec(fact) + lineage_from_spec(S.DIM_CUSTOMER_SPEC)
+    return fact
+
+
+def _lineage_edges():
+    return lineage_from_spec(_fact_spec()) + lineage_from_spec(S.DIM_CUSTOMER_SPEC)
 
 
 def _edges_sql():
@@ -162,22 +166,42 @@ def _edges_sql():
     return f"SELECT DISTINCT * FROM (VALUES {rows}) t(upstream, downstream)"
 
 
+NODE_ROWS_SQL = """
+SELECT 'orders' AS node, count(*) AS n FROM orders
+UNION ALL SELECT 'lineitem', count(*) FROM lineitem
+UNION ALL SELECT 'items', count(*) FROM lineitem
+UNION ALL SELECT 'orders_clean', count(*) FROM orders WHERE o_orderkey IS NOT NULL
+UNION ALL SELECT 'items_clean', count(*) FROM lineitem
+UNION ALL SELECT 'order_agg', count(*) FROM (SELECT l_orderkey FROM lineitem GROUP BY 1)
+UNION ALL SELECT 'joined', count(*) FROM (SELECT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL) o
+  LEFT JOIN (SELECT l_orderkey FROM lineitem GROUP BY 1) a ON o.o_orderkey = a.l_orderkey
+UNION ALL SELECT 'fact_orders', count(*) FROM (SELECT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL) o
+  LEFT JOIN (SELECT l_orderkey FROM lineitem GROUP BY 1) a ON o.o_orderkey = a.l_orderkey"""
+
+
 @query("lineage_edges", with_views("""
-SELECT r.upstream, r.downstream, min(r.depth) AS depth, c.n AS upstream_rows
-FROM reach r LEFT JOIN counts c ON r.upstream = c.t GROUP BY r.upstream, r.downstream, c.n""", ctes=[
+SELECT r.upstream, r.downstream, min(r.depth) AS depth, u.n AS upstream_rows, d.n AS downstream_rows
+FROM reach r LEFT JOIN node_rows u ON r.upstream = u.node LEFT JOIN node_rows d ON r.downstream = d.node
+GROUP BY r.upstream, r.downstream, u.n, d.n""", ctes=[
     ("edges", _edges_sql()),
     ("reach", """SELECT upstream, downstream, 1 AS depth FROM edges
 UNION SELECT r.upstream, e.downstream, r.depth + 1 FROM reach r JOIN edges e ON r.downstream = e.upstream"""),
-    ("counts", "SELECT 'orders' AS t, count(*) AS n FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem"),
+    ("node_rows", NODE_ROWS_SQL),
 ], recursive=True))
 def lineage_edges(spark, sf):
     """Transitive lineage of the two specs (iterated joins), with the
-    row count of each source table read."""
+    row count of every node the batch spec produces from the tables."""
+    from ledgerline.plans.spec import spec_frames
+
     closure = meta.lineage_closure(meta.edges_frame(spark, _lineage_edges()))
-    counts = (table(spark, sf, "orders").agg(F.count(F.lit(1)).alias("upstream_rows")).withColumn("upstream", F.lit("orders"))
-              .unionByName(table(spark, sf, "lineitem").agg(F.count(F.lit(1)).alias("upstream_rows"))
-                           .withColumn("upstream", F.lit("lineitem"))))
-    return closure.join(counts, "upstream", "left").select("upstream", "downstream", "depth", "upstream_rows")
+    orders, items = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    frames = spec_frames(_fact_spec(), {"orders": orders, "items": items}, {"run_dt": "2019-01-02", "run_id": "r"})
+    frames["lineitem"] = items
+    node_rows = meta.node_row_counts(frames)
+    up = node_rows.select(F.col("node").alias("upstream"), F.col("rows").alias("upstream_rows"))
+    down = node_rows.select(F.col("node").alias("downstream"), F.col("rows").alias("downstream_rows"))
+    return (closure.join(up, "upstream", "left").join(down, "downstream", "left")
+            .select("upstream", "downstream", "depth", "upstream_rows", "downstream_rows"))
 
 
 PII_COLS = ["text", "source", "lang"]

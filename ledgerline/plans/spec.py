@@ -32,15 +32,9 @@ def _transform(df: DataFrame, t: Mapping) -> DataFrame:
     return df
 
 
-def run_batch_spec(spec: Mapping, sources: Mapping[str, DataFrame], run_values: Mapping[str, str]) -> DataFrame:
-    """Batch mode (B5): sources -> transforms -> joins -> target columns.
-
-    ``sources`` maps each name under ``spec["sources"]`` to a DataFrame (see
-    ``sources.readers.read_spec_sources`` for reading them from a spec).
-    Each transform and join output is addressable by its name; the target is
-    the last output. ``target.add_columns`` values may name run values with
-    ``{{ name }}``-free keys: ``{"dt": "run_dt"}`` takes ``run_values["run_dt"]``.
-    """
+def spec_frames(spec: Mapping, sources: Mapping[str, DataFrame], run_values: Mapping[str, str]) -> dict[str, DataFrame]:
+    """Every named output of a batch spec (sources, transforms, joins and the
+    target, under the target's path) as lazy DataFrames."""
     frames: dict[str, DataFrame] = {}
     for name in spec["sources"]:
         frames[name] = sources[name]
@@ -50,11 +44,24 @@ def run_batch_spec(spec: Mapping, sources: Mapping[str, DataFrame], run_values:
     for jn in spec.get("joins", []):
         left, right = frames[jn["left"]], frames[jn["right"]]
         frames[jn["output"]] = last = left.join(right, list(jn["on"]), jn.get("type", "inner"))
-    out = frames[spec["target"].get("input", "")] if spec["target"].get("input") else last
+    out = frames[spec["target"]["input"]] if spec["target"].get("input") else last
     adds = spec["target"].get("add_columns", {})
     if adds:
         out = out.withColumns({n: F.lit(run_values[v]) for n, v in adds.items()})
-    return out
+    frames[spec["target"].get("path") or spec.get("name")] = out
+    return frames
+
+
+def run_batch_spec(spec: Mapping, sources: Mapping[str, DataFrame], run_values: Mapping[str, str]) -> DataFrame:
+    """Batch mode (B5): sources -> transforms -> joins -> target columns.
+
+    ``sources`` maps each name under ``spec["sources"]`` to a DataFrame (see
+    ``sources.readers.read_spec_sources`` for reading them from a spec).
+    Each transform and join output is addressable by its name; the target is
+    the last output. ``target.add_columns`` maps a column to a run value:
+    ``{"dt": "run_dt"}`` takes ``run_values["run_dt"]``.
+    """
+    return spec_frames(spec, sources, run_values)[spec["target"].get("path") or spec.get("name")]
 
 
 def run_scd2_spec(spec: Mapping, source: DataFrame, hist: DataFrame | None, run_ts: str) -> DataFrame:
