@@ -122,6 +122,19 @@ def scd2_apply(hist: DataFrame, today: DataFrame, keys: Sequence[str], tracked:
     return closed.unionByName(merged)
 
 
+def check_run_order(hist: DataFrame, run_ts: str) -> None:
+    """Refuse a run older than the newest version already in the history.
+
+    Applying an earlier day on top of later ones would close versions out of
+    order; such a run needs ``rewind_first=True`` (and a replay of the later
+    days). One scalar aggregate over the history.
+    """
+    newest = hist.agg(F.max("effective_from").alias("m")).first()["m"]
+    run = hist.sparkSession.range(1).select(_ts(run_ts).alias("t")).first()["t"]
+    if newest is not None and run < newest:
+        raise ValueError(f"run {run_ts} is older than the newest version ({newest}); rewind and replay instead")
+
+
 def scd2_expired(hist: DataFrame) -> DataFrame:
     """Closed versions."""
     return hist.where(~F.col("is_current"))

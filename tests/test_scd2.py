@@ -158,3 +158,12 @@ def test_duplicate_keys_in_today_give_one_open_row(spark):
     h1 = scd2.scd2_initial(snap(spark, [(1, "x", 1)]), ["id"], ["a"], T1)
     h2 = scd2.scd2_apply(h1, snap(spark, [(1, "p", 1), (1, "q", 1), (1, "q", 1)]), ["id"], ["a"], T2)
     assert h2.where("is_current").count() == 1
+
+
+def test_out_of_order_run_is_refused(spark):
+    import pytest
+
+    h = scd2.scd2_initial(snap(spark, [(1, "x", 1)]), ["id"], ["a"], T2)
+    scd2.check_run_order(h, T2)  # same day again is fine (idempotent)
+    with pytest.raises(ValueError):
+        scd2.check_run_order(h, T1)

@@ -22,10 +22,6 @@ def _write_feed(spark, src_dir, n_files=3):
     return parts
 
 
-def _copy_into(spark, part_dir, feed_dir, name):
-    spark.read.parquet(part_dir).coalesce(1).write.mode("overwrite").parquet(os.path.join(feed_dir, name))
-
-
 def test_pipeline_good_dlq_and_restart(spark, tmp):
     src, feed = os.path.join(tmp, "src"), os.path.join(tmp, "feed")
     out, dlq, ckpt, alerts = (os.path.join(tmp, x) for x in ("out", "dlq", "ckpt", "alerts"))
