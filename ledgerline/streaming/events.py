@@ -197,16 +197,17 @@ def _floor_to(ts: Column, seconds: int) -> Column:
     return F.timestamp_seconds(F.floor(F.unix_seconds(ts) / seconds) * seconds)
 
 
-def zero_event_alerts(good: DataFrame, ts: str, slot_seconds: int = 600, partitions: int = 8) -> DataFrame:
+def zero_event_alerts(good: DataFrame, ts: str, slot_seconds: int = 600, partitions: int | None = None) -> DataFrame:
     """Slots of ``slot_seconds`` with no events between the first and last
-    event (A6, T8). Slots are generated per day and spread over
-    ``partitions`` tasks before the per-day expansion, so a long time span
-    is not expanded in a single task."""
+    event (A6, T8). Slots are generated per day and the days are spread over
+    the shuffle partitions (or ``partitions``) before the per-day expansion,
+    so a long time span is not expanded in a single task."""
     t = F.col(ts)
     bounds = good.agg(_floor_to(F.min(t), slot_seconds).alias("lo"), _floor_to(F.max(t), slot_seconds).alias("hi"))
     days = bounds.select("lo", "hi", F.explode(F.sequence(F.to_date("lo"), F.to_date("hi"))).alias("day"))
     per_day = 86400 // slot_seconds
-    slots = (days.repartition(partitions, "day")
+    spread = days.repartition(partitions, "day") if partitions else days.repartition("day")
+    slots = (spread
              .select("lo", "hi", "day", F.explode(F.sequence(F.lit(0), F.lit(per_day - 1))).alias("k"))
              .select(F.timestamp_seconds(F.unix_seconds(F.col("day").cast("timestamp")) + F.col("k") * slot_seconds)
                      .alias("slot_start"), "lo", "hi")
