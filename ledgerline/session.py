@@ -95,4 +95,9 @@ def scale_conf(input_bytes: int, executor_cores_total: int, target_partition_byt
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.autoBroadcastJoinThreshold": str(max_broadcast_bytes),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(max_broadcast_bytes),
+        # stream dedupe / window state on local disk with changelog checkpoints
+        # to the shared checkpoint location, instead of executor heap
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }

@@ -45,10 +45,21 @@ ENVELOPE = ("key", "kafka_ingest_ts", "topic", "partition", "offset")
 
 # ---------------------------------------------------------------- sources
 
-def read_kafka(spark: SparkSession, bootstrap: str, topic: str, starting: str = "latest") -> DataFrame:
-    """Kafka subscription (S4). Needs the Kafka connector on the classpath."""
-    return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
-            .option("subscribe", topic).option("startingOffsets", starting).load())
+def read_kafka(spark: SparkSession, bootstrap: str, topic: str, starting: str = "latest",
+               max_offsets_per_trigger: int | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Kafka subscription (S4). Needs the Kafka connector on the classpath.
+
+    ``max_offsets_per_trigger`` bounds a micro-batch (so a backlog after an
+    outage is drained in steady batches, not one huge one); ``min_partitions``
+    splits large topic partitions across more tasks.
+    """
+    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+         .option("subscribe", topic).option("startingOffsets", starting).option("failOnDataLoss", "false"))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    if min_partitions:
+        r = r.option("minPartitions", min_partitions)
+    return r.load()
 
 
 KAFKA_FRAME_SCHEMA = ("key binary, value binary, topic string, partition int, offset long, timestamp timestamp")
