@@ -54,7 +54,7 @@ def read_kafka(spark: SparkSession, bootstrap: str, topic: str, starting: str =
     splits large topic partitions across more tasks.
     """
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
-         .option("subscribe", topic).option("startingOffsets", starting).option("failOnDataLoss", "false"))
+         .option("subscribe", topic).option("startingOffsets", starting))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     if min_partitions:
