@@ -47,18 +47,31 @@ def publish_version(df: DataFrame, table_path: str, version: str, partition_by:
     """
     target = f"{table_path}/v={version}"
     write_table(df, target, fmt=fmt, mode="overwrite", partition_by=partition_by)
-    spark = df.sparkSession
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").text(
-        f"{table_path}/{POINTER}")
+    _move_pointer(df.sparkSession, table_path, version)
     return target
 
 
-def current_version(spark: SparkSession, table_path: str) -> str | None:
+def pointer(spark: SparkSession, table_path: str) -> tuple[str | None, str | None]:
+    """(current version, the version before it) of a published table."""
     try:
         row = spark.read.text(f"{table_path}/{POINTER}").first()
     except Exception:  # noqa: BLE001 - no pointer yet: first run
-        return None
-    return row[0] if row else None
+        return None, None
+    if not row:
+        return None, None
+    cur, _, prev = row[0].partition("|")
+    return cur, (prev or None)
+
+
+def _move_pointer(spark: SparkSession, table_path: str, version: str) -> None:
+    cur, prev = pointer(spark, table_path)
+    previous = prev if cur == version else cur  # re-publishing a version keeps its predecessor
+    spark.createDataFrame([(f"{version}|{previous or ''}",)], "value string").coalesce(1).write.mode(
+        "overwrite").text(f"{table_path}/{POINTER}")
+
+
+def current_version(spark: SparkSession, table_path: str) -> str | None:
+    return pointer(spark, table_path)[0]
 
 
 def read_current(spark: SparkSession, table_path: str, fmt: str = "parquet") -> DataFrame | None:
@@ -95,6 +108,30 @@ def foreach_batch_writer(out_path: str, partition_by: Sequence[str] = ("dt", "hh
     return run
 
 
+def foreach_batch_upsert(table_path: str, keys: Sequence[str], seq_col: str = "seq", op_col: str = "op"):
+    """``foreachBatch`` function that merges each micro-batch of a change feed
+    into a keyed current-state table (K5 on a stream).
+
+    Each batch publishes version ``b<batch_id>`` built from the version
+    before it; a replayed batch (after a failure) rebuilds the same version
+    from the same predecessor, so the table is updated exactly once.
+    """
+    from ledgerline.operators.change import cdc_merge
+
+    def run(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        version = f"b{batch_id:012d}"
+        cur, prev = pointer(spark, table_path)
+        base = prev if cur == version else cur
+        if base is None:
+            target = batch_df.drop(seq_col, op_col).limit(0)
+        else:
+            target = spark.read.parquet(f"{table_path}/v={base}")
+        publish_version(cdc_merge(target, batch_df, keys, seq_col, op_col), table_path, version)
+
+    return run
+
+
 def stream_to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", trigger: dict | None = None,
                     query_name: str | None = None):
     """Append a stream to files with its own checkpoint (K7)."""
@@ -140,8 +177,7 @@ def publish_bucketed_version(df: DataFrame, name: str, table_path: str, version:
     ``table_path/v=<version>``, then the pointer moves."""
     target = f"{table_path}/v={version}"
     write_bucketed(df, f"{name}__v{version}", target, keys, buckets)
-    df.sparkSession.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").text(
-        f"{table_path}/{POINTER}")
+    _move_pointer(df.sparkSession, table_path, version)
     return target
 
 
