@@ -133,3 +133,19 @@ def test_scd2_daily_on_bucketed_history(spark, tmp):
     plan = buf.getvalue()
     assert plan.count("Exchange hashpartitioning") == 1  # only today's snapshot is shuffled
     assert "Bucketed: true" in plan
+
+
+def test_run_log_and_dq_alerts(spark, tmp):
+    import datetime as dt
+
+    rep = quality.dq_report(spark.createDataFrame([(1, None), (2, "A")], "id bigint, seg string"),
+                            [{"check": "not_null", "column": "seg"}, {"check": "unique", "columns": ["id"]}])
+    alerts = quality.threshold_alerts(rep, "failed", 0, "DQ_FAILED").collect()
+    assert [(a.check_name, a.alert_type) for a in alerts] == [("not_null", "DQ_FAILED")]
+    t0 = dt.datetime(2019, 1, 2, 6, 0, 0)
+    row = meta.run_log_row(spark, "r1", "2019-01-02", "dim_customer", 10, 9, 1, t0, t0 + dt.timedelta(seconds=42))
+    path = os.path.join(tmp, "run_log")
+    sinks.write_day(row, path)
+    sinks.write_day(row, path)  # the same run logged twice stays one row
+    got = spark.read.parquet(path).collect()
+    assert len(got) == 1 and got[0].status == "WARN" and got[0].duration_s == 42.0
