@@ -148,3 +148,37 @@ def test_streamed_upserts_equal_batch_merge(spark, tmp):
     writer(delta.where(F.col("seq") == 2), int(last[1:]))
     again = sinks.read_current(spark, table)
     assert again.exceptAll(want).count() == 0 and want.exceptAll(again).count() == 0
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(secs=st.lists(st.integers(0, 7200), min_size=1, max_size=40), block=st.integers(1, 9))
+def test_late_events_match_brute_force(spark, secs, block):
+    import datetime as dt
+
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i, t0 + dt.timedelta(seconds=s)) for i, s in enumerate(secs)]
+    want, seen = set(), None
+    for off, ts in rows:
+        if seen is not None and ts < seen - dt.timedelta(seconds=600):
+            want.add(off)
+        seen = ts if seen is None else max(seen, ts)
+    df = spark.createDataFrame(rows, "offset bigint, event_time timestamp")
+    got = {r.offset for r in ev.late_events(df, "offset", "event_time", 600, block=block).collect()}
+    assert got == want
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(secs=st.lists(st.integers(0, 3 * 86400), min_size=1, max_size=30))
+def test_zero_event_slots_match_brute_force(spark, secs):
+    import datetime as dt
+
+    t0 = dt.datetime(2024, 1, 1)
+    slots = {s // 600 for s in secs}
+    want = {t0 + dt.timedelta(seconds=600 * k) for k in range(min(slots), max(slots) + 1) if k not in slots}
+    df = spark.createDataFrame([(t0 + dt.timedelta(seconds=s),) for s in secs], "event_time timestamp")
+    got = {r.slot_start for r in ev.zero_event_alerts(df, "event_time", 600, partitions=3).collect()}
+    assert got == want
