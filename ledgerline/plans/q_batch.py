@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerline.functions.columns import hash_diff as _hash_diff
+from ledgerline.operators import aggregate as agg
+from ledgerline.operators import dedupe as dd
+from ledgerline.operators import shape
+from ledgerline.plans import jobs
+from ledgerline.plans import specs as S
 from ledgerline.plans.catalog import query
-from ledgerline.plans.fixtures import table, with_views
+from ledgerline.plans.fixtures import table, view, with_views
 from ledgerline.plans.spec import run_batch_spec
 from ledgerline.plans.specs import FACT_ORDERS_SPEC
+from ledgerline.sources.readers import parse_log_lines
 
 RUN_DT, RUN_ID = "2019-01-02", "r20190102"
 
@@ -37,17 +44,6 @@ def spec_fact_orders(spark, sf):
     return _fact_orders(spark, sf)
 
 
-# --------------------------------------------------------------------------- helpers
-from ledgerline.functions.columns import hash_diff as _hash_diff  # noqa: E402
-from ledgerline.operators import aggregate as agg  # noqa: E402
-from ledgerline.operators import dedupe as dd  # noqa: E402
-from ledgerline.operators import shape  # noqa: E402
-from ledgerline.plans import jobs  # noqa: E402
-from ledgerline.plans import specs as S  # noqa: E402
-from ledgerline.plans.fixtures import view  # noqa: E402
-from ledgerline.sources.readers import parse_log_lines  # noqa: E402
-
-
 def _date_text(c):
     return F.date_format(F.col(c), "yyyy-MM-dd")
 
