@@ -172,3 +172,30 @@ def test_daily_job_from_csv_snapshots(spark, tmp):
         "customer_id", F.col("customer_id").cast("string"))
     got = Q.hist_out(cur, Q.CUST_OUT)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_asof_join_on_bucketed_tables_needs_no_shuffle(spark, tmp):
+    import contextlib
+    import io
+
+    from ledgerline.operators import star
+    from ledgerline.plans import q_change as Q
+    from ledgerline.plans.fixtures import view
+
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hist = Q.cust_history(spark, SF_SMALL, 3, on_missing="close")
+    facts = view(spark, SF_SMALL, "v_orders_dated").select("order_id", "customer_id", "order_dt")
+    sinks.write_bucketed(hist, "asof_dim", os.path.join(tmp, "dim"), ["customer_id"], buckets)
+    sinks.write_bucketed(facts, "asof_facts", os.path.join(tmp, "facts"), ["customer_id"], buckets)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = star.point_in_time_join(spark.table("asof_facts"), spark.table("asof_dim"), ["customer_id"],
+                                    "order_dt", "sk", ["segment"])
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            j.explain()
+        assert "SortMergeJoin" in buf.getvalue() and "Exchange" not in buf.getvalue()
+        assert j.count() == facts.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
