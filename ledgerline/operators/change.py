@@ -100,8 +100,10 @@ def cdc_merge(target: DataFrame, delta: DataFrame, keys: Sequence[str], seq_col:
 
     Deletes and upserts apply together: net op per key, then
     ``target`` minus every touched key (anti join), plus the I/C rows.
-    The anti join lets the planner broadcast a small delta at run time and
-    never shuffles the untouched target rows against each other.
+    The anti join lets the planner broadcast a small delta at run time, so
+    the large target is not shuffled at all; the price is that the (small)
+    delta is evaluated for both branches. A full outer join would read the
+    delta once but always shuffle the whole target.
     """
     net = cdc_net_ops(delta, keys, seq_col, op_col, on_tie)
     untouched = target.join(net.select(*keys), list(keys), "left_anti")
