@@ -101,3 +101,13 @@ def test_hot_customer_is_split_in_the_asof_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_scale_conf_bounds():
+    from ledgerline.session import scale_conf
+
+    big = scale_conf(100 << 40, 8000)
+    small = scale_conf(1 << 30, 8)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert big["spark.sql.adaptive.autoBroadcastJoinThreshold"] == str(64 << 20)
