@@ -182,3 +182,27 @@ def test_zero_event_slots_match_brute_force(spark, secs):
     df = spark.createDataFrame([(t0 + dt.timedelta(seconds=s),) for s in secs], "event_time timestamp")
     got = {r.slot_start for r in ev.zero_event_alerts(df, "event_time", 600, partitions=3).collect()}
     assert got == want
+
+
+def test_dedupe_on_rocksdb_state_store(spark, tmp):
+    """The state store the scale settings recommend runs the same dedupe."""
+    from ledgerline.session import scale_conf
+
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, scale_conf(1 << 30, 8)[key])
+    try:
+        src = os.path.join(tmp, "rk")
+        spark.createDataFrame([("e1", "2024-01-01 00:00:00"), ("e1", "2024-01-01 00:02:00"), ("e2", "2024-01-01 00:05:00")],
+                              "event_id string, ts string").withColumn("event_time", F.to_timestamp("ts")).drop("ts") \
+            .write.parquet(src)
+        stream = spark.readStream.schema("event_id string, event_time timestamp").parquet(src)
+        q = (ev.dedupe_stream(stream).writeStream.format("memory").queryName("rk_out")
+             .option("checkpointLocation", os.path.join(tmp, "ckr")).trigger(availableNow=True).start())
+        q.awaitTermination(120)
+        assert sorted(r.event_id for r in spark.table("rk_out").collect()) == ["e1", "e2"]
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
