@@ -271,6 +271,17 @@ def pretokens(points: np.ndarray, borders: np.ndarray, classes: np.ndarray) -> t
     return b[order], e[order]
 
 
+def split_words(buf: np.ndarray, off: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte ranges of the pretokens of all texts."""
+    if not len(buf) or buf.max() < 0x80:
+        return pretokens(buf, off, classes)
+    lead = np.flatnonzero((buf & 0xC0) != 0x80)  # byte offset of each code point
+    points = np.frombuffer(buf.tobytes().decode("utf-8").encode("utf-32-le"), "<u4")
+    s, e = pretokens(points, np.searchsorted(lead, off), classes)
+    lead = np.append(lead, len(buf))
+    return lead[s], lead[e]
+
+
 class Encoder:
     """Splits texts by the pattern, each distinct word by the transducer; the
     ids of recent words are kept by the word's 64-bit fingerprint."""
@@ -313,14 +324,7 @@ class Encoder:
             return np.zeros(0, np.uint32), np.zeros(len(off), np.int64)
         if len(self.known) > MAX_WORDS:
             self._forget()
-        if buf.max() < 0x80:
-            s, e = pretokens(buf, off, self.classes)
-        else:
-            lead = np.flatnonzero((buf & 0xC0) != 0x80)  # byte offset of each code point
-            points = np.frombuffer(buf.tobytes().decode("utf-8").encode("utf-32-le"), "<u4")
-            s, e = pretokens(points, np.searchsorted(lead, off), self.classes)
-            lead = np.append(lead, len(buf))
-            s, e = lead[s], lead[e]
+        s, e = split_words(buf, off, self.classes)
         prints = span_hash(prefix_sums(buf), s, e)
         uniq, where, back = np.unique(prints, return_index=True, return_inverse=True)
         uniq = uniq.tolist()
