@@ -75,16 +75,25 @@ def safe_cast(c: str | Column, to: str) -> Column:
     return col_or_expr(c).try_cast(to)
 
 
+#: Date, time of day and an optional zone; anything shorter (a bare time, a
+#: year) is no timestamp, although a cast would accept it.
+ISO_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:?\d{2})?$"
+
+
 def parse_iso_timestamp(c: str | Column) -> Column:
-    """ISO-8601 text with ``T`` and an optional zone suffix -> timestamp, null if invalid."""
-    return F.try_to_timestamp(col_or_expr(c))
+    """ISO-8601 text with an optional zone suffix -> timestamp, null if invalid."""
+    text = col_or_expr(c)
+    return F.when(text.rlike(ISO_TIMESTAMP), F.try_to_timestamp(text))
 
 
 def surrogate_key(business_keys: Sequence[str], valid_from: str | Column) -> Column:
-    """Stable version key: sha2 over business keys and the version start."""
+    """Stable version key: sha2 over business keys and the version start, to the
+    microsecond (F10). Every part carries its length and null has a mark of its
+    own, so different keys never give one text."""
     parts = [F.col(k).cast("string") for k in business_keys]
-    parts.append(F.date_format(col_or_expr(valid_from), "yyyy-MM-dd HH:mm:ss"))
-    return F.sha2(F.concat_ws(HASH_SEP, *parts), HASH_BITS)
+    parts.append(F.date_format(col_or_expr(valid_from), "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    sized = [F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]
+    return F.sha2(F.concat(*sized), HASH_BITS)
 
 
 # ---------------------------------------------------------------- rules

@@ -49,19 +49,17 @@ def days_between(start: str | Column, end: str | Column) -> Column:
     return F.timestamp_diff("SECOND", s, e) / F.lit(86400)
 
 
-def stock_after_sales(stock: DataFrame, sales: DataFrame, keys: Sequence[str], qty_col: str, sold_col: str,
-                      reorder_below: int, restock_qty: int) -> DataFrame:
+def stock_after_sales(stock: DataFrame, sales: DataFrame, keys: Sequence[str], qty_col: str, sold_col: str) -> DataFrame:
     """Stock movement for one day.
 
     Sales are summed per key (partial aggregate), joined to the stock, and
-    subtracted without going below zero; a position that ends below
-    ``reorder_below`` receives ``restock_qty``.
+    subtracted without going below zero; ``short_qty`` is what could not be
+    served. Sales of a position that is not in stock are kept: all of their
+    quantity is short and ``in_stock`` is false.
     """
     sold = sales.groupBy(*keys).agg(F.sum(sold_col).cast("bigint").alias("sold_qty"))
-    j = stock.join(sold, list(keys), "left").withColumn("sold_qty", F.coalesce(F.col("sold_qty"), F.lit(0).cast("bigint")))
-    after = F.greatest(F.col(qty_col) - F.col("sold_qty"), F.lit(0).cast("bigint"))
-    restock = after < F.lit(reorder_below)
-    return j.withColumns({
-        qty_col: (after + F.when(restock, F.lit(restock_qty)).otherwise(F.lit(0))).cast("bigint"),
-        "restocked": restock,
-    })
+    zero = F.lit(0).cast("bigint")
+    j = stock.withColumn("in_stock", F.lit(True)).join(sold, list(keys), "full_outer")
+    have, want = F.coalesce(F.col(qty_col).cast("bigint"), zero), F.coalesce("sold_qty", zero)
+    return j.withColumns({qty_col: F.greatest(have - want, zero), "sold_qty": want, "short_qty": F.greatest(want - have, zero),
+                          "in_stock": F.coalesce("in_stock", F.lit(False))})

@@ -20,6 +20,13 @@ _L, _R = "__prev", "__cur"
 OP_INSERT, OP_CHANGE, OP_DELETE, OP_UNCHANGED = "I", "C", "D", "U"
 
 
+def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key columns are all set; ``quality.null_keys`` has the others."""
+    for k in keys:
+        df = df.where(F.col(k).isNotNull())
+    return df
+
+
 def snapshot_diff(prev: DataFrame, cur: DataFrame, keys: Sequence[str], cols: Sequence[str] | None = None,
                   include_unchanged: bool = False, unique: bool = False) -> DataFrame:
     """Infer I / C / D (and U) rows by comparing two full snapshots.
@@ -28,8 +35,11 @@ def snapshot_diff(prev: DataFrame, cur: DataFrame, keys: Sequence[str], cols: Se
     "absent" apart from "all attributes null". Change = any compared column
     differs under null-safe equality; ``changed_cols`` lists them,
     comma-joined. Output carries the current values (previous values for D).
+    Rows with a null key have no identity to compare: they are left out
+    (``quality.null_keys`` gives them as rejects).
     """
     cols = list(cols) if cols is not None else [c for c in cur.columns if c not in keys]
+    prev, cur = with_keys(prev, keys), with_keys(cur, keys)
     if not unique:
         # One row per key and side (highest whole-row hash), so a key with many
         # copies cannot multiply in the join; same partitioning as the join.
@@ -103,9 +113,10 @@ def cdc_merge(target: DataFrame, delta: DataFrame, keys: Sequence[str], seq_col:
     The anti join lets the planner broadcast a small delta at run time, so
     the large target is not shuffled at all; the price is that the (small)
     delta is evaluated for both branches. A full outer join would read the
-    delta once but always shuffle the whole target.
+    delta once but always shuffle the whole target. Changes with a null key are
+    rejected (``quality.null_keys``): nothing could ever replace such a row.
     """
-    net = cdc_net_ops(delta, keys, seq_col, op_col, on_tie)
+    net = cdc_net_ops(with_keys(delta, keys), keys, seq_col, op_col, on_tie)
     untouched = target.join(net.select(*keys), list(keys), "left_anti")
     upserts = net.where(F.col(op_col) != OP_DELETE).select(*target.columns)
     return untouched.unionByName(upserts)
@@ -124,8 +135,12 @@ def keep_keys(target: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> Data
 def update_attribute(target: DataFrame, updates: DataFrame, keys: Sequence[str],
                      set_cols: Mapping[str, str]) -> DataFrame:
     """Set attributes on matching keys (C10 ``set``): ``set_cols`` maps target
-    column -> column of ``updates``. Keys without an update keep their values.
-    ``updates`` must hold at most one row per key."""
+    column -> column of ``updates``. Keys without an update keep their values; of
+    several updates of a key the one with the highest row hash counts, so the
+    target's rows never multiply."""
+    from ledgerline.operators.dedupe import dedupe_by_hash
+
+    updates = dedupe_by_hash(updates.select(*keys, *dict.fromkeys(s for s in set_cols.values() if s not in keys)), keys)
     u = updates.select(*keys, *[F.col(src).alias(f"__new_{dst}") for dst, src in set_cols.items()],
                        F.lit(True).alias("__hit"))
     j = target.join(u, list(keys), "left")

@@ -19,14 +19,15 @@ PII_PATTERNS = {
     "phone": r"\+[0-9]{1,3} ?\(?[0-9]{3}\)? ?[0-9]{3}-[0-9]{4}",
     "ipv4": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}",
 }
-# A literal every match contains: a plain substring test (fast byte search)
-# skips the regex on values that cannot match.
-PII_REQUIRED = {"email": "@", "phone": "+"}
+# A literal that every match of a pattern contains: a plain substring test (fast
+# byte search) skips the regex on values that cannot match. It belongs to the
+# pattern's text, so a caller's own pattern of the same name is never cut short.
+PII_REQUIRED = {PII_PATTERNS["email"]: "@", PII_PATTERNS["phone"]: "+"}
 
 
-def _matches(c, p: str, rx: str):
+def _matches(c, rx: str):
     hit = c.rlike(rx)
-    need = PII_REQUIRED.get(p)
+    need = PII_REQUIRED.get(rx)
     return (c.contains(need) & hit) if need else hit
 
 
@@ -56,7 +57,7 @@ def run_metrics(raw: DataFrame, keys: Sequence[str], dq_fail, run_id: str, run_d
     return raw.agg(
         F.count(F.lit(1)).alias("rows_in"),
         F.count_distinct(*[F.col(k) for k in keys]).alias("rows_out"),
-        F.sum(F.when(dq_fail, 1).otherwise(0)).cast("bigint").alias("dq_failed"),
+        F.count_if(dq_fail).alias("dq_failed"),
     ).select(F.lit(run_id).alias("run_id"), F.lit(run_dt).alias("run_dt"), F.lit(job).alias("job"),
              F.when(F.col("dq_failed") > 0, "WARN").otherwise("SUCCESS").alias("status"),
              "rows_in", "rows_out", "dq_failed")
@@ -76,7 +77,9 @@ def lineage_closure(edges: DataFrame, max_rounds: int = 32, checkpoint_every: in
     Path doubling: each round joins the reachability table with itself, so
     paths up to 2^k hops are known after k rounds and a DAG of depth d needs
     about log2(d) rounds (one small count per round to detect the fixpoint).
-    The plan is cut with a reliable checkpoint every few rounds.
+    The plan is cut with a reliable checkpoint every few rounds. The result
+    holds all connected pairs; its size is bounded by the specs (their nodes
+    squared). Raises rather than return an unfinished closure.
     """
     reach = (edges.select("upstream", "downstream").distinct().withColumn("depth", F.lit(1))
              .groupBy("upstream", "downstream").agg(F.min("depth").alias("depth")))
@@ -90,9 +93,9 @@ def lineage_closure(edges: DataFrame, max_rounds: int = 32, checkpoint_every: in
             reach = cut_lineage(reach)
         m = reach.count()
         if m == n:
-            break
+            return reach
         n = m
-    return reach
+    raise RuntimeError(f"lineage deeper than 2^{max_rounds} steps: the closure is not complete")
 
 
 def node_row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
@@ -116,21 +119,22 @@ def pii_hit_rates(df: DataFrame, columns: Sequence[str], patterns: Mapping[str,
     for c in columns:
         for p, rx in patterns.items():
             name = f"__{c}__{p}"
-            aggs.append(F.sum(F.when(_matches(F.col(c), p, rx), 1).otherwise(0)).cast("bigint").alias(name))
+            aggs.append(F.count_if(_matches(F.col(c), rx)).alias(name))
             cells.append((c, p, name))
     one = df.agg(*aggs)
     rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(p).alias("pii_type"),
                               F.col("__rows").alias("rows"), F.col(n).alias("hit_rows")) for c, p, n in cells])
-    out = one.select(F.inline(rows)).withColumn("hit_rate", F.col("hit_rows") / F.col("rows"))
+    out = one.select(F.inline(rows)).withColumn(
+        "hit_rate", F.when(F.col("rows") > 0, F.col("hit_rows") / F.col("rows")).otherwise(F.lit(0.0)))
     return out.withColumn("tagged", F.col("hit_rate") > F.lit(threshold))
 
 
 def pii_counts(df: DataFrame, id_col: str, text_col: str, patterns: Mapping[str, str] = PII_PATTERNS) -> DataFrame:
     """Per row: number of matches of each PII pattern in the whole text."""
-    def count(p, rx):
+    def count(rx):
         n = F.regexp_count(F.col(text_col), F.lit(rx)).cast("bigint")
-        need = PII_REQUIRED.get(p)
+        need = PII_REQUIRED.get(rx)
         return F.when(F.col(text_col).contains(need), n).otherwise(
             F.when(F.col(text_col).isNotNull(), F.lit(0).cast("bigint"))) if need else n
 
-    return df.select(id_col, *[count(p, rx).alias(f"n_{p}") for p, rx in patterns.items()])
+    return df.select(id_col, *[count(rx).alias(f"n_{p}") for p, rx in patterns.items()])

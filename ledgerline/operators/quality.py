@@ -34,9 +34,10 @@ def _fail_expr(check: Mapping) -> Column:
 
 
 def row_checks_report(df: DataFrame, checks: Sequence[Mapping]) -> DataFrame:
-    """Row-level checks in one pass -> one report row per check."""
+    """Row-level checks in one pass -> one report row per check.
+    A table without rows fails none of them: 0 rows, 0 failed, passed."""
     aggs = [F.count(F.lit(1)).alias("__rows")]
-    aggs += [F.sum(F.when(_fail_expr(ch), 1).otherwise(0)).cast("bigint").alias(f"__f{i}") for i, ch in enumerate(checks)]
+    aggs += [F.count_if(_fail_expr(ch)).alias(f"__f{i}") for i, ch in enumerate(checks)]
     one = df.agg(*aggs)
     rows = F.array(*[F.struct(F.lit(ch["check"]).alias("check_name"), F.lit(ch["column"]).alias("column_name"),
                               F.col("__rows").alias("rows"), F.col(f"__f{i}").alias("failed"))
@@ -59,7 +60,7 @@ def unique_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     per = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return per.agg(
         F.lit("unique").alias("check_name"), F.lit(",".join(keys)).alias("column_name"),
-        F.sum("n").cast("bigint").alias("rows"),
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows"),
         F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("bigint").alias("failed"),
     ).withColumn("passed", F.col("failed") == 0)
 
@@ -128,8 +129,8 @@ def contract_violations(df: DataFrame, contract: Sequence[Mapping]) -> DataFrame
         meta.append((name, typ, actual.get(name), present))
         if present:
             col = F.col(name)
-            nulls = F.sum(F.when(col.isNull(), 1).otherwise(0)) if c.get("nullable", True) is False else F.lit(0)
-            casts = F.sum(F.when(col.isNotNull() & col.try_cast(typ).isNull(), 1).otherwise(0))
+            nulls = F.count_if(col.isNull()) if c.get("nullable", True) is False else F.lit(0)
+            casts = F.count_if(col.isNotNull() & col.try_cast(typ).isNull())
         else:
             nulls, casts = F.lit(None), F.lit(None)
         aggs += [nulls.cast("bigint").alias(f"__n{i}"), casts.cast("bigint").alias(f"__c{i}")]

@@ -122,17 +122,21 @@ def scd2_apply(hist: DataFrame, today: DataFrame, keys: Sequence[str], tracked:
     return closed.unionByName(merged)
 
 
-def check_run_order(hist: DataFrame, run_ts: str) -> None:
-    """Refuse a run older than the newest version already in the history.
+def check_run_order(hist: DataFrame, run_ts: str) -> bool:
+    """Refuse a run older than the newest change already in the history; True if
+    the history already holds changes of this very run time (it must be rewound).
 
     Applying an earlier day on top of later ones would close versions out of
     order; such a run needs ``rewind_first=True`` (and a replay of the later
     days). One scalar aggregate over the history.
     """
-    newest = hist.agg(F.max("effective_from").alias("m")).first()["m"]
+    # closings count as well: a day that only closed versions is a day, too
+    closed_at = F.when(~F.col("is_current"), F.col("effective_to"))
+    newest = hist.agg(F.greatest(F.max("effective_from"), F.max(closed_at)).alias("m")).first()["m"]
     run = hist.sparkSession.range(1).select(_ts(run_ts).alias("t")).first()["t"]
     if newest is not None and run < newest:
         raise ValueError(f"run {run_ts} is older than the newest version ({newest}); rewind and replay instead")
+    return newest is not None and run == newest
 
 
 def scd2_expired(hist: DataFrame) -> DataFrame:
@@ -155,24 +159,41 @@ def soft_delete_keys(seen: DataFrame, keys: Sequence[str], dt_col: str, run_dt:
 def close_keys(hist: DataFrame, doomed: DataFrame, keys: Sequence[str], run_ts: str) -> DataFrame:
     """End the open versions of ``doomed`` keys at ``run_ts`` (soft delete)."""
     flag = doomed.select(*keys).distinct().withColumn("__doomed", F.lit(True))
-    j = hist.join(flag, list(keys), "left")
-    hit = F.col("is_current") & F.col("__doomed").isNotNull()
-    return j.withColumns({
+    # only open versions meet the keys; closed ones pass by
+    j = hist.where(F.col("is_current")).join(flag, list(keys), "left")
+    hit = F.col("__doomed").isNotNull()
+    ended = j.withColumns({
         "effective_to": F.when(hit, _ts(run_ts)).otherwise(F.col("effective_to")),
-        "is_current": F.when(hit, F.lit(False)).otherwise(F.col("is_current")),
-    }).drop("__doomed").select(*hist.columns)
+        "is_current": ~hit,
+    }).select(*hist.columns)
+    return hist.where(~F.col("is_current")).unionByName(ended)
+
+
+def last_seen(previous: DataFrame | None, today: DataFrame, keys: Sequence[str], dt_col: str, run_dt: str) -> DataFrame:
+    """Last sighting per key (``keys``, ``dt_col``), carried from day to day: soft
+    deletes then read this and today's snapshot, not every past one."""
+    now = _valid_keys(today, keys).select(*keys).withColumn(dt_col, F.to_date(F.lit(run_dt)))
+    both = now if previous is None else previous.select(*keys, dt_col).unionByName(now)
+    return both.groupBy(*keys).agg(F.max(dt_col).alias(dt_col))
 
 
 def scd2_from_snapshots(snaps: DataFrame, keys: Sequence[str], tracked: Sequence[str], dt_col: str,
-                        open_to: str = OPEN_END) -> DataFrame:
+                        open_to: str = OPEN_END, on_missing: str = "keep", days: Sequence[str] = ()) -> DataFrame:
     """Build a history from many daily snapshots at once (W5, backfill).
 
     ``snaps`` holds one row per key and day. A row opens a version when its
     tracked values differ (null-safe) from the key's previous sighting;
-    ``effective_to`` is the next version's start. Keys are never closed by
-    absence, matching ``scd2_apply(on_missing="keep")`` applied day by day.
-    Both windows share one partitioning by key, so this costs one shuffle.
+    ``effective_to`` is the next version's start. With ``on_missing="keep"`` keys
+    are never closed by absence; with ``"close"`` a version ends on the first of
+    ``days`` (all snapshot days, in order) without the key and a returning key
+    opens a new one. Either way the result equals ``scd2_apply`` day by day.
+    All windows share one partitioning by key, so this costs one shuffle.
     """
+    if on_missing not in ("keep", "close"):
+        raise ValueError("on_missing must be 'keep' or 'close'")
+    if on_missing == "close" and not days:
+        raise ValueError("on_missing='close' needs the snapshot days")
+    snaps = _valid_keys(snaps, keys)
     from ledgerline.operators.dedupe import dedupe_by_hash
 
     # one row per key and day even if a snapshot repeats a key (partial limit
@@ -184,10 +205,26 @@ def scd2_from_snapshots(snaps: DataFrame, keys: Sequence[str], tracked: Sequence
     for c in tracked:
         prev_differs = prev_differs | ~F.col(c).eqNullSafe(F.lag(F.col(c)).over(w))
     first = F.lag(F.lit(1)).over(w).isNull()
-    starts = (snaps.withColumn("__start", first | prev_differs).where(F.col("__start"))
-              .withColumn("effective_from", F.to_timestamp(F.col(dt_col).cast("timestamp"))))
+    if on_missing == "close":
+        # the day after a sighting; a key absent there is closed then
+        nxt_day = F.element_at(F.create_map(*[x for a, b in zip(days, days[1:]) for x in (F.lit(a), F.lit(b))]) if len(days) > 1
+                               else F.create_map(F.lit(""), F.lit("")), F.date_format(F.col(dt_col), "yyyy-MM-dd"))
+        due = F.to_date(nxt_day)
+        gone = due.isNotNull() & ~F.lead(F.to_date(F.col(dt_col))).over(w).eqNullSafe(due)
+        snaps = snaps.withColumn("__gone", F.when(gone, due.cast("timestamp")))
+        back = F.lag(F.col("__gone")).over(w).isNotNull()
+    else:
+        snaps = snaps.withColumn("__gone", F.lit(None).cast("timestamp"))
+        back = F.lit(False)
+    marked = snaps.withColumn("__start", first | prev_differs | back)
+    # the absence that ends a version stands on its last sighting
+    run = F.sum(F.col("__start").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    marked = marked.withColumn("__run", run)
+    per_run = Window.partitionBy(*keys, "__run")
+    marked = marked.withColumn("__closed", F.max("__gone").over(per_run)) if on_missing == "close" else marked.withColumn("__closed", F.col("__gone"))
+    starts = marked.where(F.col("__start")).withColumn("effective_from", F.to_timestamp(F.col(dt_col).cast("timestamp")))
     w2 = Window.partitionBy(*keys).orderBy(F.col("effective_from"))
-    nxt = F.lead(F.col("effective_from")).over(w2)
+    nxt = F.coalesce(F.col("__closed"), F.lead(F.col("effective_from")).over(w2))
     return starts.select(
         *keys, *attrs,
         hash_diff(tracked).alias("hash_diff"),

@@ -49,7 +49,10 @@ def add_audit_columns(df: DataFrame, run_dt: str, run_id: str, load_ts: str | No
         "run_id": F.lit(run_id),
     }
     if load_ts is not None:
-        cols["load_ts"] = F.to_timestamp(F.lit(load_ts))
+        # a row that already has a creation time keeps it
+        at = F.to_timestamp(F.lit(load_ts))
+        cols["created_at"] = F.coalesce(F.col("created_at"), at) if "created_at" in df.columns else at
+        cols["updated_at"] = at
     return df.withColumns(cols)
 
 

@@ -47,18 +47,20 @@ def backfill_unknown(fact: DataFrame, hist: DataFrame, keys: Sequence[str], ts_c
 
     A row resolves to the version valid at its time; a row older than the
     key's first version takes that first version (the dimension row arrived
-    late). Rows already resolved are left as they are, untouched by the join.
+    late). Rows already resolved are left as they are. A row whose surrogate key
+    is null counts as unresolved; one whose business key is null stays unknown.
     """
-    known = fact.where(F.col(sk_col) != unknown)
-    todo = fact.where(F.col(sk_col) == unknown).drop(sk_col, *attrs)
+    open_ = F.coalesce(F.col(sk_col) == unknown, F.lit(True))  # a null key is unresolved, too
     first_from = F.min("effective_from").over(Window.partitionBy(*keys))
     h = (with_surrogate_key(hist, keys, sk_col)
          .withColumn("__first", F.col("effective_from") == first_from)
-         .select(*[F.col(k).alias(f"__k_{k}") for k in keys], sk_col, "effective_from", "effective_to", "__first", *attrs))
+         .select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col(sk_col).alias("__sk"), "effective_from", "effective_to", "__first",
+                 *[F.col(a).alias(f"__a_{a}") for a in attrs]))
     ts = F.col(ts_col).cast("timestamp")
     in_range = (ts >= F.col("effective_from")) & (ts < F.col("effective_to"))
     before_first = F.col("__first") & (ts < F.col("effective_from"))
-    cond = [F.col(k) == F.col(f"__k_{k}") for k in keys] + [in_range | before_first]
-    j = todo.join(h, cond, "left")
-    resolved = j.select(*todo.columns, F.coalesce(F.col(sk_col), F.lit(unknown)).alias(sk_col), *attrs)
-    return known.unionByName(resolved.select(*fact.columns))
+    # one left join of all facts: resolved rows match nothing and pass as they are
+    j = fact.join(h, [open_] + [F.col(k) == F.col(f"__k_{k}") for k in keys] + [in_range | before_first], "left")
+    new = {sk_col: F.when(open_, F.coalesce(F.col("__sk"), F.lit(unknown))).otherwise(F.col(sk_col)),
+           **{a: F.when(open_, F.col(f"__a_{a}")).otherwise(F.col(a)) for a in attrs}}
+    return j.select(*[new[c].alias(c) if c in new else F.col(c) for c in fact.columns])

@@ -58,6 +58,15 @@ UNION ALL
 SELECT o_orderkey, o_custkey, 'X', o_orderdate, 'C', 2 FROM orders WHERE o_orderkey % 20 = 0
 UNION ALL
 SELECT o_orderkey, o_custkey, 'OLD', o_orderdate, 'I', 1 FROM orders WHERE o_orderkey % 20 = 1"""),
+    "v_facts_delta": (("v_orders_delta",), """
+SELECT order_id, customer_id, order_status, order_ts, op, seq FROM v_orders_delta
+UNION ALL
+SELECT order_id, customer_id, order_status, order_ts, op, seq + 1 FROM v_orders_delta WHERE op = 'I' AND order_id % 30 = 5"""),
+    "v_addr_d1": (("v_cust_d1",), """
+SELECT * FROM v_cust_d1"""),
+    "v_addr_d2": (("v_cust_d2",), """
+SELECT customer_id, customer_unique_id, zip_code_prefix, CASE WHEN customer_id % 12 = 5 THEN ' Moved ' || customer_city ELSE customer_city END AS customer_city,
+       customer_state, segment, last_updated_dt FROM v_cust_d2"""),
     "v_orders_dated": ((), """
 SELECT o_orderkey AS order_id, o_custkey AS customer_id, date '2018-12-31' + CAST(o_orderkey % 4 AS int) AS order_dt, CAST(o_totalprice AS decimal(18,2)) AS amount
 FROM orders"""),
@@ -85,20 +94,22 @@ SELECT l_orderkey AS order_id, l_linenumber AS line_no, l_shipdate AS return_ts,
        CAST(l_extendedprice AS decimal(18,2)) AS refund_amount
 FROM lineitem WHERE l_returnflag = 'R'"""),
     "v_events_arrival": ((), """
-SELECT CAST(row_number() OVER (ORDER BY ts, event_id) AS bigint) AS arrival, event_id,
+SELECT 2 * event_id AS kafka_offset, CAST(user_id % 4 AS int) AS kafka_partition, ts AS ingest_ts, event_id,
        CASE WHEN event_id % 50 = 9 THEN ts - interval '30' minute ELSE ts END AS event_time, user_id, event_type, CAST(value AS decimal(18,2)) AS amount
 FROM events"""),
     "v_raw_events": (("v_events_arrival",), """
-SELECT arrival AS kafka_offset, 'k' || CAST(event_id AS string) AS msg_key,
+SELECT kafka_offset, kafka_partition, ingest_ts, 'k' || CAST(event_id AS string) AS msg_key,
        CASE WHEN event_id % 200 = 0 THEN '{"event_id":'
             WHEN event_id % 200 = 1 THEN '{"event_type":"' || event_type || '","event_ts":"' || replace(substr(CAST(event_time AS string), 1, 19), ' ', 'T') || '+00:00"}'
             ELSE '{"event_id":"e' || CAST(event_id AS string) || '","event_type":"' || event_type || '","event_ts":"'
-                 || CASE WHEN event_id % 200 = 2 THEN 'not-a-time' ELSE replace(substr(CAST(event_time AS string), 1, 19), ' ', 'T') || '+00:00' END
+                 || CASE WHEN event_id % 200 = 2 THEN 'not-a-time' WHEN event_id % 200 = 3 THEN '12:30:00' WHEN event_id % 200 = 4 THEN '2024'
+                         ELSE replace(substr(CAST(event_time AS string), 1, 19), ' ', 'T') || '+00:00' END
                  || '","user_id":"u' || CAST(user_id AS string) || '","amount":' || CAST(amount AS string)
+                 || CASE WHEN event_type = 'purchase' THEN ',"payment_method":"' || CASE WHEN user_id % 3 = 0 THEN 'card' ELSE 'transfer' END || '"' ELSE '' END
                  || ',"page":"' || event_type || '","device":{"os":"' || CASE WHEN user_id % 2 = 0 THEN 'ios' ELSE 'web' END || '","app_ver":"1.' || CAST(user_id % 10 AS string) || '"}}' END AS value
 FROM v_events_arrival
 UNION ALL
-SELECT arrival + 1000000, 'k' || CAST(event_id AS string),
+SELECT kafka_offset + 1, kafka_partition, ingest_ts + interval '1' day, 'k' || CAST(event_id AS string),
        '{"event_id":"e' || CAST(event_id AS string) || '","event_type":"' || event_type || '","event_ts":"' || replace(substr(CAST(event_time AS string), 1, 19), ' ', 'T') || '+00:00","user_id":"u' || CAST(user_id AS string) || '","amount":' || CAST(amount AS string) || '}'
 FROM v_events_arrival WHERE event_id % 100 = 5"""),
     "v_log_lines": ((), """

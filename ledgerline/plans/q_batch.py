@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import hash_diff as _hash_diff
@@ -13,35 +15,37 @@ from ledgerline.plans import specs as S
 from ledgerline.plans.catalog import query
 from ledgerline.plans.fixtures import table, view, with_views
 from ledgerline.plans.spec import run_batch_spec
-from ledgerline.plans.specs import FACT_ORDERS_SPEC
-from ledgerline.sources.readers import parse_log_lines
+from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.sources.readers import parse_log_lines, read_lookup_csv
 
 RUN_DT, RUN_ID = "2019-01-02", "r20190102"
 
 
-def _fact_orders(spark, sf):
-    sources = {"orders": table(spark, sf, "orders"), "items": table(spark, sf, "lineitem")}
-    out = run_batch_spec(FACT_ORDERS_SPEC, sources, {"run_dt": RUN_DT, "run_id": RUN_ID})
-    return out.select(
-        "order_id", "customer_id", "order_ts", "order_status",
-        F.col("item_count").cast("bigint").alias("item_count"),
-        *[F.col(c).cast("double").alias(c) for c in ("items_total", "freight_total", "order_total")],
-        "dt", "run_id")
+def order_value_sources(spark, sf):
+    return {"orders": table(spark, sf, "orders"), "lineitem": table(spark, sf, "lineitem")}
+
+
+MONEY = "CAST({} AS DECIMAL(18,2))"
+NET_SQL = f"{MONEY.format('l_extendedprice')} * (1 - {MONEY.format('l_discount')})"
 
 
 @query("spec_fact_orders", with_views(f"""
-SELECT o.o_orderkey AS order_id, o.o_custkey AS customer_id, o.o_orderdate AS order_ts, o.o_orderstatus AS order_status,
-       CAST(a.item_count AS BIGINT) AS item_count, CAST(a.items_total AS DOUBLE) AS items_total,
-       CAST(a.freight_total AS DOUBLE) AS freight_total, CAST(a.items_total + a.freight_total AS DOUBLE) AS order_total,
+SELECT o.o_orderkey AS order_key, o.o_custkey AS buyer_key, o.o_orderdate AS placed_at, CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS urgency,
+       CAST(a.lines AS BIGINT) AS lines, CAST(a.units AS DOUBLE) AS units, CAST(a.net_value AS DOUBLE) AS net_value,
+       CAST(a.lines_returned AS BIGINT) AS lines_returned, a.last_ship,
+       CAST(a.net_value AS DOUBLE) / CAST(a.units AS DOUBLE) AS value_per_unit,
        '{RUN_DT}' AS dt, '{RUN_ID}' AS run_id
 FROM orders o LEFT JOIN (
-  SELECT l_orderkey AS order_id, count(*) AS item_count, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS items_total,
-         sum(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(18,2))) AS freight_total
-  FROM lineitem GROUP BY l_orderkey) a ON o.o_orderkey = a.order_id
-WHERE o.o_orderkey IS NOT NULL"""))
+  SELECT l_orderkey AS order_key, count(*) AS lines, sum({MONEY.format('l_quantity')}) AS units, sum({NET_SQL}) AS net_value,
+         count(*) FILTER (WHERE l_returnflag = 'R') AS lines_returned, max(l_shipdate) AS last_ship
+  FROM lineitem GROUP BY l_orderkey) a ON o.o_orderkey = a.order_key
+WHERE o.o_orderkey IS NOT NULL AND o.o_custkey IS NOT NULL"""))
 def spec_fact_orders(spark, sf):
-    """The batch spec end to end."""
-    return _fact_orders(spark, sf)
+    """The batch spec's plan."""
+    out = run_batch_spec(S.ORDER_VALUE_SPEC, order_value_sources(spark, sf), {"run_dt": RUN_DT, "run_id": RUN_ID})
+    return out.select("order_key", "buyer_key", "placed_at", "urgency", F.col("lines").cast("bigint").alias("lines"),
+                      *[F.col(c).cast("double").alias(c) for c in ("units", "net_value")],
+                      F.col("lines_returned").cast("bigint").alias("lines_returned"), "last_ship", "value_per_unit", "dt", "run_id")
 
 
 def _date_text(c):
@@ -57,8 +61,8 @@ def sql_hash(cols):
 CUST_COLS = ["customer_id", "customer_unique_id", "zip_code_prefix", "customer_city", "customer_state",
              "segment", "last_updated_dt"]
 
-CUST_SELECT_SQL = ("customer_id, customer_unique_id, CAST(zip_code_prefix AS INTEGER) AS zip_code_prefix, "
-                   "lower(trim(customer_city)) AS city, upper(trim(customer_state)) AS state, segment")
+CUST_SELECT_SQL = ("customer_id, segment AS market, lower(trim(customer_city)) AS nation, upper(trim(customer_state)) AS region, "
+                   "CAST(zip_code_prefix AS INTEGER) AS nation_code, customer_unique_id AS label")
 
 
 @query("order_agg", """
@@ -90,39 +94,42 @@ SHIP_SQL = """
 SELECT order_id,
        CASE order_status WHEN 'F' THEN 'DELIVERED' WHEN 'P' THEN 'SHIPPED' WHEN 'X' THEN 'CANCELED' ELSE 'CREATED' END AS shipment_status,
        created_ts AS shipping_created_ts, shipped_ts, delivered_ts,
-       CASE order_id % 4 WHEN 0 THEN 'Correios' WHEN 1 THEN 'Loggi' WHEN 2 THEN 'Jadlog' ELSE 'TotalExpress' END AS carrier,
        created_ts, greatest(created_ts, shipped_ts, delivered_ts) AS last_updated_ts
 FROM v_shipments"""
 
 
 @query("derive_shipments", with_views(SHIP_SQL, ["v_shipments"]))
 def derive_shipments(spark, sf):
-    """Status map, carrier, null-skipping latest timestamp."""
+    """Status map, null-skipping latest timestamp."""
     return jobs.derive_shipments(view(spark, sf, "v_shipments"))
 
 
-@query("select_expr_shipments", with_views("""
-SELECT order_id AS shipment_id, order_id, shipment_status, carrier, shipped_ts, delivered_ts FROM ship""",
-                                           ["v_shipments"], [("ship", SHIP_SQL)]))
+SHIPMENT_COLS_SQL = "order_id AS order_key, shipment_status AS stage, shipped_ts AS shipped_at, delivered_ts AS arrived_at"
+
+
+@query("select_expr_shipments", with_views(f"SELECT {SHIPMENT_COLS_SQL} FROM ship", ["v_shipments"], [("ship", SHIP_SQL)]))
 def select_expr_shipments(spark, sf):
     """The shipments fact config over derived shipments."""
-    return shape.select_expr(jobs.derive_shipments(view(spark, sf, "v_shipments")), S.FACT_SHIPMENTS_CFG["select_expr"])
+    return shape.select_expr(jobs.derive_shipments(view(spark, sf, "v_shipments")), S.SHIPMENTS_CFG["select_expr"])
 
 
 @query("spec_select_customer", with_views(f"SELECT {CUST_SELECT_SQL} FROM v_cust_d1", ["v_cust_d1"]))
 def spec_select_customer(spark, sf):
     """Spec column list with named rules (str.lower_trim / str.upper_trim)."""
-    return shape.build_select(view(spark, sf, "v_cust_d1"), S.DIM_CUSTOMER_SPEC["columns"])
+    return shape.build_select(view(spark, sf, "v_cust_d1"), S.BUYER_SPEC["columns"])
+
+
+PAYMENT_COLS_SQL = """order_id AS order_key, payment_type AS method, CAST(payment_installments AS INTEGER) AS parts,
+       CAST(payment_value AS DOUBLE) AS amount, CAST(payment_value AS DOUBLE) / CAST(payment_installments AS DOUBLE) AS per_part"""
 
 
-@query("audit_columns", with_views("""
-SELECT order_id, payment_type, CAST(payment_installments AS INTEGER) AS payment_installments,
-       CAST(payment_value AS DOUBLE) AS payment_value, '2019-01-02' AS run_dt, 'r20190102' AS run_id,
-       TIMESTAMP '2019-01-02 06:00:00' AS load_ts
+@query("audit_columns", with_views(f"""
+SELECT {PAYMENT_COLS_SQL}, '2019-01-02' AS run_dt, 'r20190102' AS run_id,
+       TIMESTAMP '2019-01-02 06:00:00' AS created_at, TIMESTAMP '2019-01-02 06:00:00' AS updated_at
 FROM v_payments""", ["v_payments"]))
 def audit_columns(spark, sf):
-    """Run date, run id and a load time given as an argument."""
-    f = shape.select_expr(view(spark, sf, "v_payments"), S.FACT_PAYMENTS_CFG["select_expr"])
+    """Run date, run id, and creation and update times given as an argument."""
+    f = shape.select_expr(view(spark, sf, "v_payments"), S.PAYMENTS_CFG["select_expr"])
     out = shape.add_audit_columns(f, RUN_DT, RUN_ID, load_ts="2019-01-02 06:00:00")
     return out.withColumn("run_dt", _date_text("run_dt"))
 
@@ -159,14 +166,13 @@ def derive_suppliers(spark, sf):
 
 @query("dim_date", """
 SELECT DISTINCT strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS date, CAST(year(o_orderdate) AS BIGINT) AS year,
-       CAST(month(o_orderdate) AS BIGINT) AS month, CAST(day(o_orderdate) AS BIGINT) AS day,
-       strftime(o_orderdate, '%a') AS day_of_week
+       CAST(quarter(o_orderdate) AS BIGINT) AS quarter, CAST(month(o_orderdate) AS BIGINT) AS month, CAST(day(o_orderdate) AS BIGINT) AS day,
+       strftime(o_orderdate, '%a') AS day_name
 FROM orders WHERE o_orderdate IS NOT NULL""")
 def dim_date(spark, sf):
-    """Date dimension from order timestamps (B1 with an empty order)."""
+    """Date dimension from order timestamps (full-load job, empty dedupe order)."""
     o = table(spark, sf, "orders").select(F.col("o_orderdate").alias("order_ts"))
-    d = dd.distinct_dimension(o, S.DIM_DATE_CFG["select_expr"], ["date"], functional=True)
-    return d.withColumn("date", _date_text("date"))
+    return jobs.full_load(o, S.DIM_DATE_CFG).withColumn("date", _date_text("date"))
 
 
 @query("dim_payment_method", with_views("SELECT DISTINCT payment_type AS payment_method FROM v_payments WHERE payment_type IS NOT NULL",
@@ -234,84 +240,72 @@ def hash_diff(spark, sf):
 
 @query("return_features", with_views("""
 SELECT s.order_id, r.review_score,
-       coalesce(date_diff('second', s.created_ts, s.delivered_ts) / 86400, 0.0) AS delivery_delay_days,
-       least(greatest(0.03::DOUBLE + (5 - coalesce(r.review_score, 5)) * 0.01::DOUBLE
-             + (least(greatest(coalesce(date_diff('second', s.created_ts, s.delivered_ts) / 86400, 0.0), 0.0::DOUBLE), 60.0::DOUBLE) / 60.0::DOUBLE) * 0.02::DOUBLE,
-             0.0::DOUBLE), 0.25::DOUBLE) AS return_propensity
+       coalesce(date_diff('second', s.created_ts, s.delivered_ts) / 86400, 0.0) AS delivery_delay_days
 FROM v_shipments s LEFT JOIN v_reviews r ON s.order_id = r.order_id WHERE s.order_status = 'F'""",
                                    ["v_shipments", "v_reviews"]))
 def return_features(spark, sf):
-    """Review join, delivery delay, clipped propensity."""
+    """Review join, delivery delay."""
     return jobs.return_features(view(spark, sf, "v_shipments"), view(spark, sf, "v_reviews"))
 
 
-# Category translation (source name -> English name); one
-# category is deliberately left untranslated to exercise the fallback.
-CATEGORY_TRANSLATION = (
-    ("ECONOMY", "economy_goods"),
-    ("LARGE", "large_items"),
-    ("MEDIUM", "medium_items"),
-    ("PROMO", "promotions"),
-    ("SMALL", "small_items"),
-)
-
-
-def _translation_sql():
-    rows = ", ".join(f"('{a}', '{b}')" for a, b in CATEGORY_TRANSLATION)
-    return f"SELECT * FROM (VALUES {rows}) t(product_category_name, product_category_name_english)"
+# Category translation (source name -> English name); the lookup file holds each
+# kind that has a translation, the others are left out to exercise the fallback.
+TRANSLATED_SQL = "SELECT DISTINCT p_type AS product_category_name, lower(p_type) || '_goods' AS product_category_name_english FROM part WHERE p_type < 'S'"
 
 
 @query("dim_product_translated", with_views("""
 SELECT p.p_partkey AS product_id, p.p_type AS category,
        coalesce(t.product_category_name_english, lower(p.p_type)) AS category_english, p.p_brand AS brand
-FROM part p LEFT JOIN tr t ON p.p_type = t.product_category_name""", ctes=[("tr", _translation_sql())]))
+FROM part p LEFT JOIN tr t ON p.p_type = t.product_category_name""", ctes=[("tr", TRANSLATED_SQL)]))
 def dim_product_translated(spark, sf):
-    """Category names translated through a small fixed lookup,
-    broadcast (its size is a fixed constant, not data-dependent)."""
-    tr = spark.createDataFrame(list(CATEGORY_TRANSLATION),
-                               "product_category_name string, product_category_name_english string")
+    """Category names translated through a lookup file (CSV with a header),
+    written from the parts of the run and read with the lookup reader; adaptive
+    execution broadcasts it if its measured size allows."""
     p = table(spark, sf, "part")
-    j = p.join(F.broadcast(tr), p.p_type == tr.product_category_name, "left")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lookup-{uuid.uuid4().hex}"
+    names = p.where(F.col("p_type") < "S").select(F.col("p_type").alias("product_category_name"),
+                                                  F.concat(F.lower("p_type"), F.lit("_goods")).alias("product_category_name_english"))
+    names.distinct().write.option("header", True).csv(path)
+    tr = read_lookup_csv(spark, path, ("product_category_name", "product_category_name_english"))
+    j = p.join(tr, p.p_type == tr.product_category_name, "left")
     return j.select(F.col("p_partkey").alias("product_id"), F.col("p_type").alias("category"),
                     F.coalesce(F.col("product_category_name_english"), F.lower("p_type")).alias("category_english"),
                     F.col("p_brand").alias("brand"))
 
 
-# Reorder point and restock quantity (the generator's restock bounds).
-REORDER_BELOW, RESTOCK_QTY = 20, 300
-
-
-@query("inventory_after_sales", with_views(f"""
-SELECT i.product_id, i.warehouse_id,
-       CAST(greatest(i.on_hand_qty - coalesce(s.sold_qty, 0), 0)
-            + CASE WHEN greatest(i.on_hand_qty - coalesce(s.sold_qty, 0), 0) < {REORDER_BELOW} THEN {RESTOCK_QTY} ELSE 0 END AS BIGINT) AS on_hand_qty,
+@query("inventory_after_sales", with_views("""
+SELECT coalesce(i.product_id, s.product_id) AS product_id, coalesce(i.warehouse_id, s.warehouse_id) AS warehouse_id,
+       CAST(greatest(coalesce(i.on_hand_qty, 0) - coalesce(s.sold_qty, 0), 0) AS BIGINT) AS on_hand_qty,
        i.reserved_qty, CAST(coalesce(s.sold_qty, 0) AS BIGINT) AS sold_qty,
-       greatest(i.on_hand_qty - coalesce(s.sold_qty, 0), 0) < {REORDER_BELOW} AS restocked
-FROM v_inventory i LEFT JOIN (
+       CAST(greatest(coalesce(s.sold_qty, 0) - coalesce(i.on_hand_qty, 0), 0) AS BIGINT) AS short_qty, i.product_id IS NOT NULL AS in_stock
+FROM v_inventory i FULL JOIN (
   SELECT l_partkey AS product_id, l_suppkey % 3 AS warehouse_id, CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS sold_qty
   FROM lineitem WHERE l_shipdate >= DATE '1998-01-01' GROUP BY 1, 2) s
 ON i.product_id = s.product_id AND i.warehouse_id = s.warehouse_id""", ["v_inventory"]))
 def inventory_after_sales(spark, sf):
-    """Stock after the day's sales, restocked below the reorder point."""
+    """Stock after the day's sales; what is not in stock comes out as short."""
     li = table(spark, sf, "lineitem").where(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
     sales = li.select(F.col("l_partkey").alias("product_id"), (F.col("l_suppkey") % 3).alias("warehouse_id"),
                       F.col("l_quantity").cast("int").alias("qty"))
-    out = agg.stock_after_sales(view(spark, sf, "v_inventory"), sales, ["product_id", "warehouse_id"],
-                                "on_hand_qty", "qty", REORDER_BELOW, RESTOCK_QTY)
-    return out.select("product_id", "warehouse_id", "on_hand_qty", "reserved_qty", "sold_qty", "restocked")
+    out = agg.stock_after_sales(view(spark, sf, "v_inventory"), sales, ["product_id", "warehouse_id"], "on_hand_qty", "qty")
+    return out.select("product_id", "warehouse_id", "on_hand_qty", "reserved_qty", "sold_qty", "short_qty", "in_stock")
 
 
 @query("gold_daily_sales", """
 SELECT strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') AS ship_dt, l_returnflag AS return_flag,
        count(*) AS n_lines, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS qty,
        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2)))) AS DOUBLE) AS revenue
-FROM (SELECT DISTINCT * FROM lineitem WHERE l_orderkey IS NOT NULL AND l_shipdate IS NOT NULL)
+FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag, l_shipdate, l_quantity, l_extendedprice, l_discount
+      FROM lineitem WHERE l_orderkey IS NOT NULL AND l_shipdate IS NOT NULL)
 GROUP BY 1, 2""")
 def gold_daily_sales(spark, sf):
-    """K8: bronze (raw lines) -> silver (keyed, exact duplicates removed) ->
-    gold (daily sales per return flag)."""
-    bronze = table(spark, sf, "lineitem")
-    silver = dd.distinct_rows(bronze.where(F.col("l_orderkey").isNotNull() & F.col("l_shipdate").isNotNull()))
+    """K8: bronze (raw lines) -> silver (keyed, copies removed, only the columns
+    that gold needs, written once) -> gold (daily sales per return flag)."""
+    cols = ["l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate", "l_quantity", "l_extendedprice", "l_discount"]
+    bronze = table(spark, sf, "lineitem").select(*cols)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/silver-{uuid.uuid4().hex}"
+    dd.distinct_rows(bronze.where(F.col("l_orderkey").isNotNull() & F.col("l_shipdate").isNotNull())).write.parquet(path)
+    silver = spark.read.parquet(path)
     g = agg.grouped_agg(
         silver.withColumn("ship_dt", F.date_format("l_shipdate", "yyyy-MM-dd")).withColumnRenamed("l_returnflag", "return_flag"),
         ["ship_dt", "return_flag"],
@@ -323,37 +317,41 @@ def gold_daily_sales(spark, sf):
 
 
 @query("fact_order_items", f"""
-SELECT l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS line_no, l_partkey AS product_id, l_suppkey AS seller_id,
-       CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS price,
-       CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(18,2)) AS DOUBLE) AS freight, '{RUN_DT}' AS dt
+SELECT l_orderkey AS order_key, CAST(l_linenumber AS BIGINT) AS line_no, l_partkey AS part_key, l_suppkey AS supplier_key,
+       CAST({MONEY.format('l_quantity')} AS DOUBLE) AS units, CAST({NET_SQL} AS DOUBLE) AS net, '{RUN_DT}' AS dt
 FROM lineitem""")
 def fact_order_items(spark, sf):
-    """Order-items fact from its config."""
-    return jobs.fact_load(table(spark, sf, "lineitem"), S.FACT_ORDER_ITEMS_CFG, RUN_DT)
+    """Order-lines fact from its config."""
+    return jobs.fact_load(table(spark, sf, "lineitem"), S.ORDER_LINES_CFG, RUN_DT)
 
 
-@query("fact_payments", with_views(f"""
-SELECT order_id, payment_type, CAST(payment_installments AS INTEGER) AS payment_installments,
-       CAST(payment_value AS DOUBLE) AS payment_value, '{RUN_DT}' AS dt FROM v_payments""", ["v_payments"]))
+@query("fact_payments", with_views(f"SELECT {PAYMENT_COLS_SQL}, '{RUN_DT}' AS dt FROM v_payments", ["v_payments"]))
 def fact_payments(spark, sf):
     """Payments fact from its config."""
-    return jobs.fact_load(view(spark, sf, "v_payments"), S.FACT_PAYMENTS_CFG, RUN_DT)
+    return jobs.fact_load(view(spark, sf, "v_payments"), S.PAYMENTS_CFG, RUN_DT)
+
+
+@query("fact_payments_delta", with_views(f"""
+SELECT DISTINCT {PAYMENT_COLS_SQL}, '{RUN_DT}' AS dt FROM v_payments p JOIN v_orders_delta d USING (order_id) WHERE d.op IN ('I', 'C')""",
+                                         ["v_payments", "v_orders_delta"]))
+def fact_payments_delta(spark, sf):
+    """Payments of a change feed; the config takes inserts and changes."""
+    feed = view(spark, sf, "v_payments").join(view(spark, sf, "v_orders_delta").select("order_id", "op"), "order_id")
+    return jobs.fact_load(feed, S.PAYMENTS_CFG, RUN_DT)
 
 
-@query("fact_shipments", with_views(f"""
-SELECT order_id AS shipment_id, order_id, shipment_status, carrier, shipped_ts, delivered_ts, '{RUN_DT}' AS dt FROM ship""",
-                                    ["v_shipments"], [("ship", SHIP_SQL)]))
+@query("fact_shipments", with_views(f"SELECT {SHIPMENT_COLS_SQL}, '{RUN_DT}' AS dt FROM ship", ["v_shipments"], [("ship", SHIP_SQL)]))
 def fact_shipments(spark, sf):
     """Shipments fact from its config."""
-    return jobs.fact_load(jobs.derive_shipments(view(spark, sf, "v_shipments")), S.FACT_SHIPMENTS_CFG, RUN_DT)
+    return jobs.fact_load(jobs.derive_shipments(view(spark, sf, "v_shipments")), S.SHIPMENTS_CFG, RUN_DT)
 
 
 @query("fact_returns", with_views(f"""
-SELECT CAST(order_id AS VARCHAR) || '-' || CAST(line_no AS VARCHAR) AS return_id, order_id, return_ts, return_reason,
-       CAST(refund_amount AS DOUBLE) AS refund_amount, '{RUN_DT}' AS dt FROM v_returns""", ["v_returns"]))
+SELECT CAST(order_id AS VARCHAR) || '/' || CAST(line_no AS VARCHAR) AS return_key, order_id AS order_key, return_ts AS returned_at,
+       lower(return_reason) AS why, CAST(refund_amount AS DOUBLE) AS refund, '{RUN_DT}' AS dt FROM v_returns""", ["v_returns"]))
 def fact_returns(spark, sf):
     """Returns fact from its config."""
-    return jobs.fact_load(view(spark, sf, "v_returns"), S.FACT_RETURNS_CFG, RUN_DT)
+    return jobs.fact_load(view(spark, sf, "v_returns"), S.RETURNS_CFG, RUN_DT)
 
 
 @query("log_parse", with_views("""

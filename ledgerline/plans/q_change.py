@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ledgerline.operators import change as ch
 from ledgerline.operators import scd2
 from ledgerline.operators.dedupe import dedupe_latest
+from ledgerline.operators.quality import null_keys
 from ledgerline.operators.shape import filter_op
 from ledgerline.plans import jobs
 from ledgerline.plans import specs as S
@@ -15,22 +18,22 @@ from ledgerline.plans.fixtures import table, view, with_views
 from ledgerline.plans.oracle_sql import (sql_dedupe, sql_hash, sql_hist_out, sql_net_ops, sql_scd2_initial,
                                          sql_scd2_step)
 from ledgerline.plans.spec import run_scd2_spec
-from ledgerline.session import cut_lineage
+from ledgerline.session import ensure_checkpoint_dir
 
 RUN_TS = {1: "2019-01-01 00:00:00", 2: "2019-01-02 00:00:00", 3: "2019-01-03 00:00:00"}
 RUN_DT = {d: ts[:10] for d, ts in RUN_TS.items()}
 
 CUST_RAW = ["customer_id", "customer_unique_id", "zip_code_prefix", "customer_city", "customer_state",
             "segment", "last_updated_dt"]
-CUST_OUT = ["customer_id", "customer_unique_id", "zip_code_prefix", "city", "state", "segment"]
+CUST_OUT = ["customer_id", "market", "nation", "region", "nation_code", "label"]
 CUST_TRACKED = S.DIM_CUSTOMER_CFG["scd2_columns"]
-CUST_SELECT_SQL = ("customer_id, customer_unique_id, CAST(zip_code_prefix AS INTEGER) AS zip_code_prefix, "
-                   "lower(trim(customer_city)) AS city, upper(trim(customer_state)) AS state, segment")
+CUST_SELECT_SQL = ("customer_id, segment AS market, lower(trim(customer_city)) AS nation, upper(trim(customer_state)) AS region, "
+                   "CAST(zip_code_prefix AS INTEGER) AS nation_code, customer_unique_id AS label")
 
 PROD_RAW = ["product_id", "category", "weight_g", "brand"]
-PROD_OUT = ["product_id", "category", "weight_g", "brand"]
+PROD_OUT = ["product_id", "kind", "size_class", "brand"]
 SUPP_RAW = ["supplier_id", "city", "state", "supplier_status"]
-SUPP_OUT = ["supplier_id", "city", "state", "status"]
+SUPP_OUT = ["supplier_id", "nation", "region", "standing"]
 
 
 def hist_out(h, cols):
@@ -149,11 +152,12 @@ def cdc_upserts(spark, sf):
 
 
 @query("fact_append", with_views("""
-SELECT DISTINCT order_id, customer_id, order_status, CAST(order_ts AS TIMESTAMP) AS order_ts, '2019-01-02' AS dt
-FROM v_orders_delta WHERE op = 'I'""", ["v_orders_delta"]))
+SELECT DISTINCT order_id AS order_key, customer_id AS buyer_key, order_status AS state, CAST(order_ts AS TIMESTAMP) AS placed_at, '2019-01-02' AS dt
+FROM v_facts_delta WHERE op = 'I'""", ["v_facts_delta"]))
 def fact_append(spark, sf):
-    """Insert-only fact rows of a delta, tagged with the run date."""
-    return jobs.delta_append(view(spark, sf, "v_orders_delta"), S.FACT_ORDERS_CFG, RUN_DT[2])
+    """Insert-only fact rows of a delta, tagged with the run date; inserts
+    that differ only in the sequence are one fact."""
+    return jobs.delta_append(view(spark, sf, "v_facts_delta"), S.PLACED_ORDERS_CFG, RUN_DT[2])
 
 
 @query("cdc_merge_inventory", with_views("""
@@ -192,19 +196,44 @@ def update_attribute(spark, sf):
     return ch.update_attribute(o, upd, ["o_orderkey"], {"o_orderstatus": "order_status"})
 
 
-RUN_DAYS = ("2018-12-31", "2019-01-01", "2019-01-02", "2019-01-03")
-
-
 @query("facts_accumulate", with_views("""
-SELECT order_id, customer_id, CAST(amount AS DOUBLE) AS amount, strftime(order_dt, '%Y-%m-%d') AS dt FROM v_orders_dated
-WHERE order_dt IN (DATE '2018-12-31', DATE '2019-01-01', DATE '2019-01-02', DATE '2019-01-03')""", ["v_orders_dated"]))
+SELECT order_id, customer_id, CAST(amount AS DOUBLE) AS amount, strftime(order_dt, '%Y-%m-%d') AS dt FROM v_orders_dated""", ["v_orders_dated"]))
 def facts_accumulate(spark, sf):
-    """U-2: each day's facts appended to the running fact table."""
+    """U-2: each day's facts appended to the running fact table, for the days that
+    the data holds."""
     src = view(spark, sf, "v_orders_dated")
+    found = [r["d"] for r in src.select(F.date_format("order_dt", "yyyy-MM-dd").alias("d")).distinct().orderBy("d").collect()]  # one row a day
     days = [src.where(F.col("order_dt") == F.to_date(F.lit(d)))
                .select("order_id", "customer_id", F.col("amount").cast("double").alias("amount"))
-               .withColumn("dt", F.lit(d)) for d in RUN_DAYS]
-    return jobs.accumulate(days)
+               .withColumn("dt", F.lit(d)) for d in found]
+    empty = src.limit(0).select("order_id", "customer_id", F.col("amount").cast("double").alias("amount"), F.lit("").alias("dt"))
+    return jobs.accumulate(days or [empty])
+
+
+NULL_KEY_SQL = """
+SELECT product_id, warehouse_id, on_hand_qty, reserved_qty, op, seq FROM v_inventory_delta
+UNION ALL
+SELECT CAST(NULL AS BIGINT), warehouse_id, on_hand_qty, reserved_qty, op, seq FROM v_inventory_delta WHERE product_id % 35 = 0"""
+
+
+@query("cdc_null_key_rejects", with_views("""
+SELECT product_id, warehouse_id, on_hand_qty, op FROM nd WHERE product_id IS NULL OR warehouse_id IS NULL
+UNION ALL
+SELECT product_id, warehouse_id, on_hand_qty, 'kept' AS op FROM (
+  SELECT product_id, warehouse_id, on_hand_qty FROM v_inventory i
+  WHERE NOT EXISTS (SELECT 1 FROM net n WHERE n.product_id = i.product_id AND n.warehouse_id = i.warehouse_id)
+  UNION ALL SELECT product_id, warehouse_id, on_hand_qty FROM net WHERE op <> 'D')""",
+    ["v_inventory", "v_inventory_delta"],
+    [("nd", NULL_KEY_SQL), ("net", sql_net_ops("(SELECT * FROM nd WHERE product_id IS NOT NULL AND warehouse_id IS NOT NULL)",
+                                               ["product_id", "warehouse_id"], INV_DELTA))]))
+def cdc_null_key_rejects(spark, sf):
+    """Changes without a key are rejected, not merged; merging twice changes nothing."""
+    delta = view(spark, sf, "v_inventory_delta")
+    nd = delta.unionByName(delta.where("product_id % 35 = 0").withColumn("product_id", F.lit(None).cast("bigint")))
+    keys = ["product_id", "warehouse_id"]
+    merged = ch.cdc_merge(ch.cdc_merge(view(spark, sf, "v_inventory"), nd, keys), nd, keys)
+    cols = ("product_id", "warehouse_id", "on_hand_qty")
+    return null_keys(nd, keys).select(*cols, "op").unionByName(merged.select(*cols, F.lit("kept").alias("op")))
 
 
 # ------------------------------------------------------------------ SCD2
@@ -242,16 +271,36 @@ def scd2_history_close_missing(spark, sf):
 
 @query("scd2_rerun", with_views(sql_hist_out("h3", CUST_OUT), cust_views(3), cust_hist_ctes(3)))
 def scd2_rerun(spark, sf):
-    """Day 3 applied again after a rewind equals a single application."""
-    h = cut_lineage(cust_history(spark, sf, 3))
-    again = jobs.scd2_load(h, view(spark, sf, "v_cust_d3"), S.DIM_CUSTOMER_CFG, RUN_TS[3], rewind_first=True)
-    return hist_out(again, CUST_OUT)
+    """The daily job over three days, day 3 run again under its own id and
+    once more under another: the same table as a single run of each day."""
+    name = f"rerun_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+    for d, run_id in ((1, "r1"), (2, "r2"), (3, "r3"), (3, "r3"), (3, "again")):
+        h = jobs.scd2_daily(spark, name, path, view(spark, sf, f"v_cust_d{d}"), S.DIM_CUSTOMER_CFG, RUN_TS[d], run_id, buckets=8)
+    return hist_out(h, CUST_OUT)
+
+
+def _addr_sql(day: int) -> str:
+    return (f"SELECT 'A' || CAST(customer_id AS VARCHAR) AS address_key, customer_id, lower(trim(customer_city)) AS nation, "
+            f"upper(trim(customer_state)) AS region FROM ({sql_dedupe(f'v_addr_d{day}', ['customer_id'], 'last_updated_dt DESC NULLS LAST', CUST_RAW)})")
+
+
+ADDR_OUT = ["address_key", "customer_id", "nation", "region"]
+
+
+@query("dim_customer_address", with_views(sql_hist_out("h2", ADDR_OUT), ["v_addr_d1", "v_addr_d2"], [
+    ("t1", _addr_sql(1)), ("t2", _addr_sql(2)), ("h1", sql_scd2_initial("t1", ADDR_OUT, S.DIM_CUSTOMER_ADDRESS_CFG["scd2_columns"], RUN_TS[1])),
+    ("h2", sql_scd2_step("h1", "t2", ["address_key"], ADDR_OUT[1:], S.DIM_CUSTOMER_ADDRESS_CFG["scd2_columns"], RUN_TS[2]))]))
+def dim_customer_address(spark, sf):
+    """Customer addresses as a versioned dimension; movers get a new version."""
+    days = [(RUN_TS[d], view(spark, sf, f"v_addr_d{d}")) for d in (1, 2)]
+    return hist_out(jobs.scd2_replay(None, days, S.DIM_CUSTOMER_ADDRESS_CFG), ADDR_OUT)
 
 
 def _prod_hist_ctes():
     t1 = sql_dedupe("v_prod_d1", ["product_id"], "", PROD_RAW)
     t2 = sql_dedupe("v_prod_d2", ["product_id"], "", PROD_RAW)
-    sel = "product_id, category, CAST(weight_g AS INTEGER) AS weight_g, brand"
+    sel = "product_id, category AS kind, CAST(weight_g AS INTEGER) AS size_class, brand"
     tracked = S.DIM_PRODUCT_CFG["scd2_columns"]
     return [("t1", f"SELECT {sel} FROM ({t1})"), ("t2", f"SELECT {sel} FROM ({t2})"),
             ("h1", sql_scd2_initial("t1", PROD_OUT, tracked, RUN_TS[1])),
@@ -269,7 +318,8 @@ def scd2_apply_product(spark, sf):
 def _supp_hist_ctes():
     t1 = sql_dedupe("v_supp_d1", ["supplier_id"], "", SUPP_RAW)
     t2 = sql_dedupe("v_supp_d2", ["supplier_id"], "", SUPP_RAW)
-    sel = "supplier_id, lower(trim(city)) AS city, upper(trim(state)) AS state, supplier_status AS status"
+    sel = ("supplier_id, lower(trim(city)) AS nation, upper(trim(state)) AS region, "
+           "upper(substr(supplier_status, 1, 1)) || lower(substr(supplier_status, 2)) AS standing")
     tracked = S.DIM_SUPPLIER_CFG["scd2_columns"]
     return [("t1", f"SELECT {sel} FROM ({t1})"), ("t2", f"SELECT {sel} FROM ({t2})"),
             ("h1", sql_scd2_initial("t1", SUPP_OUT, tracked, RUN_TS[1])),
@@ -287,8 +337,8 @@ def scd2_apply_supplier(spark, sf):
 @query("spec_dim_customer", with_views(sql_hist_out("h2", CUST_OUT), cust_views(2), cust_hist_ctes(2)))
 def spec_dim_customer(spark, sf):
     """The SCD2 spec (dedupe, rule-based columns, merge) over two days."""
-    h = run_scd2_spec(S.DIM_CUSTOMER_SPEC, view(spark, sf, "v_cust_d1"), None, RUN_TS[1])
-    h = run_scd2_spec(S.DIM_CUSTOMER_SPEC, view(spark, sf, "v_cust_d2"), h, RUN_TS[2])
+    h = run_scd2_spec(S.BUYER_SPEC, view(spark, sf, "v_cust_d1"), None, RUN_TS[1])
+    h = run_scd2_spec(S.BUYER_SPEC, view(spark, sf, "v_cust_d2"), h, RUN_TS[2])
     return hist_out(h, CUST_OUT)
 
 
@@ -296,22 +346,27 @@ def _seen_sql():
     return " UNION ALL ".join(f"SELECT customer_id, DATE '{RUN_DT[d]}' AS dt FROM v_cust_d{d}" for d in (1, 2, 3))
 
 
+def _last_seen(spark, sf):
+    """Last sighting per key, carried over the three days as the daily job does."""
+    seen = None
+    for d in (1, 2, 3):
+        seen = scd2.last_seen(seen, view(spark, sf, f"v_cust_d{d}"), ["customer_id"], "dt", RUN_DT[d])
+    return seen
+
+
 @query("soft_delete_keys", with_views("""
 SELECT customer_id, strftime(last_seen_dt, '%Y-%m-%d') AS last_seen_dt, days_missing FROM (
   SELECT customer_id, max(dt) AS last_seen_dt, CAST(date_diff('day', max(dt), DATE '2019-01-03') AS BIGINT) AS days_missing
   FROM seen GROUP BY customer_id) WHERE days_missing >= 1""", cust_views(3), [("seen", _seen_sql())]))
 def soft_delete_keys(spark, sf):
     """Keys missing from the snapshots for at least one day at the run date."""
-    seen = None
-    for d in (1, 2, 3):
-        part = view(spark, sf, f"v_cust_d{d}").select("customer_id", F.to_date(F.lit(RUN_DT[d])).alias("dt"))
-        seen = part if seen is None else seen.unionByName(part)
+    seen = _last_seen(spark, sf)
     out = scd2.soft_delete_keys(seen, ["customer_id"], "dt", RUN_DT[3], 1)
     return out.withColumn("last_seen_dt", F.date_format("last_seen_dt", "yyyy-MM-dd"))
 
 
 @query("scd2_soft_delete", with_views(f"""
-SELECT customer_id, customer_unique_id, zip_code_prefix, city, state, segment, hash_diff,
+SELECT customer_id, market, nation, region, nation_code, label, hash_diff,
        strftime(effective_from, '%Y-%m-%d') AS effective_from,
        strftime(CASE WHEN is_current AND customer_id IN (SELECT customer_id FROM gone) THEN TIMESTAMP '{RUN_TS[3]}' ELSE effective_to END, '%Y-%m-%d') AS effective_to,
        CASE WHEN is_current AND customer_id IN (SELECT customer_id FROM gone) THEN false ELSE is_current END AS is_current
@@ -319,10 +374,7 @@ FROM h3""", cust_views(3), cust_hist_ctes(3) + [("seen", _seen_sql()), ("gone",
 SELECT customer_id FROM seen GROUP BY customer_id HAVING date_diff('day', max(dt), DATE '2019-01-03') >= 1""")]))
 def scd2_soft_delete(spark, sf):
     """C8 applied: open versions of keys missing for N days are closed."""
-    seen = None
-    for d in (1, 2, 3):
-        part = view(spark, sf, f"v_cust_d{d}").select("customer_id", F.to_date(F.lit(RUN_DT[d])).alias("dt"))
-        seen = part if seen is None else seen.unionByName(part)
+    seen = _last_seen(spark, sf)
     gone = scd2.soft_delete_keys(seen, ["customer_id"], "dt", RUN_DT[3], 1)
     return hist_out(scd2.close_keys(cust_history(spark, sf, 3), gone, ["customer_id"], RUN_TS[3]), CUST_OUT)
 
@@ -332,15 +384,15 @@ def _snaps_sql():
 
 
 @query("scd2_from_snapshots", with_views(f"""
-SELECT customer_id, customer_unique_id, zip_code_prefix, city, state, segment, {sql_hash(CUST_TRACKED)} AS hash_diff,
+SELECT customer_id, market, nation, region, nation_code, label, {sql_hash(CUST_TRACKED)} AS hash_diff,
        strftime(dt, '%Y-%m-%d') AS effective_from,
        strftime(coalesce(CAST(lead(dt) OVER (PARTITION BY customer_id ORDER BY dt) AS TIMESTAMP), TIMESTAMP '9999-12-31'), '%Y-%m-%d') AS effective_to,
        lead(dt) OVER (PARTITION BY customer_id ORDER BY dt) IS NULL AS is_current
 FROM (SELECT *, lag(dt) OVER w AS pdt,
-             lag(zip_code_prefix) OVER w AS p1, lag(city) OVER w AS p2, lag(state) OVER w AS p3, lag(segment) OVER w AS p4
+             lag(market) OVER w AS p1, lag(nation) OVER w AS p2, lag(region) OVER w AS p3, lag(nation_code) OVER w AS p4
       FROM snaps WINDOW w AS (PARTITION BY customer_id ORDER BY dt))
-WHERE pdt IS NULL OR zip_code_prefix IS DISTINCT FROM p1 OR city IS DISTINCT FROM p2 OR state IS DISTINCT FROM p3
-      OR segment IS DISTINCT FROM p4""", cust_views(3), cust_hist_ctes(3)[:3] + [("snaps", _snaps_sql())]))
+WHERE pdt IS NULL OR market IS DISTINCT FROM p1 OR nation IS DISTINCT FROM p2 OR region IS DISTINCT FROM p3
+      OR nation_code IS DISTINCT FROM p4""", cust_views(3), cust_hist_ctes(3)[:3] + [("snaps", _snaps_sql())]))
 def scd2_from_snapshots(spark, sf):
     """A whole history from many daily snapshots in one pass (backfill)."""
     snaps = None
@@ -350,3 +402,15 @@ def scd2_from_snapshots(spark, sf):
         snaps = part if snaps is None else snaps.unionByName(part)
     h = scd2.scd2_from_snapshots(snaps, ["customer_id"], CUST_TRACKED, "dt")
     return hist_out(h, CUST_OUT)
+
+
+@query("scd2_from_snapshots_close", with_views(sql_hist_out("h3", CUST_OUT), cust_views(3), cust_hist_ctes(3, "close")))
+def scd2_from_snapshots_close(spark, sf):
+    """W5 with on_missing='close': a backfill that equals the daily job's table."""
+    snaps = None
+    for d in (1, 2, 3):
+        raw = dedupe_latest(view(spark, sf, f"v_cust_d{d}"), ["customer_id"], ["last_updated_dt desc"])
+        part = jobs.select_expr(raw, S.DIM_CUSTOMER_CFG["select_expr"]).withColumn("dt", F.to_date(F.lit(RUN_DT[d])))
+        snaps = part if snaps is None else snaps.unionByName(part)
+    h = scd2.scd2_from_snapshots(snaps, ["customer_id"], CUST_TRACKED, "dt", on_missing="close", days=[RUN_DT[d] for d in (1, 2, 3)])
+    return hist_out(h, CUST_OUT)

@@ -9,7 +9,7 @@ from ledgerline.operators.shape import build_select
 from ledgerline.plans import specs as S
 from ledgerline.plans.catalog import query
 from ledgerline.plans.fixtures import table, view, with_views
-from ledgerline.plans.spec import lineage_from_spec
+from ledgerline.plans.spec import lineage_from_spec, observed_node_rows
 
 # Fixed accepted values: the five market segments of the source table.
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
@@ -101,11 +101,11 @@ def dq_report(spark, sf):
 
 CONTRACT = [
     {"name": "customer_id", "type": "bigint", "nullable": False},
-    {"name": "customer_unique_id", "type": "bigint"},
-    {"name": "zip_code_prefix", "type": "bigint"},
-    {"name": "city", "type": "string"},
-    {"name": "state", "type": "string"},
-    {"name": "segment", "type": "string", "nullable": False},
+    {"name": "label", "type": "bigint"},
+    {"name": "nation_code", "type": "bigint"},
+    {"name": "nation", "type": "string"},
+    {"name": "region", "type": "string"},
+    {"name": "market", "type": "string", "nullable": False},
     {"name": "email", "type": "string"},
 ]
 
@@ -115,26 +115,26 @@ SELECT 'customer_id' AS column_name, 'bigint' AS declared_type, 'bigint' AS actu
        CAST(count(*) - count(customer_id) AS BIGINT) AS null_violations,
        CAST(count(*) FILTER (WHERE customer_id IS NOT NULL AND TRY_CAST(customer_id AS BIGINT) IS NULL) AS BIGINT) AS cast_failures FROM d
 UNION ALL
-SELECT 'customer_unique_id', 'bigint', 'string', false, true, 0,
-       CAST(count(*) FILTER (WHERE customer_unique_id IS NOT NULL AND TRY_CAST(customer_unique_id AS BIGINT) IS NULL) AS BIGINT) FROM d
+SELECT 'label', 'bigint', 'string', false, true, 0,
+       CAST(count(*) FILTER (WHERE label IS NOT NULL AND TRY_CAST(label AS BIGINT) IS NULL) AS BIGINT) FROM d
 UNION ALL
-SELECT 'zip_code_prefix', 'bigint', 'int', false, true, 0,
-       CAST(count(*) FILTER (WHERE zip_code_prefix IS NOT NULL AND TRY_CAST(zip_code_prefix AS BIGINT) IS NULL) AS BIGINT) FROM d
+SELECT 'nation_code', 'bigint', 'int', false, true, 0,
+       CAST(count(*) FILTER (WHERE nation_code IS NOT NULL AND TRY_CAST(nation_code AS BIGINT) IS NULL) AS BIGINT) FROM d
 UNION ALL
-SELECT 'city', 'string', 'string', false, false, 0, 0
+SELECT 'nation', 'string', 'string', false, false, 0, 0
 UNION ALL
-SELECT 'state', 'string', 'string', false, false, 0, 0
+SELECT 'region', 'string', 'string', false, false, 0, 0
 UNION ALL
-SELECT 'segment', 'string', 'string', false, false, CAST(count(*) - count(segment) AS BIGINT), 0 FROM d
+SELECT 'market', 'string', 'string', false, false, CAST(count(*) - count(market) AS BIGINT), 0 FROM d
 UNION ALL
 SELECT 'email', 'string', NULL, true, false, NULL, NULL""",
     ["v_cust_d3"], [("d", """
-SELECT customer_id, customer_unique_id, CAST(zip_code_prefix AS INTEGER) AS zip_code_prefix,
-       lower(trim(customer_city)) AS city, upper(trim(customer_state)) AS state, segment FROM v_cust_d3""")]))
+SELECT customer_id, segment AS market, lower(trim(customer_city)) AS nation, upper(trim(customer_state)) AS region,
+       CAST(zip_code_prefix AS INTEGER) AS nation_code, customer_unique_id AS label FROM v_cust_d3""")]))
 def contract_violations(spark, sf):
     """Declared names, types and nullability checked against the output
     of the spec projection, violations counted in one aggregate."""
-    out = build_select(view(spark, sf, "v_cust_d3"), S.DIM_CUSTOMER_SPEC["columns"])
+    out = build_select(view(spark, sf, "v_cust_d3"), S.BUYER_SPEC["columns"])
     return quality.contract_violations(out, CONTRACT)
 
 
@@ -151,14 +151,8 @@ def run_metrics(spark, sf):
     return meta.run_metrics(view(spark, sf, "v_cust_d2"), ["customer_id"], bad, "r20190102", "2019-01-02", "dim_customer")
 
 
-def _fact_spec():
-    fact = dict(S.FACT_ORDERS_SPEC)
-    fact["sources"] = {"orders": {"path": "orders"}, "items": {"path": "lineitem"}}
-    return fact
-
-
 def _lineage_edges():
-    return lineage_from_spec(_fact_spec()) + lineage_from_spec(S.DIM_CUSTOMER_SPEC)
+    return lineage_from_spec(S.ORDER_VALUE_SPEC) + lineage_from_spec(S.BUYER_SPEC)
 
 
 def _edges_sql():
@@ -166,17 +160,15 @@ def _edges_sql():
     return f"SELECT DISTINCT * FROM (VALUES {rows}) t(upstream, downstream)"
 
 
-NODE_ROWS_SQL = """
+_PLACED = "SELECT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL AND o_custkey IS NOT NULL"
+NODE_ROWS_SQL = f"""
 SELECT 'orders' AS node, count(*) AS n FROM orders
 UNION ALL SELECT 'lineitem', count(*) FROM lineitem
-UNION ALL SELECT 'items', count(*) FROM lineitem
-UNION ALL SELECT 'orders_clean', count(*) FROM orders WHERE o_orderkey IS NOT NULL
-UNION ALL SELECT 'items_clean', count(*) FROM lineitem
-UNION ALL SELECT 'order_agg', count(*) FROM (SELECT l_orderkey FROM lineitem GROUP BY 1)
-UNION ALL SELECT 'joined', count(*) FROM (SELECT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL) o
-  LEFT JOIN (SELECT l_orderkey FROM lineitem GROUP BY 1) a ON o.o_orderkey = a.l_orderkey
-UNION ALL SELECT 'fact_orders', count(*) FROM (SELECT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL) o
-  LEFT JOIN (SELECT l_orderkey FROM lineitem GROUP BY 1) a ON o.o_orderkey = a.l_orderkey"""
+UNION ALL SELECT 'line_values', count(*) FROM lineitem
+UNION ALL SELECT 'per_order', count(*) FROM (SELECT l_orderkey FROM lineitem GROUP BY 1)
+UNION ALL SELECT 'placed', count(*) FROM ({_PLACED})
+UNION ALL SELECT 'valued', count(*) FROM ({_PLACED}) o LEFT JOIN (SELECT l_orderkey FROM lineitem GROUP BY 1) a ON o.o_orderkey = a.l_orderkey
+UNION ALL SELECT 'order_value', count(*) FROM ({_PLACED}) o LEFT JOIN (SELECT l_orderkey FROM lineitem GROUP BY 1) a ON o.o_orderkey = a.l_orderkey"""
 
 
 @query("lineage_edges", with_views("""
@@ -189,21 +181,31 @@ UNION SELECT r.upstream, e.downstream, r.depth + 1 FROM reach r JOIN edges e ON
     ("node_rows", NODE_ROWS_SQL),
 ], recursive=True))
 def lineage_edges(spark, sf):
-    """Transitive lineage of the two specs (iterated joins), with the
-    row count of every node the batch spec produces from the tables."""
-    from ledgerline.plans.spec import spec_frames
-
+    """Transitive lineage of the two specs (iterated joins), with the row
+    count of every node, observed while the batch spec's target is computed."""
     closure = meta.lineage_closure(meta.edges_frame(spark, _lineage_edges()))
-    orders, items = table(spark, sf, "orders"), table(spark, sf, "lineitem")
-    frames = spec_frames(_fact_spec(), {"orders": orders, "items": items}, {"run_dt": "2019-01-02", "run_id": "r"})
-    frames["lineitem"] = items
-    node_rows = meta.node_row_counts(frames)
+    frames = {"orders": table(spark, sf, "orders"), "lineitem": table(spark, sf, "lineitem")}
+    counts = observed_node_rows(S.ORDER_VALUE_SPEC, frames, {"run_dt": "2019-01-02", "run_id": "r"})
+    node_rows = spark.createDataFrame(list(counts.items()), "node string, rows bigint")
     up = node_rows.select(F.col("node").alias("upstream"), F.col("rows").alias("upstream_rows"))
     down = node_rows.select(F.col("node").alias("downstream"), F.col("rows").alias("downstream_rows"))
     return (closure.join(up, "upstream", "left").join(down, "downstream", "left")
             .select("upstream", "downstream", "depth", "upstream_rows", "downstream_rows"))
 
 
+@query("dq_report_empty", with_views("""
+SELECT 'not_null' AS check_name, 'segment' AS column_name, count(*) AS rows, CAST(0 AS BIGINT) AS failed, count(*) = 0 AS passed FROM e
+UNION ALL SELECT 'unique', 'customer_id', count(*), CAST(0 AS BIGINT), count(*) = 0 FROM e
+UNION ALL SELECT 'freshness', 'last_updated_dt', 1, CAST(1 AS BIGINT), false""", ["v_cust_d2"],
+    [("e", "SELECT * FROM v_cust_d2 WHERE customer_id < 0")]))
+def dq_report_empty(spark, sf):
+    """A filter that no row passes leaves verdicts, not nulls: nothing
+    failed, but the table is stale."""
+    none = view(spark, sf, "v_cust_d2").where("customer_id < 0")
+    return quality.dq_report(none, [{"check": "not_null", "column": "segment"}, {"check": "unique", "columns": ["customer_id"]},
+                                    {"check": "freshness", "column": "last_updated_dt", "max_age_seconds": 86400}], run_ts=REPORT_RUN_TS)
+
+
 PII_COLS = ["text", "source", "lang"]
 PII_THRESHOLD = 0.005
 

@@ -9,7 +9,8 @@ from ledgerline.plans.catalog import query
 from ledgerline.plans.fixtures import view, with_views
 from ledgerline.plans.q_change import RUN_TS, cust_hist_ctes, cust_history, cust_views
 
-SK_SQL = "sha256(concat_ws('||', CAST(h.customer_id AS VARCHAR), strftime(h.effective_from, '%Y-%m-%d %H:%M:%S')))"
+_SK_ID, _SK_FROM = "CAST(h.customer_id AS VARCHAR)", "strftime(h.effective_from, '%Y-%m-%d %H:%M:%S.%f')"
+SK_SQL = f"sha256(length({_SK_ID}) || ':' || {_SK_ID} || length({_SK_FROM}) || ':' || {_SK_FROM})"
 SK_OR_UNKNOWN = f"CASE WHEN h.customer_id IS NULL THEN '-1' ELSE {SK_SQL} END"
 IN_RANGE_SQL = ("o.customer_id = h.customer_id AND CAST(o.order_dt AS TIMESTAMP) >= h.effective_from "
                 "AND CAST(o.order_dt AS TIMESTAMP) < h.effective_to")
@@ -26,13 +27,13 @@ def _out(df, *extra):
 
 @query("fact_dim_asof", with_views(f"""
 SELECT o.order_id, o.customer_id, strftime(o.order_dt, '%Y-%m-%d') AS order_dt, CAST(o.amount AS DOUBLE) AS amount,
-       {SK_OR_UNKNOWN} AS customer_sk, h.segment
+       {SK_OR_UNKNOWN} AS customer_sk, h.market
 FROM v_orders_dated o LEFT JOIN h3 h ON {IN_RANGE_SQL}""", ["v_orders_dated"] + cust_views(3), cust_hist_ctes(3, "close")))
 def fact_dim_asof(spark, sf):
     """Each order picks the customer version valid on its date."""
     hist = cust_history(spark, sf, 3, on_missing="close")
-    j = star.point_in_time_join(_facts(spark, sf), hist, ["customer_id"], "order_dt", "customer_sk", ["segment"])
-    return _out(j, "amount", "customer_sk", "segment")
+    j = star.point_in_time_join(_facts(spark, sf), hist, ["customer_id"], "order_dt", "customer_sk", ["market"])
+    return _out(j, "amount", "customer_sk", "market")
 
 
 @query("fact_unknown_member", with_views(f"""

@@ -14,10 +14,9 @@ from ledgerline.plans.fixtures import table, view, with_views
 from ledgerline.streaming import events as ev
 
 TOPIC = "clickstream_events"
-EPOCH_2024 = 1704067200  # fixed: 2024-01-01 00:00:00 UTC, base of the simulated ingest clock
-WATERMARK_SECONDS = 600  # fixed: 10 minutes, the reference's default watermark
-BAD_RATE_THRESHOLD = 0.02  # fixed: 2 %, the reference's default alert threshold
-BATCH_OFFSETS = 100  # offsets per simulated micro-batch
+WATERMARK_SECONDS = 600  # fixed: 10 minutes, the default watermark
+BAD_RATE_THRESHOLD = 0.02  # fixed: 2 %, the default alert threshold
+BATCH_OFFSETS = 200  # offsets per simulated micro-batch
 
 
 def _ntz(c):
@@ -28,8 +27,8 @@ def frames(spark, sf):
     """The fixture feed shaped as Kafka frames (binary key/value)."""
     r = view(spark, sf, "v_raw_events")
     return r.select(F.col("msg_key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"),
-                    F.lit(TOPIC).alias("topic"), F.lit(0).alias("partition"), F.col("kafka_offset").alias("offset"),
-                    F.timestamp_seconds(F.lit(EPOCH_2024) + F.col("kafka_offset")).alias("timestamp"))
+                    F.lit(TOPIC).alias("topic"), F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset"),
+                    F.col("ingest_ts").cast("timestamp").alias("timestamp"))
 
 
 def parsed(spark, sf):
@@ -43,16 +42,18 @@ def good(spark, sf):
 # ------------------------------------------------------------------ oracle CTEs
 
 PARSE_SQL = """
-SELECT kafka_offset AS "offset", msg_key AS key, value, ok,
+SELECT kafka_offset AS "offset", kafka_partition AS "partition", ingest_ts, msg_key AS key, value, ok,
        CASE WHEN ok THEN json_extract_string(value, '$.event_id') END AS event_id,
        CASE WHEN ok THEN json_extract_string(value, '$.event_type') END AS event_type,
        CASE WHEN ok THEN json_extract_string(value, '$.event_ts') END AS event_ts,
        CASE WHEN ok THEN json_extract_string(value, '$.user_id') END AS user_id,
        CASE WHEN ok THEN CAST(json_extract_string(value, '$.amount') AS DOUBLE) END AS amount,
        CASE WHEN ok THEN json_extract_string(value, '$.page') END AS page,
+       CASE WHEN ok THEN json_extract_string(value, '$.payment_method') END AS payment_method,
        CASE WHEN ok THEN json_extract_string(value, '$.device.os') END AS device_os,
        CASE WHEN ok THEN json_extract_string(value, '$.device.app_ver') END AS device_app_ver,
-       CASE WHEN ok THEN TRY_CAST(replace(substr(json_extract_string(value, '$.event_ts'), 1, 19), 'T', ' ') AS TIMESTAMP) END AS event_time
+       CASE WHEN ok AND regexp_matches(json_extract_string(value, '$.event_ts'), '^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}')
+            THEN TRY_CAST(replace(substr(json_extract_string(value, '$.event_ts'), 1, 19), 'T', ' ') AS TIMESTAMP) END AS event_time
 FROM (SELECT *, value IS NOT NULL AND json_valid(value) AS ok FROM v_raw_events)"""
 
 REASON_SQL = """
@@ -62,7 +63,7 @@ SELECT *, CASE WHEN NOT ok THEN 'SCHEMA_PARSE_FAILED'
 FROM p0"""
 
 GOOD_SQL = "SELECT * FROM pr WHERE reason IS NULL"
-FIRST_SQL = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY \"offset\") AS rn FROM good) WHERE rn = 1"
+FIRST_SQL = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ingest_ts, \"partition\", \"offset\") AS rn FROM good) WHERE rn = 1"
 
 STREAM_CTES = [("p0", PARSE_SQL), ("pr", REASON_SQL), ("good", GOOD_SQL), ("first", FIRST_SQL)]
 
@@ -78,25 +79,25 @@ def _slot_sql(expr: str) -> str:
 # ------------------------------------------------------------------ queries
 
 @query("envelope_project", with_views(f"""
-SELECT msg_key AS key, value, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(kafka_offset) AS kafka_ingest_ts,
-       '{TOPIC}' AS topic, 0 AS "partition", kafka_offset AS "offset" FROM v_raw_events""", ["v_raw_events"]))
+SELECT msg_key AS key, value, ingest_ts AS kafka_ingest_ts,
+       '{TOPIC}' AS topic, kafka_partition AS "partition", kafka_offset AS "offset" FROM v_raw_events""", ["v_raw_events"]))
 def envelope_project(spark, sf):
     """Kafka frame -> text envelope."""
     return ev.envelope_project(frames(spark, sf)).withColumn("kafka_ingest_ts", _ntz("kafka_ingest_ts"))
 
 
 @query("stream_parse", stream_sql("""
-SELECT "offset", key, event_id, event_type, user_id, amount, page, device_os, device_app_ver, event_time FROM good"""))
+SELECT "offset", key, event_id, event_type, user_id, amount, payment_method, page, device_os, device_app_ver, event_time FROM good"""))
 def stream_parse(spark, sf):
     """Good events, typed, from the JSON payload."""
     g = good(spark, sf)
-    return g.select("offset", "key", "event_id", "event_type", "user_id", "amount", "page", "device_os",
+    return g.select("offset", "key", "event_id", "event_type", "user_id", "amount", "payment_method", "page", "device_os",
                     "device_app_ver", _ntz("event_time").alias("event_time"))
 
 
 @query("stream_dlq", stream_sql('SELECT "offset", key, value, reason FROM pr WHERE reason IS NOT NULL'))
 def stream_dlq(spark, sf):
-    """Dead-letter rows with a reason (broken JSON, missing id, bad time)."""
+    """Dead-letter rows with a reason (broken JSON, missing id, bad or incomplete time)."""
     return ev.dead_letters(parsed(spark, sf)).select("offset", "key", "value", "reason")
 
 
@@ -119,12 +120,12 @@ def stream_dedupe(spark, sf):
 
 @query("late_events", stream_sql(f"""
 SELECT "offset", event_id, event_time, watermark_ts FROM (
-  SELECT *, max(event_time) OVER (ORDER BY "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+  SELECT *, max(event_time) OVER (ORDER BY ingest_ts, "partition", "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
             - INTERVAL {WATERMARK_SECONDS} SECOND AS watermark_ts FROM good)
 WHERE event_time < watermark_ts"""))
 def late_events(spark, sf):
     """T4: rows a 10-minute watermark drops (older than the max seen minus the delay)."""
-    late = ev.late_events(good(spark, sf), "offset", "event_time", WATERMARK_SECONDS)
+    late = ev.late_events(good(spark, sf), "event_time", WATERMARK_SECONDS)
     return late.select("offset", "event_id", _ntz("event_time").alias("event_time"), _ntz("watermark_ts").alias("watermark_ts"))
 
 

@@ -9,21 +9,64 @@ pushed into the scan, unused columns are pruned, the aggregate is partial).
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.operators import meta, quality
 from ledgerline.operators.dedupe import dedupe_latest
-from ledgerline.operators.scd2 import scd2_apply, scd2_initial
+from ledgerline.operators.scd2 import check_run_order, scd2_apply, scd2_initial
 from ledgerline.operators.shape import build_select, current_rows
 
+# The options a spec may carry. Anything else raises, so that no
+# option is ever ignored.
+_SCAN = {"format", "path", "table", "options", "schema"}
+_KEYS = {
+    "batch": {"name", "mode", "sources", "transforms", "joins", "target", "dq"},
+    "scd2": {"name", "mode", "source", "keys", "dedupe", "columns", "scd2", "target", "dq"},
+    "diff": {"name", "mode", "source", "keys", "columns", "target", "dq"},
+}
+_INNER = {
+    "transform": {"name", "input", "select", "filter", "group_by", "agg", "derive"},
+    "join": {"left", "right", "type", "on", "output"},
+    "target": {"path", "input", "format", "partition_by", "add_columns", "write_current_view", "current_view_path"},
+    "dedupe": {"enabled", "key", "order_by"},
+    "scd2": {"track_columns", "effective_to_open", "on_missing"},
+    "dq": {"checks", "contract", "fail_over", "alert_over"},
+    "column": {"name", "expr", "rule", "args", "type", "nullable"},
+}
+
+
+def check_spec(spec: Mapping) -> None:
+    """Raises on any key the runner does not know."""
+    def only(where: str, got, allowed) -> None:
+        if extra := set(got) - set(allowed):
+            raise ValueError(f"{spec.get('name')}: unknown {where} option(s) {sorted(extra)}")
+
+    mode = spec.get("mode", "batch")
+    if mode not in _KEYS:
+        raise ValueError(f"{spec.get('name')}: unknown mode {mode!r}; known: {sorted(_KEYS)}")
+    only("spec", spec, _KEYS[mode])
+    for name, src in (spec.get("sources") or {}).items():
+        only(f"source {name}", src, _SCAN)
+    only("source", spec.get("source", {}), _SCAN)
+    for t in spec.get("transforms", ()):
+        only(f"transform {t.get('name')}", t, _INNER["transform"])
+    for j in spec.get("joins", ()):
+        only(f"join {j.get('output')}", j, _INNER["join"])
+    for c in spec.get("columns", ()):
+        only(f"column {c.get('name')}", c, _INNER["column"])
+    only("keys", spec.get("keys", {}), {"business"})
+    for part in ("target", "dedupe", "scd2", "dq"):
+        only(part, spec.get(part) or {}, _INNER[part])
+
 
 def _transform(df: DataFrame, t: Mapping) -> DataFrame:
+    if "filter" in t:  # over the input's columns, before the projection
+        df = df.where(F.expr(t["filter"]))
     if "select" in t:
         df = df.select(*[F.expr(e).alias(n) for n, e in t["select"].items()])
-    if "filter" in t:
-        df = df.where(F.expr(t["filter"]))
     if "group_by" in t:
         aggs = [F.expr(e).alias(n) for n, e in t["agg"].items()]
         df = df.groupBy(*t["group_by"]).agg(*aggs)
@@ -32,23 +75,27 @@ def _transform(df: DataFrame, t: Mapping) -> DataFrame:
     return df
 
 
-def spec_frames(spec: Mapping, sources: Mapping[str, DataFrame], run_values: Mapping[str, str]) -> dict[str, DataFrame]:
+def spec_frames(spec: Mapping, sources: Mapping[str, DataFrame], run_values: Mapping[str, str],
+                watch=lambda name, df: df) -> dict[str, DataFrame]:
     """Every named output of a batch spec (sources, transforms, joins and the
-    target, under the target's path) as lazy DataFrames."""
+    target, under the target's path) as lazy DataFrames; ``watch`` may wrap each
+    as it is named."""
+    check_spec(spec)
     frames: dict[str, DataFrame] = {}
     for name in spec["sources"]:
-        frames[name] = sources[name]
+        frames[name] = watch(name, sources[name])
     last = None
     for t in spec.get("transforms", []):
-        frames[t["name"]] = last = _transform(frames[t["input"]], t)
+        frames[t["name"]] = last = watch(t["name"], _transform(frames[t["input"]], t))
     for jn in spec.get("joins", []):
         left, right = frames[jn["left"]], frames[jn["right"]]
-        frames[jn["output"]] = last = left.join(right, list(jn["on"]), jn.get("type", "inner"))
+        frames[jn["output"]] = last = watch(jn["output"], left.join(right, list(jn["on"]), jn.get("type", "inner")))
     out = frames[spec["target"]["input"]] if spec["target"].get("input") else last
     adds = spec["target"].get("add_columns", {})
     if adds:
         out = out.withColumns({n: F.lit(run_values[v]) for n, v in adds.items()})
-    frames[spec["target"].get("path") or spec.get("name")] = out
+    target = spec["target"].get("path") or spec.get("name")
+    frames[target] = watch(target, out)
     return frames
 
 
@@ -64,16 +111,18 @@ def run_batch_spec(spec: Mapping, sources: Mapping[str, DataFrame], run_values:
     return spec_frames(spec, sources, run_values)[spec["target"].get("path") or spec.get("name")]
 
 
-def run_scd2_spec(spec: Mapping, source: DataFrame, hist: DataFrame | None, run_ts: str) -> DataFrame:
+def run_scd2_spec(spec: Mapping, source: DataFrame, hist: DataFrame | None, run_ts: str, rewind_first: bool = False) -> DataFrame:
     """SCD2 mode (B4): dedupe raw rows, project with ``build_select``, merge.
 
     Dedupe runs on the raw rows, before the projection, because its order
     column is not among the projected columns. Returns the whole new history;
     the current view is ``current_rows`` of it.
     """
+    check_spec(spec)
     keys = spec["keys"]["business"]
     dd = spec.get("dedupe") or {}
-    if dd.get("enabled", bool(dd)):
+    deduped = dd.get("enabled", bool(dd))
+    if deduped:
         source = dedupe_latest(source, dd["key"], dd.get("order_by", []))
     today = build_select(source, spec["columns"])
     tracked = spec["scd2"]["track_columns"]
@@ -81,20 +130,147 @@ def run_scd2_spec(spec: Mapping, source: DataFrame, hist: DataFrame | None, run_
     on_missing = spec["scd2"].get("on_missing", "keep")
     if hist is None:
         return scd2_initial(today, keys, tracked, run_ts, open_to)
-    return scd2_apply(hist, today, keys, tracked, run_ts, on_missing=on_missing, open_to=open_to)
+    exprs = {c["name"]: c.get("expr") for c in spec["columns"]}
+    same_key = deduped and list(dd["key"]) == list(keys) and all(exprs.get(k) == k for k in keys)
+    return scd2_apply(hist, today, keys, tracked, run_ts, on_missing=on_missing, open_to=open_to, unique_today=same_key,
+                      rewind_first=rewind_first)
+
+
+def run_diff_spec(spec: Mapping, previous: DataFrame, current: DataFrame) -> DataFrame:
+    """Diff mode: the change rows between two projected snapshots."""
+    from ledgerline.operators.change import snapshot_diff
+
+    check_spec(spec)
+    keys = spec["keys"]["business"]
+    return snapshot_diff(build_select(previous, spec["columns"]), build_select(current, spec["columns"]), keys)
+
+
+def dq_verdict(spec: Mapping, out: DataFrame, run_ts: str | None) -> tuple[DataFrame | None, int]:
+    """The report of the spec's ``dq`` block (checks, and with ``contract`` the
+    declared columns) and the number of checks that failed."""
+    dq = spec.get("dq") or {}
+    parts = []
+    if dq.get("checks"):
+        parts.append(quality.dq_report(out, dq["checks"], run_ts))
+    if dq.get("contract"):
+        v = quality.contract_violations(out, spec["columns"])
+        failed = (F.col("missing").cast("bigint") + F.col("type_mismatch").cast("bigint") + F.coalesce("null_violations", F.lit(0))
+                  + F.coalesce("cast_failures", F.lit(0)))
+        parts.append(v.select(F.lit("contract").alias("check_name"), "column_name", F.lit(None).cast("bigint").alias("rows"),
+                              failed.alias("failed"), (failed == 0).alias("passed")))
+    if not parts:
+        return None, 0
+    rows = [r for p in parts for r in p.collect()]  # one small row per check
+    spark = out.sparkSession
+    report = spark.createDataFrame(rows, "check_name string, column_name string, rows bigint, failed bigint, passed boolean")
+    return report, sum(not r["passed"] for r in rows)
+
+
+def run_spec(spark: SparkSession, spec: Mapping, base_in: str, base_out: str, run_values: Mapping[str, str]) -> dict[str, int]:
+    """A whole run: scan the sources, transform or merge, check, write the target
+    (and the current view), and append the run-log row, all under ``base_out``.
+
+    ``run_values`` holds run_dt, run_id and run_ts. More than ``dq.fail_over``
+    failed checks (default: no limit) stop the run before the target is written; the
+    run log then says FAILED. Reports go to ``_dq``, alert rows of checks with
+    more than ``dq.alert_over`` failed rows (default 0) to ``_alerts``, run rows to
+    ``_run_log``.
+    """
+    from ledgerline.plans.jobs import utc_now
+    from ledgerline.session import cut_lineage
+    from ledgerline.sources import sinks
+    from ledgerline.sources.readers import read_spec_sources
+
+    check_spec(spec)
+    started = utc_now()
+    target, mode = spec["target"], spec.get("mode", "batch")
+    path = f"{base_out}/{target['path']}"
+    run_dt, run_id = run_values["run_dt"], run_values["run_id"]
+    run_ts = run_values.get("run_ts", f"{run_dt} 00:00:00")
+    fmt = target.get("format", "parquet")
+    error = None
+    rows_in = rows_out = failed = 0
+    try:
+        if mode == "batch":
+            sources = read_spec_sources(spark, spec, base_in)
+            rows_in = sum(df.count() for df in sources.values())
+            out = cut_lineage(run_batch_spec(spec, sources, run_values))
+            checked = out
+        else:
+            source = read_spec_sources(spark, {**spec, "sources": {"source": spec["source"]}}, base_in)["source"]
+            rows_in = source.count()
+            checked = build_select(source, spec["columns"])
+            folder = sinks.base_folder(spark, path, run_id)
+            hist = None if folder is None else sinks.read_folder(spark, path, folder, fmt)
+            if mode == "diff":
+                snapshot = checked
+                empty = snapshot.limit(0)
+                out = cut_lineage(run_diff_spec({**spec, "columns": [{"name": c, "expr": c} for c in snapshot.columns]},
+                                                empty if hist is None else hist, snapshot))
+            else:
+                again = hist is not None and check_run_order(hist, run_ts)
+                out = cut_lineage(run_scd2_spec(spec, source, hist, run_ts, rewind_first=again))
+                today = checked
+                dd = spec.get("dedupe") or {}
+                if dd.get("enabled", bool(dd)):
+                    today = build_select(dedupe_latest(source, dd["key"], dd.get("order_by", [])), spec["columns"])
+                checked = today
+        report, failed = dq_verdict(spec, checked, run_ts)
+        if report is not None:
+            stamped = report.withColumns({"run_id": F.lit(run_id), "run_dt": F.lit(run_dt), "job": F.lit(spec["name"])})
+            sinks.write_table(stamped, f"{base_out}/_dq", partition_by=("run_id", "job"))
+            alerts = quality.threshold_alerts(stamped, "failed", (spec["dq"]).get("alert_over", 0), "DQ_FAILED")
+            sinks.write_table(alerts, f"{base_out}/_alerts", partition_by=("run_id", "job"))
+        limit = (spec.get("dq") or {}).get("fail_over")
+        if limit is not None and failed > limit:
+            raise ValueError(f"{spec['name']}: {failed} checks failed, more than {limit}")
+        rows_out = out.count()
+        parts: Sequence[str] = target.get("partition_by", ())
+        if mode == "batch":
+            sinks.write_table(out, path, fmt=fmt, partition_by=parts)
+        elif mode == "diff":
+            sinks.publish_version(snapshot, path, run_id, parts, fmt)
+            sinks.write_table(out.withColumn("run_dt", F.lit(run_dt)), f"{path}_changes", partition_by=("run_dt",))
+        else:
+            sinks.publish_version(out, path, run_id, parts, fmt)
+            if target.get("write_current_view"):
+                sinks.publish_version(current_view(out), f"{base_out}/{target['current_view_path']}", run_id, (), fmt)
+    except Exception as e:
+        error = f"{type(e).__name__}: {e}"[:1000]
+        raise
+    finally:
+        log = meta.run_log_row(spark, run_id, run_dt, spec["name"], rows_in, rows_out, failed, started, utc_now(), error)
+        sinks.write_table(log, f"{base_out}/_run_log", partition_by=("run_id", "job"))
+    return {"rows_in": rows_in, "rows_out": rows_out, "dq_failed": failed}
 
 
 def current_view(hist: DataFrame) -> DataFrame:
     return current_rows(hist)
 
 
+def observed_node_rows(spec: Mapping, sources: Mapping[str, DataFrame], run_values: Mapping[str, str]) -> dict[str, int]:
+    """Rows of every named output of a batch spec, counted by observations in the
+    one pass that computes the target (to the no-op sink)."""
+    from pyspark.sql import Observation
+
+    seen: dict[str, Observation] = {}
+
+    def watch(name: str, df: DataFrame) -> DataFrame:
+        seen[name] = Observation(name)
+        return df.observe(seen[name], F.count(F.lit(1)).alias("rows"))
+
+    frames = spec_frames(spec, sources, run_values, watch)
+    frames[spec["target"].get("path") or spec.get("name")].write.format("noop").mode("overwrite").save()
+    return {name: int((obs.get or {}).get("rows") or 0) for name, obs in seen.items()}
+
+
 def lineage_from_spec(spec: Mapping) -> list[tuple[str, str, str]]:
     """Edges ``(upstream, downstream, kind)`` named by a spec."""
     edges: list[tuple[str, str, str]] = []
     target = spec["target"].get("path") or spec.get("name")
     if "sources" in spec:
         for name, s in spec["sources"].items():
-            if s.get("path", name) != name:
+            if s.get("path", name).partition(".")[0] != name:
                 edges.append((s.get("path", name), name, "source"))
         last = None
         for t in spec.get("transforms", []):
@@ -104,7 +280,7 @@ def lineage_from_spec(spec: Mapping) -> list[tuple[str, str, str]]:
             edges.append((jn["left"], jn["output"], "join"))
             edges.append((jn["right"], jn["output"], "join"))
             last = jn["output"]
-        edges.append((last, target, "target"))
+        edges.append((spec["target"].get("input") or last, target, "target"))
     else:
         src = spec["source"].get("path") or spec["source"].get("table")
         edges.append((src, target, spec.get("mode", "load")))

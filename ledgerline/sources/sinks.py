@@ -4,20 +4,44 @@ Rules the reference's jobs broke and these keep:
 
 * Re-running a day replaces that day only: partitioned writes use dynamic
   partition overwrite, never a static overwrite that wipes other days.
-* A table is never overwritten while it is being read: a new version is
-  written to its own folder and a small pointer names the current one.
+* A table is never overwritten while it is being read: each attempt at a new
+  version has a folder of its own, and creating a pointer file commits it.
 * Stream batches are written keyed by ``batch_id``, so a batch replayed after
   a failure overwrites its own output instead of appending a copy.
 """
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable, Sequence
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-POINTER = "_current"
+POINTERS = "_pointers"
+MANIFEST = "_manifest"
+BUCKET = "__bucket"
+
+
+def _fs(spark: SparkSession, path: str):
+    """(file system, path) of ``path`` as Spark itself would reach it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; a folder that does not exist has none. Any other
+    failure is raised."""
+    fs, p = _fs(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -32,102 +56,255 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     w.save(path)
 
 
-def write_day(df: DataFrame, path: str, dt_col: str = "run_dt", fmt: str = "parquet") -> None:
-    """Idempotent append of one run's rows (K2): the run's ``dt_col``
-    partition is replaced, all other days stay."""
-    write_table(df, path, fmt=fmt, mode="overwrite", partition_by=(dt_col,))
+def write_day(df: DataFrame, path: str, dt_col: str = "run_dt", fmt: str = "parquet", run_dt: str | None = None) -> None:
+    """Idempotent append of one run's rows (K2): the run's ``dt_col`` partition
+    is replaced, all other days stay. With ``run_dt`` a run without rows
+    leaves an empty day, too: what an earlier run wrote for it is removed."""
+    from pyspark.sql import Observation
+
+    obs = Observation()
+    write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, fmt=fmt, mode="overwrite", partition_by=(dt_col,))
+    if run_dt is not None and not (obs.get or {}).get("rows"):
+        _delete(df.sparkSession, f"{path}/{dt_col}={run_dt}")
+
+
+# ---------------------------------------------------------------- published versions
+#
+# A version is a folder ``v=<version>.a<attempt>`` that is written once and
+# never again; a pointer is an empty file whose name carries a running number, the
+# folder and the folder before it. Creating that file is the commit: the highest
+# number wins, and a crash at any point leaves the previous pointer in force.
+
+def _pointer_list(spark: SparkSession, table_path: str) -> list[tuple[int, str, str | None]]:
+    out = []
+    for name in _names(spark, f"{table_path}/{POINTERS}"):
+        m = re.fullmatch(r"p(\d+)~([^~]+)~([^~]*)", name)
+        if m:
+            out.append((int(m[1]), unquote(m[2]), unquote(m[3]) or None))
+    return sorted(out)
+
+
+def _versions(spark: SparkSession, table_path: str) -> list[str]:
+    return [n for n in _names(spark, table_path) if n.startswith("v=")]
+
+
+def _version_of(folder: str | None) -> str | None:
+    return folder[2:].rpartition(".a")[0] if folder else None
+
+
+def pointer(spark: SparkSession, table_path: str) -> tuple[str | None, str | None]:
+    """(current folder, the folder before it) of a published table. Only a table
+    without any version folder has no pointer yet; versions without a pointer
+    mean that it was lost, and raise."""
+    found = _pointer_list(spark, table_path)
+    if found:
+        return found[-1][1], found[-1][2]
+    if left := _versions(spark, table_path):
+        raise RuntimeError(f"{table_path} has versions {left[:3]} but no pointer; restore it before the next run")
+    return None, None
+
+
+def _new_folder(spark: SparkSession, table_path: str, version: str) -> str:
+    """A folder no attempt at this version has used."""
+    used = [int(m[1]) for n in _versions(spark, table_path) if (m := re.fullmatch(re.escape(f"v={version}.a") + r"(\d+)", n))]
+    return f"v={version}.a{max(used, default=0) + 1}"
+
+
+def base_folder(spark: SparkSession, table_path: str, version: str) -> str | None:
+    """The folder that ``version`` builds on: a retry builds on the predecessor of
+    its earlier attempt, not on that attempt."""
+    cur, prev = pointer(spark, table_path)
+    return prev if _version_of(cur) == version else cur
+
+
+def _move_pointer(spark: SparkSession, table_path: str, folder: str) -> None:
+    found = _pointer_list(spark, table_path)
+    number, cur, prev = found[-1] if found else (0, None, None)
+    previous = prev if _version_of(cur) == _version_of(folder) else cur
+    name = f"p{number + 1:012d}~{quote(folder, safe='=.')}~{quote(previous or '', safe='=.')}"
+    fs, p = _fs(spark, f"{table_path}/{POINTERS}/{name}")
+    if not fs.createNewFile(p):
+        raise RuntimeError(f"another run published {table_path} at the same time")
 
 
 def publish_version(df: DataFrame, table_path: str, version: str, partition_by: Sequence[str] = (),
                     fmt: str = "parquet") -> str:
-    """Write ``df`` as ``table_path/v=<version>`` and point readers at it (K3, K4).
+    """Write ``df`` as a new attempt at ``version`` and point readers at it (K3, K4).
 
     The previous version stays readable until the pointer moves, so a job can
-    read the current history and publish the next one in the same run.
+    read the current history and publish the next one in the same run; an
+    attempt never writes into a folder that exists.
     """
-    target = f"{table_path}/v={version}"
-    write_table(df, target, fmt=fmt, mode="overwrite", partition_by=partition_by)
-    _move_pointer(df.sparkSession, table_path, version)
-    return target
+    spark = df.sparkSession
+    pointer(spark, table_path)  # a lost pointer stops the run before anything is written
+    folder = _new_folder(spark, table_path, version)
+    write_table(df, f"{table_path}/{folder}", fmt=fmt, mode="error", partition_by=partition_by)
+    _move_pointer(spark, table_path, folder)
+    return f"{table_path}/{folder}"
 
 
-def pointer(spark: SparkSession, table_path: str) -> tuple[str | None, str | None]:
-    """(current version, the version before it) of a published table."""
-    try:
-        row = spark.read.text(f"{table_path}/{POINTER}").first()
-    except Exception:  # noqa: BLE001 - no pointer yet: first run
-        return None, None
-    if not row:
-        return None, None
-    cur, _, prev = row[0].partition("|")
-    return cur, (prev or None)
-
-
-def _move_pointer(spark: SparkSession, table_path: str, version: str) -> None:
-    cur, prev = pointer(spark, table_path)
-    previous = prev if cur == version else cur  # re-publishing a version keeps its predecessor
-    spark.createDataFrame([(f"{version}|{previous or ''}",)], "value string").coalesce(1).write.mode(
-        "overwrite").text(f"{table_path}/{POINTER}")
+def current_version(spark: SparkSession, table_path: str) -> str | None:
+    return _version_of(pointer(spark, table_path)[0])
 
 
-def current_version(spark: SparkSession, table_path: str) -> str | None:
-    return pointer(spark, table_path)[0]
+def read_folder(spark: SparkSession, table_path: str, folder: str, fmt: str = "parquet") -> DataFrame:
+    """One published version; one with a manifest is read from all the folders
+    its buckets lie in."""
+    if MANIFEST not in _names(spark, f"{table_path}/{folder}"):
+        return spark.read.format(fmt).load(f"{table_path}/{folder}")
+    schema, places = _manifest(spark, table_path, folder)
+    paths = [f"{table_path}/{f}/{BUCKET}={b}" for b, f in sorted(places.items())]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).format(fmt).load(paths)
 
 
 def read_current(spark: SparkSession, table_path: str, fmt: str = "parquet") -> DataFrame | None:
     """The published version of a table, or None before the first publish."""
-    v = current_version(spark, table_path)
-    if v is None:
-        return None
-    return spark.read.format(fmt).load(f"{table_path}/v={v}")
+    folder, _ = pointer(spark, table_path)
+    return None if folder is None else read_folder(spark, table_path, folder, fmt)
+
+
+def drop_old_versions(spark: SparkSession, table_path: str, keep: int = 2) -> list[str]:
+    """Remove pointers and folders that the newest ``keep`` versions do not need
+    (run it when no reader of an older version is left)."""
+    found = _pointer_list(spark, table_path)
+    needed: set[str] = set()
+    for _, folder, prev in found[-keep:]:
+        for f in (folder, prev):
+            if f and f in _versions(spark, table_path):
+                needed.add(f)
+                if MANIFEST in _names(spark, f"{table_path}/{f}"):
+                    needed.update(_manifest(spark, table_path, f)[1].values())
+    gone = [n for n in _versions(spark, table_path) if n not in needed]
+    for number, folder, prev in found[:-keep]:
+        name = f"p{number:012d}~{quote(folder, safe='=.')}~{quote(prev or '', safe='=.')}"
+        _delete(spark, f"{table_path}/{POINTERS}/{name}")
+    for n in gone:
+        _delete(spark, f"{table_path}/{n}")
+    return gone
+
+
+# ---------------------------------------------------------------- keyed tables in buckets (K5)
+
+def _manifest(spark: SparkSession, table_path: str, folder: str) -> tuple[str, dict[int, str]]:
+    doc = json.loads("".join(r[0] for r in spark.read.text(f"{table_path}/{folder}/{MANIFEST}").collect()))  # one small line
+    return doc["schema"], {int(b): f for b, f in doc["buckets"].items()}
+
+
+def _bucket(keys: Sequence[str], buckets: int):
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def publish_buckets(df: DataFrame, table_path: str, version: str, keys: Sequence[str], buckets: int,
+                    untouched: dict[int, str] | None = None) -> str:
+    """Publish a version whose rows lie in one folder per key bucket. ``untouched``
+    names the buckets that stay where an earlier version wrote them, so a change
+    rewrites only the buckets it touches."""
+    spark = df.sparkSession
+    pointer(spark, table_path)
+    folder = _new_folder(spark, table_path, version)
+    write_table(df.withColumn(BUCKET, _bucket(keys, buckets)), f"{table_path}/{folder}", mode="error", partition_by=(BUCKET,))
+    written = {int(n.partition("=")[2]): folder for n in _names(spark, f"{table_path}/{folder}") if n.startswith(f"{BUCKET}=")}
+    doc = json.dumps({"schema": ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields),
+                      "buckets": {str(b): f for b, f in {**(untouched or {}), **written}.items()}})
+    spark.createDataFrame([(doc,)], "value string").coalesce(1).write.text(f"{table_path}/{folder}/{MANIFEST}")
+    _move_pointer(spark, table_path, folder)
+    return f"{table_path}/{folder}"
+
+
+def foreach_batch_upsert(table_path: str, keys: Sequence[str], seq_col: str = "seq", op_col: str = "op", buckets: int = 64,
+                         keep: int = 2):
+    """``foreachBatch`` function that merges each micro-batch of a change feed
+    into a keyed current-state table (K5 on a stream).
 
+    Each batch publishes version ``b<batch_id>`` built from the version
+    before it, rewriting only the key buckets its rows fall into; a replayed
+    batch (after a failure) rebuilds the same version from the same predecessor,
+    so the table is updated exactly once. Versions that the newest ``keep`` do
+    not need are removed.
+    """
+    from ledgerline.operators.change import cdc_merge
+
+    def run(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        version = f"b{batch_id:012d}"
+        base = base_folder(spark, table_path, version)
+        touched = [r[0] for r in batch_df.select(_bucket(keys, buckets)).distinct().collect()]  # at most ``buckets`` numbers
+        places: dict[int, str] = {}
+        target = batch_df.drop(seq_col, op_col).limit(0)
+        if base is not None:
+            schema, places = _manifest(spark, table_path, base)
+            paths = [f"{table_path}/{places[b]}/{BUCKET}={b}" for b in touched if b in places]
+            target = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+        merged = cdc_merge(target, batch_df, keys, seq_col, op_col)
+        publish_buckets(merged, table_path, version, keys, buckets, {b: f for b, f in places.items() if b not in touched})
+        drop_old_versions(spark, table_path, keep)
+
+    return run
+
+
+# ---------------------------------------------------------------- micro-batch sinks
 
 def foreach_batch_writer(out_path: str, partition_by: Sequence[str] = ("dt", "hh"), fmt: str = "parquet",
-                         alerts_path: str | None = None, expect_rows: bool = True,
                          on_metrics: Callable[[int, dict], None] | None = None):
-    """``foreachBatch`` function (K6, T7): write each micro-batch under its
-    ``batch_id`` partition, collect its row count while writing
-    (``observe``), and append an alert row when a batch that should carry
-    data is empty (the reference's zero-event alert)."""
+    """``foreachBatch`` function (K6, T7): write each micro-batch into its
+    day/hour partitions, under its ``batch_id`` there (a replayed batch replaces its own
+    files), and collect its row count while writing (``observe``). A batch
+    without rows is no alert here: Spark also runs batches without data to move
+    the watermark, and a batch of copies only has no rows after dedupe;
+    ``dead_letter_writer`` counts the input. See ``compact_hour`` for the files."""
     from pyspark.sql import Observation
 
     def run(batch_df: DataFrame, batch_id: int) -> None:
         obs = Observation(f"batch_{batch_id}")
         out = batch_df.withColumn("batch_id", F.lit(batch_id).cast("bigint")).observe(
             obs, F.count(F.lit(1)).alias("rows"))
-        write_table(out, out_path, fmt=fmt, mode="overwrite", partition_by=("batch_id", *partition_by))
-        metrics = obs.get or {"rows": 0}
+        write_table(out, out_path, fmt=fmt, mode="overwrite", partition_by=(*partition_by, "batch_id"))
         if on_metrics:
-            on_metrics(batch_id, metrics)
-        if alerts_path and expect_rows and int(metrics.get("rows", 0)) == 0:
-            spark = batch_df.sparkSession
-            alert = spark.createDataFrame([(batch_id, "ZERO_EVENTS", "no events in this micro-batch")],
-                                          "batch_id bigint, alert_type string, note string")
-            write_table(alert, alerts_path, mode="overwrite", partition_by=("batch_id",))
+            on_metrics(batch_id, obs.get or {"rows": 0})
 
     return run
 
 
-def foreach_batch_upsert(table_path: str, keys: Sequence[str], seq_col: str = "seq", op_col: str = "op"):
-    """``foreachBatch`` function that merges each micro-batch of a change feed
-    into a keyed current-state table (K5 on a stream).
+def compact_hour(spark: SparkSession, landing: str, table: str, dt: str, hh: str, files: int = 1) -> None:
+    """Move one closed hour from the micro-batch landing area (``dt/hh/batch_id``)
+    into ``table`` (``dt/hh``) as few files. Rows keep their batch id, so running
+    it again after a crash, or after late batches of the hour, gives each batch's
+    rows once."""
+    from ledgerline.session import cut_lineage
 
-    Each batch publishes version ``b<batch_id>`` built from the version
-    before it; a replayed batch (after a failure) rebuilds the same version
-    from the same predecessor, so the table is updated exactly once.
-    """
-    from ledgerline.operators.change import cdc_merge
+    fresh = spark.read.option("basePath", landing).parquet(f"{landing}/dt={dt}/hh={hh}").withColumn("dt", F.lit(dt)).withColumn("hh", F.lit(hh))
+    rows = fresh
+    if f"hh={hh}" in _names(spark, f"{table}/dt={dt}"):
+        old = spark.read.option("basePath", table).parquet(f"{table}/dt={dt}/hh={hh}").withColumn("dt", F.lit(dt)).withColumn("hh", F.lit(hh))
+        rows = fresh.unionByName(old.join(fresh.select("batch_id").distinct(), "batch_id", "left_anti"))
+    write_table(cut_lineage(rows).coalesce(files), table, partition_by=("dt", "hh"))
+    _delete(spark, f"{landing}/dt={dt}/hh={hh}")
+
+
+def dead_letter_writer(path: str, alerts_path: str | None = None, bad_rate: float | None = None, fmt: str = "parquet"):
+    """``foreachBatch`` function on parsed events (K7, A6, A7, D10): the batch's
+    dead letters under its ``batch_id``, and alert rows from its input rows,
+    counted in the same pass: none at all, or a bad share above ``bad_rate``."""
+    from pyspark.sql import Observation
+
+    from ledgerline.streaming.events import bad_rate_row, dead_letters
 
     def run(batch_df: DataFrame, batch_id: int) -> None:
-        spark = batch_df.sparkSession
-        version = f"b{batch_id:012d}"
-        cur, prev = pointer(spark, table_path)
-        base = prev if cur == version else cur
-        if base is None:
-            target = batch_df.drop(seq_col, op_col).limit(0)
-        else:
-            target = spark.read.parquet(f"{table_path}/v={base}")
-        publish_version(cdc_merge(target, batch_df, keys, seq_col, op_col), table_path, version)
+        obs = Observation(f"bad_{batch_id}")
+        seen = batch_df.observe(obs, F.count(F.lit(1)).alias("rows"), F.count("reason").alias("bad"))
+        write_table(dead_letters(seen).withColumn("batch_id", F.lit(batch_id).cast("bigint")), path, fmt=fmt, partition_by=("batch_id",))
+        if not alerts_path:
+            return
+        got = obs.get or {}
+        rows, bad = int(got.get("rows") or 0), int(got.get("bad") or 0)
+        alerts = [(batch_id, "ZERO_EVENTS", rows, bad, None)] if rows == 0 else []
+        if bad_rate is not None and (rate := bad_rate_row(rows, bad, bad_rate)) is not None:
+            alerts.append((batch_id, "BAD_RATE", rows, bad, rate))
+        if alerts:
+            frame = batch_df.sparkSession.createDataFrame(alerts, "batch_id bigint, alert_type string, n_total bigint, n_bad bigint, bad_rate double")
+            write_table(frame, alerts_path, partition_by=("batch_id",))
 
     return run
 
@@ -171,19 +348,27 @@ def read_bucketed(spark: SparkSession, table: str, path: str, keys: Sequence[str
     return spark.table(table)
 
 
+def _table_name(name: str, folder: str) -> str:
+    return re.sub(r"\W", "_", f"{name}__{folder}")
+
+
 def publish_bucketed_version(df: DataFrame, name: str, table_path: str, version: str, keys: Sequence[str],
                              buckets: int) -> str:
-    """``publish_version`` for bucketed tables: ``<name>__v<version>`` at
-    ``table_path/v=<version>``, then the pointer moves."""
-    target = f"{table_path}/v={version}"
-    write_bucketed(df, f"{name}__v{version}", target, keys, buckets)
-    _move_pointer(df.sparkSession, table_path, version)
-    return target
+    """``publish_version`` for bucketed tables: each attempt is a table and a folder
+    of its own, then the pointer moves."""
+    spark = df.sparkSession
+    pointer(spark, table_path)
+    folder = _new_folder(spark, table_path, version)
+    write_bucketed(df, _table_name(name, folder), f"{table_path}/{folder}", keys, buckets)
+    _move_pointer(spark, table_path, folder)
+    return f"{table_path}/{folder}"
+
+
+def read_bucketed_folder(spark: SparkSession, name: str, table_path: str, folder: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    return read_bucketed(spark, _table_name(name, folder), f"{table_path}/{folder}", keys, buckets)
 
 
 def read_current_bucketed(spark: SparkSession, name: str, table_path: str, keys: Sequence[str],
                           buckets: int) -> DataFrame | None:
-    v = current_version(spark, table_path)
-    if v is None:
-        return None
-    return read_bucketed(spark, f"{name}__v{v}", f"{table_path}/v={v}", keys, buckets)
+    folder, _ = pointer(spark, table_path)
+    return None if folder is None else read_bucketed_folder(spark, name, table_path, folder, keys, buckets)

@@ -9,15 +9,19 @@ evicted once the watermark passes) and windowed aggregates for counts.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from ledgerline.functions.columns import parse_iso_timestamp
+
 CORRUPT = "_corrupt"
 
-# Declared event payload (click + order events in one nullable schema); the
-# reference declares event_id and event_ts non-nullable, which from_json does
-# not enforce, so ``parse_events`` checks them explicitly. ``page`` is kept.
+# Declared event payload (click, order and payment events in one nullable schema).
+# The field names are the wire format. from_json does not enforce
+# the required fields, so ``parse_events`` checks them explicitly.
 EVENT_SCHEMA = StructType([
     StructField("event_id", StringType()),
     StructField("event_type", StringType()),
@@ -28,6 +32,7 @@ EVENT_SCHEMA = StructType([
     StructField("product_id", StringType()),
     StructField("amount", DoubleType()),
     StructField("status", StringType()),
+    StructField("payment_method", StringType()),
     StructField("page", StringType()),
     StructField("device", StructType([StructField("os", StringType()), StructField("app_ver", StringType())])),
     StructField("ip", StringType()),
@@ -98,7 +103,7 @@ def parse_events(env: DataFrame, schema: StructType = EVENT_SCHEMA) -> DataFrame
     # (a plain projection would be inlined into every pushed-down predicate).
     parsed = env.select("*", F.inline(F.array(F.struct(js.alias("json")))))
     j = F.col("json")
-    event_time = F.try_to_timestamp(j["event_ts"])
+    event_time = parse_iso_timestamp(j["event_ts"])
     missing = F.lit(False)
     for c in REQUIRED:
         missing = missing | j[c].isNull()
@@ -137,10 +142,14 @@ def dedupe_stream(good: DataFrame, key: str = "event_id", ts: str = "event_time"
     return good.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
-def first_arrival(good: DataFrame, key: str = "event_id", order: str = "offset") -> DataFrame:
+#: Arrival order of a feed: offsets only order one partition of a topic.
+ARRIVAL = ("kafka_ingest_ts", "partition", "offset")
+
+
+def first_arrival(good: DataFrame, key: str = "event_id", order: Sequence[str] = ARRIVAL) -> DataFrame:
     """Batch twin of the stream dedupe: the first arrival per key. The
     ``row_number() = 1`` filter runs as a partial limit per map partition."""
-    w = Window.partitionBy(key).orderBy(F.col(order))
+    w = Window.partitionBy(key).orderBy(*[F.col(c) for c in order])
     return good.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
@@ -151,26 +160,32 @@ def event_partitions(df: DataFrame, ts: str = "event_time") -> DataFrame:
 
 # ---------------------------------------------------------------- late data (T4)
 
-def late_events(df: DataFrame, order: str, ts: str, delay_seconds: int, block: int = 65536) -> DataFrame:
+def late_events(df: DataFrame, ts: str, delay_seconds: int, order: Sequence[str] = ARRIVAL, block: Column | None = None,
+                blocks_of: int = 1024) -> DataFrame:
     """Rows a watermark of ``delay_seconds`` would drop, for an ordered feed (T4).
 
     A row is late when its time is older than the running maximum of all
     *earlier* arrivals minus the delay. The running maximum is computed
     without funnelling the feed through one task: arrivals are cut into
-    blocks of ``block`` consecutive positions; a window per block gives the
-    in-block running maximum, a per-block maximum (one row per block) is
-    prefix-maxed over blocks, and the two are combined.
+    ``block``s (a number that does not decrease along ``order``; the minute of
+    the first order column, a timestamp, unless given). A window per block gives
+    the in-block running maximum; the block maxima (a partial aggregate, one
+    row per block) get their prefix maximum in two levels, groups of
+    ``blocks_of`` blocks and the groups' own maxima, so that the one task of the
+    last level sees one row per group.
     """
-    blk = F.floor(F.col(order) / F.lit(block))
-    x = df.withColumn("__blk", blk)
-    # Per-block maxima: a partial aggregate, one row per block after the shuffle.
-    per_block = x.groupBy("__blk").agg(F.max(ts).alias("__bmax"))
-    before = per_block.withColumn(
-        "__before", F.max("__bmax").over(Window.orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1))
-    ).select("__blk", "__before")
-    # In-block running maximum: the window is partitioned by block, so no task
-    # holds more than ``block`` rows.
-    w_in = Window.partitionBy("__blk").orderBy(F.col(order)).rowsBetween(Window.unboundedPreceding, -1)
+    if block is None:
+        block = F.floor(F.unix_seconds(F.col(order[0])) / F.lit(60))
+    x = df.withColumn("__blk", block)
+    per_block = (x.groupBy("__blk").agg(F.max(ts).alias("__bmax"))
+                 .withColumn("__grp", F.floor(F.col("__blk") / F.lit(blocks_of))))
+    earlier = (Window.unboundedPreceding, -1)
+    groups = per_block.groupBy("__grp").agg(F.max("__bmax").alias("__gmax"))
+    groups = groups.select("__grp", F.max("__gmax").over(Window.orderBy("__grp").rowsBetween(*earlier)).alias("__gbefore"))
+    in_group = F.max("__bmax").over(Window.partitionBy("__grp").orderBy("__blk").rowsBetween(*earlier))
+    before = (per_block.withColumn("__gin", in_group).join(groups, "__grp")
+              .select("__blk", F.greatest("__gbefore", "__gin").alias("__before")))
+    w_in = Window.partitionBy("__blk").orderBy(*[F.col(c) for c in order]).rowsBetween(*earlier)
     x = x.withColumn("__inblk", F.max(ts).over(w_in)).join(before, "__blk", "left")
     seen = F.greatest(F.col("__before"), F.col("__inblk"))
     mark = seen - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(delay_seconds))
@@ -187,14 +202,24 @@ def late_drop_count(progress) -> int:
 
 # ---------------------------------------------------------------- windows and alerts
 
-def counts_by_window(good: DataFrame, ts: str, size: str, by=("event_type",), amount: str | None = "amount") -> DataFrame:
-    """Event counts (and exact amount sums) per tumbling window."""
+def counts_by_window(good: DataFrame, ts: str, size: str, by=("event_type",), amount: str | None = "amount",
+                     delay: str = "10 minutes") -> DataFrame:
+    """Event counts (and exact amount sums) per tumbling window (T10). On a
+    stream the watermark ``delay`` bounds the state; a batch is not affected."""
+    if good.isStreaming:
+        good = good.withWatermark(ts, delay)
     aggs = [F.count(F.lit(1)).alias("n_events")]
     if amount:
         aggs.append(F.sum(F.col(amount).cast("decimal(18,2)")).alias("total_amount"))
     return good.groupBy(F.window(F.col(ts), size).alias("w"), *by).agg(*aggs)
 
 
+def bad_rate_row(n_total: int, n_bad: int, threshold: float) -> float | None:
+    """The bad rate of one micro-batch if it calls for an alert, else None."""
+    rate = n_bad / n_total if n_total else 0.0
+    return rate if rate > threshold else None
+
+
 def bad_rate_alerts(parsed: DataFrame, batch_col: Column, threshold: float) -> DataFrame:
     """Share of dead-letter rows per micro-batch, alert rows above ``threshold``."""
     per = parsed.groupBy(batch_col.alias("batch_id")).agg(
@@ -232,18 +257,21 @@ def zero_event_alerts(good: DataFrame, ts: str, slot_seconds: int = 600, partiti
 
 def start_event_pipeline(frames: DataFrame, out_path: str, dlq_path: str, checkpoint_base: str,
                          delay: str = "10 minutes", trigger: dict | None = None, alerts_path: str | None = None,
-                         on_metrics=None):
-    """Two streaming queries over one Kafka-frame stream, as in the reference:
-    parsed + deduplicated events to ``out_path`` (dt/hh partitions, written
-    per batch id) and dead letters to ``dlq_path``; each has its own
-    checkpoint. Returns ``(good_query, dlq_query)``."""
-    from ledgerline.sources.sinks import foreach_batch_writer, stream_to_files
+                         on_metrics=None, bad_rate: float | None = None):
+    """Two streaming queries over one Kafka-frame stream: parsed + deduplicated
+    events to ``out_path`` (dt/hh partitions, one file set per batch id) and dead
+    letters to ``dlq_path``; each has its own checkpoint. The second query sees
+    every input row of a batch, so the zero-event alert and, with ``bad_rate``,
+    the bad-rate alert are raised there. Returns ``(good_query, dlq_query)``."""
+    from ledgerline.sources.sinks import dead_letter_writer, foreach_batch_writer
 
     trig = trigger or {"availableNow": True}
     parsed = parse_events(envelope_project(frames))
     good = event_partitions(dedupe_stream(good_events(parsed), delay=delay))
     q_good = (good.writeStream.outputMode("append")
-              .foreachBatch(foreach_batch_writer(out_path, alerts_path=alerts_path, on_metrics=on_metrics))
+              .foreachBatch(foreach_batch_writer(out_path, on_metrics=on_metrics))
               .option("checkpointLocation", f"{checkpoint_base}/good").trigger(**trig).start())
-    q_dlq = stream_to_files(dead_letters(parsed), dlq_path, f"{checkpoint_base}/bad", trigger=trig)
+    q_dlq = (parsed.writeStream.outputMode("append")
+             .foreachBatch(dead_letter_writer(dlq_path, alerts_path=alerts_path, bad_rate=bad_rate))
+             .option("checkpointLocation", f"{checkpoint_base}/bad").trigger(**trig).start())
     return q_good, q_dlq

@@ -94,7 +94,7 @@ def main(argv):
     names = argv[2:]
     from ledgerline.session import local_session
     import __spark_entry__ as E
-    spark = local_session(8, 8)
+    spark = local_session(int(__import__("os").environ.get("CPUS", "8")), 8)
     con = duck(sf_dir)
     names = names or list(E.queries())
     bad = [n for n in names if not compare(spark, n, sf_dir, con)]

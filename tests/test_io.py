@@ -72,21 +72,19 @@ def test_observe_counts_during_write(spark, tmp):
 
 
 def test_batch_spec_from_readers(spark):
-    fact = dict(S.FACT_ORDERS_SPEC)
-    fact["sources"] = {"orders": {"format": "parquet", "path": "orders.parquet"},
-                       "items": {"format": "parquet", "path": "lineitem.parquet"}}
+    fact = dict(S.ORDER_VALUE_SPEC)
     srcs = readers.read_spec_sources(spark, fact, SF_SMALL)
-    assert set(srcs) == {"orders", "items"}
+    assert set(srcs) == {"orders", "lineitem"}
     out = run_batch_spec(fact, srcs, {"run_dt": "2019-01-02", "run_id": "r"})
     assert out.count() == srcs["orders"].count()
-    assert {"order_total", "dt", "run_id"} <= set(out.columns)
+    assert {"net_value", "dt", "run_id"} <= set(out.columns)
 
 
 def test_lineage_closure(spark):
     e = meta.edges_frame(spark, [("a", "b", "x"), ("b", "c", "x"), ("c", "d", "x"), ("a", "d", "x")])
     got = {(r.upstream, r.downstream, r.depth) for r in meta.lineage_closure(e, checkpoint_every=2).collect()}
     assert ("a", "d", 1) in got and ("a", "c", 2) in got and ("b", "d", 2) in got and len(got) == 6
-    assert lineage_from_spec(S.DIM_CUSTOMER_SPEC)[0] == ("customers", "dim_customer", "scd2")
+    assert lineage_from_spec(S.BUYER_SPEC)[0] == ("customers", "buyer_history", "scd2")
 
 
 def test_quality_report_and_contract(spark):
@@ -124,7 +122,7 @@ def test_scd2_daily_on_bucketed_history(spark, tmp):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
     # a new session without the catalog entry re-attaches the bucket spec
-    spark.sql("DROP TABLE dim_customer_t__vr3")
+    spark.sql("DROP TABLE dim_customer_t__v_r3_a1")
     hist = sinks.read_current_bucketed(spark, "dim_customer_t", path, ["customer_id"], buckets)
     nxt = jobs.scd2_load(hist, view(spark, SF_SMALL, "v_cust_d3"), S.DIM_CUSTOMER_CFG, "2019-01-04 00:00:00")
     buf = io.StringIO()
@@ -191,7 +189,7 @@ def test_asof_join_on_bucketed_tables_needs_no_shuffle(spark, tmp):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         j = star.point_in_time_join(spark.table("asof_facts"), spark.table("asof_dim"), ["customer_id"],
-                                    "order_dt", "sk", ["segment"])
+                                    "order_dt", "sk", ["market"])
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             j.explain()
@@ -199,3 +197,126 @@ def test_asof_join_on_bucketed_tables_needs_no_shuffle(spark, tmp):
         assert j.count() == facts.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_empty_rerun_leaves_an_empty_day(spark, tmp):
+    path = os.path.join(tmp, "day")
+    rows = spark.createDataFrame([(1, "2019-01-01"), (2, "2019-01-02")], "id bigint, run_dt string")
+    sinks.write_day(rows, path)
+    sinks.write_day(rows.limit(0), path, run_dt="2019-01-02")
+    assert [r.id for r in spark.read.parquet(path).collect()] == [1]
+
+
+def test_lost_pointer_raises_and_attempts_never_overwrite(spark, tmp):
+    import shutil
+
+    import pytest
+
+    table = os.path.join(tmp, "dim")
+    one = spark.createDataFrame([(1,)], "id bigint")
+    sinks.publish_version(one, table, "r1")
+    # a retry of the version that is current may read it: it writes to a folder of its own
+    sinks.publish_version(sinks.read_current(spark, table).union(one), table, "r1")
+    assert sinks.read_current(spark, table).count() == 2 and sinks.base_folder(spark, table, "r1") is None
+    assert sinks.base_folder(spark, table, "r2") == "v=r1.a2"
+    shutil.rmtree(os.path.join(table, sinks.POINTERS))
+    with pytest.raises(RuntimeError):
+        sinks.read_current(spark, table)
+    with pytest.raises(RuntimeError):
+        sinks.publish_version(one, table, "r2")
+
+
+def test_daily_job_retries_and_refuses_late_days(spark, tmp):
+    import pytest
+
+    from ledgerline.plans import jobs
+
+    cfg = {"business_key": ["id"], "select_expr": {"id": "id", "a": "a"}, "scd2_columns": ["a"]}
+    snap = lambda rows: spark.createDataFrame(rows, "id bigint, a string")
+    path = os.path.join(tmp, "d")
+
+    def run(day, run_id, rows):
+        h = jobs.scd2_daily(spark, "retry_dim", path, snap(rows), cfg, f"2019-01-0{day} 00:00:00", run_id, 4, on_missing="close")
+        return sorted((r.id, r.a, r.effective_from.day, r.effective_to.day, r.is_current) for r in h.collect())
+
+    run(1, "r1", [(1, "x"), (2, "y")])
+    once = run(3, "r3", [(1, "z"), (2, "y")])
+    assert run(3, "r3", [(1, "z"), (2, "y")]) == once  # the same run again
+    assert run(3, "other", [(1, "z"), (2, "y")]) == once  # the same day under another id
+    run(5, "r5", [(1, "z")])  # closes key 2, opens nothing
+    with pytest.raises(ValueError):
+        run(4, "r4", [(1, "z"), (2, "q")])
+
+
+def test_whole_spec_runs_in_every_mode(spark, tmp):
+    import pytest
+
+    from ledgerline.plans.fixtures import view
+    from ledgerline.plans.spec import run_spec
+
+    src, out = os.path.join(tmp, "in"), os.path.join(tmp, "out")
+    for t in ("orders", "lineitem"):
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").write.parquet(f"{src}/{t}.parquet")
+    got = run_spec(spark, S.ORDER_VALUE_SPEC, src, out, {"run_dt": "2019-01-02", "run_id": "b1"})
+    table = spark.read.parquet(f"{out}/order_value")
+    assert table.count() == got["rows_out"] > 0 and "dt" in table.columns and got["dq_failed"] == 0
+
+    csv = dict(S.BUYER_SPEC, source={"format": "csv", "path": "customers", "options": {"header": True}})
+    csv["columns"] = [dict(c, expr="cast(customer_id as bigint)") if c["name"] == "customer_id" else c for c in csv["columns"]]
+    for d in (1, 2):
+        view(spark, SF_SMALL, f"v_cust_d{d}").write.mode("overwrite").option("header", True).csv(f"{src}/customers")
+        for _ in range(2):  # each day twice: a retry changes nothing
+            run_spec(spark, csv, src, out, {"run_dt": f"2019-01-0{d}", "run_id": f"s{d}"})
+    from ledgerline.plans import q_change as Q
+    hist = sinks.read_current(spark, f"{out}/buyer_history")
+    want = Q.hist_out(Q.cust_history(spark, SF_SMALL, 2), Q.CUST_OUT)
+    mine = Q.hist_out(hist, Q.CUST_OUT)
+    assert mine.exceptAll(want).count() == 0 and want.exceptAll(mine).count() == 0
+    assert sinks.read_current(spark, f"{out}/buyer_current").count() == hist.where("is_current").count()
+    log = {(r.run_id, r.status) for r in spark.read.parquet(f"{out}/_run_log").collect()}
+    assert log == {("b1", "SUCCESS"), ("s1", "SUCCESS"), ("s2", "SUCCESS")}
+
+    diff = {"name": "buyer_changes", "mode": "diff", "source": csv["source"], "keys": csv["keys"], "columns": csv["columns"],
+            "target": {"path": "buyer_snap"}}
+    first = run_spec(spark, diff, src, out, {"run_dt": "2019-01-01", "run_id": "d1"})
+    assert first["rows_out"] > 0 and run_spec(spark, diff, src, out, {"run_dt": "2019-01-02", "run_id": "d2"})["rows_out"] == 0
+
+    strict = dict(S.ORDER_VALUE_SPEC, dq={"checks": [{"check": "range", "column": "urgency", "min": 9}], "fail_over": 0})
+    with pytest.raises(ValueError):
+        run_spec(spark, strict, src, out, {"run_dt": "2019-01-03", "run_id": "b2"})
+    failed = spark.read.parquet(f"{out}/_run_log").where("run_id = 'b2'").first()
+    assert failed.status == "FAILED" and spark.read.parquet(f"{out}/order_value").where("run_id = 'b2'").count() == 0
+    assert spark.read.parquet(f"{out}/_alerts").where("run_id = 'b2'").count() == 1
+    with pytest.raises(ValueError):
+        run_spec(spark, dict(S.ORDER_VALUE_SPEC, retries=3), src, out, {"run_dt": "2019-01-03", "run_id": "b3"})
+
+
+def test_full_and_delta_jobs_write_audited_days(spark, tmp):
+    from ledgerline.plans import jobs
+    from ledgerline.plans.fixtures import view
+
+    path = os.path.join(tmp, "pay")
+    jobs.run_full_load(spark, view(spark, SF_SMALL, "v_payments"), S.PAYMENTS_CFG, path, "2019-01-02", "r", "2019-01-02 06:00:00")
+    assert {"run_dt", "run_id", "created_at", "updated_at"} <= set(spark.read.parquet(path).columns)
+    path = os.path.join(tmp, "placed")
+    feed = view(spark, SF_SMALL, "v_facts_delta")
+    jobs.run_delta_append(feed, S.PLACED_ORDERS_CFG, path, "2019-01-02", "r", "2019-01-02 06:00:00")
+    got = spark.read.parquet(path)
+    assert got.count() == feed.where("op = 'I'").select("order_id", "customer_id", "order_status", "order_ts").distinct().count()
+    jobs.run_delta_append(feed.limit(0), S.PLACED_ORDERS_CFG, path, "2019-01-02", "r", "2019-01-02 06:00:00")
+    assert not os.path.exists(os.path.join(path, "dt=2019-01-02"))
+
+
+def test_own_pattern_under_a_known_name_is_not_cut_short(spark):
+    df = spark.createDataFrame([("call 555-123-4567",), ("none",), (None,)], "t string")
+    own = {"phone": r"[0-9]{3}-[0-9]{3}-[0-9]{4}"}
+    assert meta.pii_hit_rates(df, ["t"], own).first().hit_rows == 1
+    assert sum(r.n_phone or 0 for r in meta.pii_counts(df.withColumn("id", F.lit(1)), "id", "t", own).collect()) == 1
+
+
+def test_unfinished_lineage_raises(spark):
+    import pytest
+
+    e = meta.edges_frame(spark, [(f"n{i:03d}", f"n{i + 1:03d}", "x") for i in range(40)])
+    with pytest.raises(RuntimeError):
+        meta.lineage_closure(e, max_rounds=2)

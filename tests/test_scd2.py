@@ -167,3 +167,64 @@ def test_out_of_order_run_is_refused(spark):
     scd2.check_run_order(h, T2)  # same day again is fine (idempotent)
     with pytest.raises(ValueError):
         scd2.check_run_order(h, T1)
+
+
+def test_null_keys_are_left_out_everywhere(spark):
+    p = spark.createDataFrame([(1, "a"), (None, "n")], "id bigint, v string")
+    assert ch.snapshot_diff(p, p, ["id"]).count() == 0
+    delta = spark.createDataFrame([(None, "z", "I", 1), (2, "b", "I", 1)], "id bigint, v string, op string, seq int")
+    once = ch.cdc_merge(spark.createDataFrame([(1, "a")], "id bigint, v string"), delta, ["id"])
+    assert rows(ch.cdc_merge(once, delta, ["id"])) == [(1, "a"), (2, "b")]
+
+
+def test_updates_with_repeated_keys_do_not_multiply_rows(spark):
+    t = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string")
+    u = spark.createDataFrame([(1, "x"), (1, "y"), (1, "y")], "id bigint, w string")
+    got = rows(ch.update_attribute(t, u, ["id"], {"v": "w"}))
+    assert len(got) == 2 and got[0][1] in ("x", "y") and got[1] == (2, "b")
+
+
+def test_backfill_keeps_rows_with_null_keys(spark):
+    from ledgerline.operators import star
+
+    h = scd2.scd2_initial(snap(spark, [(1, "x", 1)]), ["id"], ["a"], T1)
+    fact = spark.createDataFrame([(1, "2019-01-02", "-1"), (None, "2019-01-02", "-1"), (1, "2019-01-02", "known"), (1, "2019-01-02", None)],
+                                 "id bigint, at string, sk string")
+    got = star.backfill_unknown(fact, h, ["id"], "at", "sk").collect()
+    assert len(got) == 4
+    by = sorted((r.id is not None, r.sk == "-1", r.sk == "known") for r in got)
+    assert by == [(False, True, False), (True, False, False), (True, False, False), (True, False, True)]
+
+
+def test_surrogate_keys_do_not_collide(spark):
+    from ledgerline.functions.columns import surrogate_key
+
+    df = spark.createDataFrame([("a||b", "c", "2019-01-01 00:00:00.1"), ("a", "b||c", "2019-01-01 00:00:00.1"), ("a", None, "2019-01-01 00:00:00.1"),
+                                ("a", "-", "2019-01-01 00:00:00.1"), ("a", "b||c", "2019-01-01 00:00:00.2")], "x string, y string, t string")
+    assert df.select(surrogate_key(["x", "y"], F.col("t").cast("timestamp")).alias("k")).distinct().count() == 5
+
+
+def test_quality_verdicts_on_an_empty_table(spark):
+    from ledgerline.operators import meta, quality
+
+    none = spark.createDataFrame([], "id bigint, seg string")
+    rep = quality.dq_report(none, [{"check": "not_null", "column": "seg"}, {"check": "unique", "columns": ["id"]}]).collect()
+    assert [(r.rows, r.failed, r.passed) for r in rep] == [(0, 0, True)] * 2
+    m = meta.run_metrics(none, ["id"], F.col("seg").isNull(), "r", "d", "j").first()
+    assert (m.rows_in, m.rows_out, m.dq_failed, m.status) == (0, 0, 0, "SUCCESS")
+    assert {(r.rows, r.hit_rows, r.hit_rate) for r in meta.pii_hit_rates(none, ["seg"]).collect()} == {(0, 0, 0.0)}
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(days=st.lists(st.dictionaries(st.integers(0, 6), st.sampled_from(["a", "b", None]), max_size=5), min_size=2, max_size=5))
+def test_backfill_with_closing_equals_the_daily_job(spark, days):
+    h = union = None
+    dates = [f"2019-01-0{i + 1}" for i in range(len(days))]
+    for d, data in zip(dates, days):
+        s = spark.createDataFrame([(k, v, 0) for k, v in data.items()], SCHEMA)
+        ts = f"{d} 00:00:00"
+        h = scd2.scd2_initial(s, ["id"], ["a"], ts) if h is None else scd2.scd2_apply(h, s, ["id"], ["a"], ts, on_missing="close")
+        part = s.withColumn("dt", F.to_date(F.lit(d)))
+        union = part if union is None else union.unionByName(part)
+    built = scd2.scd2_from_snapshots(union, ["id"], ["a"], "dt", on_missing="close", days=dates)
+    assert hist_rows(built) == hist_rows(h)
