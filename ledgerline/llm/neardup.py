@@ -6,14 +6,16 @@ Documents sorted by one order form a tree: those that share a prefix share a
 node. Equal sets are one class from the start. Then, by region of the forest:
 
 1. Deep and shallow nodes: each member of a node is a candidate with the node's
-   smallest member (longest common prefixes first: of a document's candidates,
-   the one whose signature agrees best is checked first). A node of n members
+   hub, the member with the most company in all orders; of a document's
+   candidates, the one whose signature agrees best is checked. A node of n members
    gives n - 1 candidates, never all pairs. Checked links make components.
-2. Where a node of the shallow depth still holds several components, its region
+2. Where the shallow nodes of one hub still hold several components, the region
    is dense in texts that are alike but not linked; there, members of different
-   components are compared: the set sizes and 2-bit signature planes (both inside the join)
-   leave the pairs that can reach the threshold, and these are checked.
-   Pairs within one component cannot change the result and are left out.
+   components are compared inside one join, by three tests that leave only pairs
+   that can reach the threshold: the set sizes, the 2-bit signature planes, and an
+   exact upper bound of the intersection from how both sets differ from the
+   hub's. What passes is checked. Pairs within one component cannot change the
+   result and are left out.
 
 Links are confirmed on the full sets. A pair at similarity s shares no shallow
 node with probability (1 - s^3)^16, 1e-5 at s = 0.8.
@@ -45,6 +47,8 @@ SIMILARITY = 80
 #: 2-bit signature symbols that may differ: expected 19.2 of 128 at similarity
 #: 0.8, standard deviation 4.04; 5.6 deviations are allowed.
 MISMATCHES = 42
+#: Bits of the sketch of a set's difference from its hub's.
+DELTA_BITS = 1024
 
 _rng = np.random.default_rng(8)
 _MULTIPLY = _rng.integers(1, 1 << 63, HASHES, dtype=np.uint64) * U64(2) + U64(1)
@@ -162,6 +166,46 @@ def confirm(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     return found.where(F.col("i") * 100 >= (F.size("x") + F.size("y") - F.col("i")) * SIMILARITY).select("a", "b")
 
 
+def deltas(members: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """For (hub, rep): how the set of ``rep`` differs from its hub's. ``gone`` and
+    ``new`` are the sizes of both differences, ``bits`` their elements hashed into
+    ``DELTA_BITS`` bits, ``lost`` the elements that share a bit with another."""
+    need = members.select(F.explode(F.array("hub", "rep")).alias("id")).distinct()
+    sets = shingle_sets(docs.join(need, "id", "left_semi"), words).groupBy("id").agg(F.min("set").alias("set"))
+    both = (members.join(sets.select(F.col("id").alias("hub"), F.col("set").alias("h")), "hub")
+            .join(sets.select(F.col("id").alias("rep"), F.col("set").alias("s")), "rep"))
+
+    def run(batches):
+        for b in batches:
+            for i in range(0, len(b), 512):
+                part = b.slice(i, 512)
+                gone, new, bits, lost = [], [], [], []
+                for h, s in zip(part.column(2), part.column(3)):
+                    h, s = h.values.to_numpy(), s.values.to_numpy()
+                    out, in_ = np.setdiff1d(h, s, assume_unique=True), np.setdiff1d(s, h, assume_unique=True)
+                    at = mix(np.append(out.view(U64), in_.view(U64) ^ U64(0x5555555555555555))) % U64(DELTA_BITS)
+                    flag = np.zeros(DELTA_BITS, bool)
+                    flag[at.astype(np.int64)] = True
+                    gone.append(len(out))
+                    new.append(len(in_))
+                    bits.append(np.packbits(flag).view(np.int64))
+                    lost.append(len(at) - int(flag.sum()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(gone, pa.int64()), pa.array(new, pa.int64()),
+                                                  pa.array(bits, pa.list_(pa.int64())), pa.array(lost, pa.int64())],
+                                                 names=["rep", "hub", "gone", "new", "bits", "lost"])
+    return both.select("rep", "hub", "h", "s").mapInArrow(run, "rep long, hub long, gone long, new long, bits array<long>, lost long")
+
+
+def _may_link(a: str, b: str):
+    """Whether two sets with the same hub can still reach the threshold. With
+    |a & b| = n(a) - new(a) - gone(b) + the elements both differences share, the
+    shared bits (plus those lost to equal bits) bound the intersection from above."""
+    col = lambda s, x: F.col(f"{s}.{x}")
+    shared = sum(F.bit_count(col(a, "bits")[i].bitwiseAND(col(b, "bits")[i])) for i in range(DELTA_BITS // 64))
+    most = col(a, "n") - col(a, "new") - col(b, "gone") + shared + F.least(col(a, "lost"), col(b, "lost"))
+    return most * 100 >= (col(a, "n") + col(b, "n") - most) * SIMILARITY
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 2) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept."""
     docs = docs.select(quoted(id).cast("long").alias("id"), quoted(text).cast("string").alias("text"))
@@ -169,26 +213,41 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     classes = cut_lineage(sketched.where("same is not null and id is not null").groupBy("same", "n").agg(
         F.min("id").alias("rep"), F.first("nodes").alias("nodes"), F.first("planes").alias("planes")))
     members = classes.select("rep", F.explode("nodes").alias("node"))
-    crowded = members.groupBy("node").agg(F.min("rep").alias("a"), F.count("*").alias("size")).where("size > 1")
+    crowded = members.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
     # only members of nodes with company, from here on
-    members = cut_lineage(members.join(crowded, "node").select("node", "rep", "a"))
+    members = cut_lineage(members.join(crowded, "node").select("node", "rep", "size"))
+    # the hub of a node is its member with the most company in all orders: of a
+    # text and its edited copies, that is the text they come from
+    company = members.groupBy("rep").agg(F.sum("size").alias("company"))
+    ranked = members.select("node", "rep").join(company, "rep")
+    hubs = ranked.groupBy("node").agg(F.max(F.struct("company", (-F.col("rep")).alias("low"))).alias("m")).select("node", (-F.col("m.low")).alias("hub"))
+    members = cut_lineage(members.select("node", "rep").join(hubs, "node"))
     narrow = classes.select("rep", "n", "planes")
-    first = members.where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
-    a, b = narrow.alias("x"), narrow.alias("y")
+    near = members.where("rep <> hub").select("rep", "hub").distinct()
+    x, y = narrow.alias("x"), narrow.alias("y")
     ok, differ = _alike("x", "y")
-    first = (first.join(a, F.col("a") == F.col("x.rep")).join(b, F.col("b") == F.col("y.rep")).where(ok)
-             .groupBy("b").agg(F.min(F.struct(differ.alias("differ"), F.col("a"))).alias("best")).select(F.col("best.a").alias("a"), "b"))
+    near = (near.join(x, F.col("hub") == F.col("x.rep")).join(y, near["rep"] == F.col("y.rep")).where(ok)
+            .groupBy(near["rep"].alias("b")).agg(F.min(F.struct(differ.alias("differ"), F.col("hub").alias("a"))).alias("best")))
+    first = near.select(F.least("best.a", "b").alias("a"), F.greatest("best.a", "b").alias("b")).distinct()
     links = cut_lineage(confirm(cut_lineage(first), docs, words))
     joined = components(links)
-    # regions that still hold several components
-    labelled = (members.where(F.col("node").bitwiseAND(F.lit(1)) == 0).select("node", "rep")
+    # hubs whose company still holds several components; members of one node have
+    # one hub, so going by hubs compares all they would, and each pair once a hub
+    labelled = (members.where(F.col("node").bitwiseAND(F.lit(1)) == 0).select("hub", "rep").distinct()
                 .join(joined.select(F.col("id").alias("rep"), "component"), "rep", "left")
-                .select("node", "rep", F.coalesce("component", "rep").alias("component")))
-    open_nodes = labelled.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("node")
-    regions = cut_lineage(labelled.join(open_nodes, "node").join(narrow, "rep"))
+                .select("hub", "rep", F.coalesce("component", "rep").alias("component")))
+    open_hubs = labelled.groupBy("hub").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("hub")
+    regions = cut_lineage(labelled.join(open_hubs, "hub").join(narrow, "rep"))
+    x, y = regions.alias("x"), narrow.alias("y")
+    ok, _ = _alike("x", "y")
+    # texts far from their hub keep only the sketch test: their differences say little
+    close = x.join(y, F.col("x.hub") == F.col("y.rep")).where(ok).select(F.col("x.hub").alias("hub"), F.col("x.rep").alias("rep"))
+    delta = cut_lineage(deltas(cut_lineage(close), docs, words))
+    regions = cut_lineage(regions.join(delta, ["hub", "rep"], "left"))
     x, y = regions.alias("x"), regions.alias("y")
     ok, _ = _alike("x", "y")
-    cross = (x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.component") < F.col("y.component")) & ok)
+    bound = F.coalesce(_may_link("x", "y"), F.lit(True))
+    cross = (x.join(y, (F.col("x.hub") == F.col("y.hub")) & (F.col("x.component") < F.col("y.component")) & ok & bound)
              .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct())
     more = cut_lineage(confirm(cut_lineage(cross), docs, words))
     if not more.isEmpty():
