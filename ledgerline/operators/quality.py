@@ -33,14 +33,25 @@ def _fail_expr(check: Mapping) -> Column:
     raise ValueError(f"not a row-level check: {kind}")
 
 
-def row_checks_report(df: DataFrame, checks: Sequence[Mapping]) -> DataFrame:
-    """Row-level checks in one pass -> one report row per check.
-    A table without rows fails none of them: 0 rows, 0 failed, passed."""
+def _stale(newest: Column, run_ts: str, max_age_seconds: int) -> Column:
+    age = F.unix_seconds(F.to_timestamp(F.lit(run_ts))) - F.unix_seconds(newest.cast("timestamp"))
+    return F.coalesce(age > max_age_seconds, F.lit(True))
+
+
+def row_checks_report(df: DataFrame, checks: Sequence[Mapping], run_ts: str | None = None) -> DataFrame:
+    """Row-level and freshness checks in one pass -> one report row per check
+    (D1, D3, D4, D5, D6). A table without rows fails no row-level check (0 rows,
+    0 failed, passed) and is stale."""
     aggs = [F.count(F.lit(1)).alias("__rows")]
-    aggs += [F.count_if(_fail_expr(ch)).alias(f"__f{i}") for i, ch in enumerate(checks)]
+    for i, ch in enumerate(checks):
+        if ch["check"] == "freshness":
+            aggs.append(_stale(F.max(F.col(ch["column"])), run_ts, ch["max_age_seconds"]).cast("bigint").alias(f"__f{i}"))
+        else:
+            aggs.append(F.count_if(_fail_expr(ch)).alias(f"__f{i}"))
     one = df.agg(*aggs)
     rows = F.array(*[F.struct(F.lit(ch["check"]).alias("check_name"), F.lit(ch["column"]).alias("column_name"),
-                              F.col("__rows").alias("rows"), F.col(f"__f{i}").alias("failed"))
+                              (F.lit(1).cast("bigint") if ch["check"] == "freshness" else F.col("__rows")).alias("rows"),
+                              F.col(f"__f{i}").alias("failed"))
                      for i, ch in enumerate(checks)])
     return one.select(F.inline(rows)).withColumn("passed", F.col("failed") == 0)
 
@@ -78,23 +89,14 @@ def freshness(df: DataFrame, ts_col: str, run_ts: str, max_age_seconds: int) ->
         "is_stale", F.col("age_seconds").isNull() | (F.col("age_seconds") > max_age_seconds))
 
 
-def freshness_report(df: DataFrame, ts_col: str, run_ts: str, max_age_seconds: int) -> DataFrame:
-    f = freshness(df, ts_col, run_ts, max_age_seconds)
-    return f.select(F.lit("freshness").alias("check_name"), F.lit(ts_col).alias("column_name"),
-                    F.lit(1).cast("bigint").alias("rows"), F.col("is_stale").cast("bigint").alias("failed"),
-                    (~F.col("is_stale")).alias("passed"))
-
-
 def dq_report(df: DataFrame, checks: Sequence[Mapping], run_ts: str | None = None) -> DataFrame:
-    """All checks of a table as one long report (D6). Row-level checks share
-    one pass; unique and freshness checks add one aggregate each."""
-    row_level = [c for c in checks if c["check"] in ("not_null", "accepted_values", "range")]
-    parts = [row_checks_report(df, row_level)] if row_level else []
+    """All checks of a table as one long report (D6). Row-level and freshness
+    checks share one pass; each unique check adds a grouped aggregate."""
+    one_pass = [c for c in checks if c["check"] != "unique"]
+    parts = [row_checks_report(df, one_pass, run_ts)] if one_pass else []
     for c in checks:
         if c["check"] == "unique":
             parts.append(unique_report(df, c["columns"]))
-        elif c["check"] == "freshness":
-            parts.append(freshness_report(df, c["column"], run_ts, c["max_age_seconds"]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -28,10 +28,20 @@ def with_surrogate_key(hist: DataFrame, keys: Sequence[str], sk_col: str) -> Dat
 
 
 def point_in_time_join(facts: DataFrame, hist: DataFrame, keys: Sequence[str], ts_col: str, sk_col: str,
-                       attrs: Sequence[str] = (), unknown: str = UNKNOWN_MEMBER) -> DataFrame:
+                       attrs: Sequence[str] = (), unknown: str = UNKNOWN_MEMBER, salts: int = 1,
+                       _sk_keys: Sequence[str] | None = None) -> DataFrame:
     """Each fact row picks the dimension version valid at its event time (J4):
-    ``effective_from <= ts < effective_to``; no match -> the unknown member (J7)."""
-    h = with_surrogate_key(hist, keys, sk_col).select(
+    ``effective_from <= ts < effective_to``; no match -> the unknown member (J7).
+
+    A hot key of unbucketed facts is split by adaptive skew handling. Facts
+    bucketed by the key join without a shuffle, so nothing can be split at run
+    time: with ``salts`` > 1 each key's facts are dealt over that many parts, and the
+    versions are repeated once a part, at the price of the shuffle."""
+    if salts > 1:
+        dealt = facts.withColumn("__salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)))
+        parts = hist.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+        return point_in_time_join(dealt, parts, [*keys, "__salt"], ts_col, sk_col, attrs, unknown, _sk_keys=keys).drop("__salt")
+    h = with_surrogate_key(hist, _sk_keys or keys, sk_col).select(
         *[F.col(k).alias(f"__k_{k}") for k in keys], sk_col, "effective_from", "effective_to", *attrs)
     ts = F.col(ts_col).cast("timestamp")
     cond = [F.col(k) == F.col(f"__k_{k}") for k in keys]

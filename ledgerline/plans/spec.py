@@ -167,6 +167,16 @@ def dq_verdict(spec: Mapping, out: DataFrame, run_ts: str | None) -> tuple[DataF
 
 
 def run_spec(spark: SparkSession, spec: Mapping, base_in: str, base_out: str, run_values: Mapping[str, str]) -> dict[str, int]:
+    """``_run_spec`` with the session sized for the spec's inputs."""
+    from ledgerline.session import sized
+
+    check_spec(spec)
+    scans = list((spec.get("sources") or {}).values()) or [spec["source"]]
+    with sized(spark, [f"{base_in}/{s['path']}" for s in scans]):
+        return _run_spec(spark, spec, base_in, base_out, run_values)
+
+
+def _run_spec(spark: SparkSession, spec: Mapping, base_in: str, base_out: str, run_values: Mapping[str, str]) -> dict[str, int]:
     """A whole run: scan the sources, transform or merge, check, write the target
     (and the current view), and append the run-log row, all under ``base_out``.
 

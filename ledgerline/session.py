@@ -6,6 +6,7 @@ in. ``local_session`` is for tests, the bench and the smoke entry point.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 
@@ -72,6 +73,36 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Bytes under the given paths, from the file system's own summary."""
+    total = 0
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(p):
+            total += fs.getContentSummary(p).getLength()
+    return total
+
+
+@contextlib.contextmanager
+def sized(spark: SparkSession, paths):
+    """The session with ``scale_conf`` for the inputs at ``paths``, for one run;
+    the former settings come back afterwards."""
+    cores = spark.sparkContext.defaultParallelism
+    conf = {k: v for k, v in scale_conf(input_bytes(spark, paths), cores).items() if spark.conf.isModifiable(k)}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield spark
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def scale_conf(input_bytes: int, executor_cores_total: int, target_partition_bytes: int = 256 << 20,
                max_broadcast_bytes: int = 64 << 20, shuffle_fraction: float = 0.25,
                max_shuffle_partitions: int = 100_000) -> dict[str, str]:

@@ -117,3 +117,28 @@ def test_scale_conf_bounds():
     assert int(big["spark.sql.shuffle.partitions"]) == 100_000
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     assert big["spark.sql.adaptive.autoBroadcastJoinThreshold"] == str(64 << 20)
+
+
+def test_salted_point_in_time_join_gives_the_same_rows(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators import scd2, star
+
+    facts = spark.range(0, 600).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 40).cast("long").alias("customer_id"),
+                                       F.col("id").alias("order_id"), F.lit("2019-01-02").cast("date").alias("order_dt"))
+    dim = spark.range(0, 30).select(F.col("id").alias("customer_id"), (F.col("id") % 5).cast("string").alias("seg"))
+    hist = scd2.scd2_initial(dim, ["customer_id"], ["seg"], "2019-01-01 00:00:00")
+    plain = star.point_in_time_join(facts, hist, ["customer_id"], "order_dt", "sk", ["seg"])
+    salted = star.point_in_time_join(facts, hist, ["customer_id"], "order_dt", "sk", ["seg"], salts=4)
+    assert salted.columns == plain.columns
+    assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
+
+
+def test_a_run_is_sized_by_its_inputs_and_restores_the_session(spark):
+    from ledgerline.session import sized
+
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    with sized(spark, [f"{SF_SMALL}/lineitem.parquet"]):
+        assert int(spark.conf.get(key)) == 2 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(key) == old

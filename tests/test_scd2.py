@@ -228,3 +228,13 @@ def test_backfill_with_closing_equals_the_daily_job(spark, days):
         union = part if union is None else union.unionByName(part)
     built = scd2.scd2_from_snapshots(union, ["id"], ["a"], "dt", on_missing="close", days=dates)
     assert hist_rows(built) == hist_rows(h)
+
+
+def test_clip_and_days(spark):
+    from ledgerline.operators.aggregate import clip, days_between
+
+    df = spark.createDataFrame([(-5.0,), (0.5,), (99.0,), (None,)], "x double")
+    assert [r.c for r in df.select(clip(F.col("x"), 0.0, 60.0).alias("c")).collect()] == [0.0, 0.5, 60.0, None]
+    t = spark.createDataFrame([("2019-01-01 00:00:00", "2019-01-02 12:00:00")], "a string, b string").select(
+        days_between(F.col("a").cast("timestamp"), F.col("b").cast("timestamp")).alias("d"))
+    assert t.first().d == 1.5
