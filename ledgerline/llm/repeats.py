@@ -43,9 +43,12 @@ from ledgerline.llm.textblock import U64, mix, prefix_sums, quoted, slices, span
 from ledgerline.session import ensure_checkpoint_dir
 
 LENGTH = 400
-#: Bytes of a trigger, one trigger in so many bytes (coarse, fine), and bytes
-#: behind the trigger that belong to every string of its run.
-TRIGGER, COARSE, FINE, BEHIND = 16, 100, 32, 32
+#: Bytes of a trigger, and one trigger in so many bytes (coarse, fine).
+TRIGGER, COARSE, FINE = 16, 100, 32
+#: Runs are cut by how far a string starts before its trigger, as shares of the
+#: length: up to 36 %, 68 % and 92 %. What all strings of one class have in
+#: common, their core, is then at least 64 % of a string.
+FAR = (0.36, 0.68, 0.92)
 RUN = "key long, core long, whole long, weight int, lo int, hi int"
 
 
@@ -69,7 +72,8 @@ def parse(buf: np.ndarray, off: np.ndarray, length: int = LENGTH):
     rolling = span_hash(sums, ends - TRIGGER, ends)
     anchor = np.full(len(i), -1, np.int64)
     level = np.zeros(len(i), np.int64)
-    farthest = length - BEHIND
+    far = np.array([int(f * length) for f in FAR])
+    farthest = far[-1]
     for lv, rate in ((1, COARSE), (2, FINE)):
         at = np.flatnonzero((rolling >> U64(33)) % U64(rate) == 0) + TRIGGER
         if not len(at):
@@ -83,14 +87,17 @@ def parse(buf: np.ndarray, off: np.ndarray, length: int = LENGTH):
         level[where] = lv
     alone = anchor < 0
     anchor[alone] = i[alone]
+    level = level * 4 + np.searchsorted(far, anchor - i)  # 0: alone; else level and distance class
     new = np.append(True, (anchor[1:] != anchor[:-1]) | (level[1:] != level[:-1]) | (i[1:] != i[:-1] + 1))
     first = np.flatnonzero(new)
     last = np.append(first[1:] - 1, len(i) - 1)
     lo, hi, b, lv = i[first], i[last], anchor[first], level[first]
-    whole = mix(span_hash(sums, lo, hi + length) + ((b - lo) * 4 + lv).astype(U64))
+    whole = mix(span_hash(sums, lo, hi + length) + ((b - lo) * 16 + lv).astype(U64))
     core = whole.copy()
     has = lv > 0
-    core[has] = mix(span_hash(sums, b[has] - TRIGGER, b[has] + BEHIND) + lv[has].astype(U64))
+    near = np.append(TRIGGER, far[:-1])
+    c = lv[has] % 4
+    core[has] = mix(span_hash(sums, b[has] - near[c], b[has] + length - far[c]) + lv[has].astype(U64))
     return lo, hi, core, whole, sums
 
 
