@@ -32,8 +32,8 @@ from pyspark.sql.types import BinaryType, StructField
 from ledgerline.llm.textblock import map_text, prefix_sums, span_hash, utf8
 
 #: Limits of what a worker keeps: words, determinised states, token pairs.
-MAX_WORDS, MAX_STATES, MAX_PAIRS = 1_000_000, 150_000, 500_000
-SLICE = 2 << 20
+MAX_WORDS, MAX_STATES, MAX_PAIRS = 350_000, 40_000, 200_000
+SLICE = 1 << 20
 MAX_VOCABULARY_BYTES = 64 << 20
 NEVER = 1 << 62
 _DEAD = (None, ())

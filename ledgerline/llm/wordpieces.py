@@ -25,7 +25,7 @@ from pyspark.sql.types import LongType, StructField
 from ledgerline.llm.byte_bpe import char_classes, parse_ranks, read_ranks, split_words
 from ledgerline.llm.textblock import map_text, prefix_sums, quoted, span_hash, utf8
 
-MAX_WORDS = 1_000_000
+MAX_WORDS = 500_000
 NONE = -1
 
 
@@ -143,4 +143,4 @@ def count_pieces(docs: DataFrame, vocabulary_path: str, id: str = "doc_id", text
         return work
 
     fields = [StructField(c, LongType()) for c in ("n_words", "n_pieces", "max_pieces")]
-    return map_text(docs.select(quoted(id).alias("doc_id"), quoted(text).alias("text")), "text", None, fields, keep=["doc_id"], limit=2 << 20, setup=setup)
+    return map_text(docs.select(quoted(id).alias("doc_id"), quoted(text).alias("text")), "text", None, fields, keep=["doc_id"], limit=1 << 20, setup=setup)
