@@ -154,6 +154,16 @@ def test_random_tokens_with_few_digits_are_found(sp, alphabet, n, least):
     assert len([i for i in hit if i >= len(keys)]) <= 0.02 * len(hit)
 
 
+def test_a_secret_is_found_at_any_size(sp):
+    rng = random.Random(12)
+    key = "".join(rng.choice(secrets.ALPHABETS["base64"][:62]) for _ in range(48))
+    for n in (0, 10, 3000):
+        texts = [f"see {key} end"] + ["the " + "".join(rng.choice(["ation", "ing", "ther", "over"]) for _ in range(13))[:48]] * n
+        df = sp.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        assert [r.doc_id for r in secrets.find_secrets(df).collect() if r.spans] == [0], n
+        assert secrets.redact(df).where(F.col("text").contains(secrets.MARK)).count() == 1
+
+
 def test_digits_alone_have_a_p_value_too():
     ((_, _, cell),) = secrets.token_tests("no 31415926535897932384 here")
     assert cell >= 0 and secrets.FORMS[cell // secrets.BINS % len(secrets.FORMS)] == "digits"
