@@ -3,8 +3,9 @@
 ``build_index`` turns documents into index segments (document-partitioned, one
 row per segment of bounded size): for every term of the test vocabulary its
 postings, i.e. sorted (document, position) places, packed term by term. The
-segments are written to the shared checkpoint folder; no row is shuffled. Terms
-are 64-bit fingerprints of the lower-cased words.
+segments are written to the shared checkpoint folder, once; no row is shuffled.
+Every segment has a key of its own, which with the row's place in it is the row's
+key. Terms are 64-bit fingerprints of the lower-cased words.
 
 ``search`` sends the test windows to the segments. A window's terms are ordered
 from the rarest (corpus frequency summed from the index); the rarest term's
@@ -14,7 +15,8 @@ terms is an exact phrase match; with ``slop`` the rarest terms may each be up to
 ``slop`` words away from their offset (proximity match).
 
 Test items go to the segments in blocks of at most ``block_windows`` windows
-(so what is broadcast is bounded); the matches of all blocks are merged.
+(so what is broadcast is bounded; a long item is cut); the matches of all blocks
+are merged by row key, so equal rows and rows without an id stay apart.
 
 Cases: null and empty texts have no words and no hits; null or empty items have
 no window; an item with fewer words than the window is one window; texts of any
@@ -26,6 +28,8 @@ are read, so other columns' names do not matter.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,8 +42,10 @@ from ledgerline.session import cut_lineage
 WINDOW = 10
 SEGMENT_BYTES = 4 << 20
 BLOCK_WINDOWS = 200_000
+#: With more test terms than this the index posts all terms, so that nothing larger is sent.
+VOCABULARY = 4_000_000
 
-SEGMENT = StructType([StructField("doc_ids", BinaryType()), StructField("n_words", BinaryType()), StructField("terms", BinaryType()),
+SEGMENT = StructType([StructField("segment", BinaryType()), StructField("doc_ids", BinaryType()), StructField("n_words", BinaryType()), StructField("terms", BinaryType()),
                       StructField("ends", BinaryType()), StructField("docs", BinaryType()), StructField("positions", BinaryType())])
 
 
@@ -52,35 +58,46 @@ def term_prints(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 # --- test windows ---------------------------------------------------------
 
-def _windows(items: list[str], window: int) -> tuple[list[np.ndarray], list[int]]:
-    prints, at = term_prints(pa.array(items, pa.string()))
-    out, owner = [], []
-    for k in range(len(items)):
-        w = prints[at[k]:at[k + 1]]
-        if len(w):
-            for i in range(max(1, len(w) - window + 1)):
-                out.append(w[i:i + window])
-                owner.append(k)
-    return out, owner
+def item_terms(bench: DataFrame, id: str, text: str):
+    """(item id, its term fingerprints) of the items with words."""
+    for row in bench.select(quoted(id).cast("string"), quoted(text).cast("string")).toLocalIterator():
+        if row[0] is not None and row[1] is not None:
+            prints, _ = term_prints(pa.array([row[1]], pa.string()))
+            if len(prints):
+                yield row[0], prints
+
+
+def vocabulary_of(bench: DataFrame, id: str, text: str, limit: int = VOCABULARY) -> np.ndarray | None:
+    """Sorted terms of all items; None where they are more than ``limit``."""
+    voc, new, size = np.zeros(0, np.uint64), [], 0
+    for _, prints in item_terms(bench, id, text):
+        new.append(prints)
+        size += len(prints)
+        if size > limit:
+            voc, new, size = np.unique(np.concatenate([voc, *new])), [], 0
+            if len(voc) > limit:
+                return None
+    voc = np.unique(np.concatenate([voc, *new]))
+    return voc if len(voc) <= limit else None
 
 
 def item_blocks(bench: DataFrame, id: str, text: str, window: int, block_windows: int):
-    """Blocks of (item ids, windows, item of each window), each of a bounded number
-    of windows; items pass the driver block by block."""
+    """Blocks of (item ids, windows, item of each window), each of at most
+    ``block_windows`` windows; items pass the driver block by block."""
     ids: list[str] = []
     wins: list[np.ndarray] = []
     owner: list[int] = []
-    for row in bench.select(quoted(id).cast("string"), quoted(text).cast("string")).toLocalIterator():
-        if row[1] is None or row[0] is None:
-            continue
-        got, _ = _windows([row[1]], window)
-        if got:
-            if wins and len(wins) + len(got) > block_windows:
+    for item, w in item_terms(bench, id, text):
+        count, at = max(1, len(w) - window + 1), 0
+        while at < count:
+            if len(wins) >= block_windows:
                 yield ids, wins, owner
                 ids, wins, owner = [], [], []
-            owner += [len(ids)] * len(got)
-            ids.append(row[0])
-            wins += got
+            n = min(count - at, block_windows - len(wins))
+            wins += [w[i:i + window] for i in range(at, at + n)]
+            owner += [len(ids)] * n
+            ids.append(item)
+            at += n
     yield ids, wins, owner
 
 
@@ -108,7 +125,7 @@ def build_index(docs: DataFrame, id: str = "doc_id", text: str = "text", vocabul
                 prints = prints[order]
                 last = np.flatnonzero(np.append(prints[1:] != prints[:-1], True)) if len(prints) else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x.tobytes()], pa.binary()) for x in (
+                    [pa.array([uuid.uuid4().bytes], pa.binary())] + [pa.array([x.tobytes()], pa.binary()) for x in (
                         ids.slice(lo, hi - lo).fill_null(NULL_ID).to_numpy(zero_copy_only=False).astype(np.int64), np.diff(at).astype(np.int64),
                         prints[last], (last + 1).astype(np.int64), doc[order], pos[order])],
                     names=SEGMENT.names)
@@ -120,13 +137,16 @@ def build_index(docs: DataFrame, id: str = "doc_id", text: str = "text", vocabul
 NULL_ID = -(1 << 63)
 
 
-def term_counts(index: DataFrame) -> DataFrame:
-    """(term, n): places of each posted term in the whole index."""
+def term_counts(index: DataFrame, terms) -> DataFrame:
+    """(term, n): places of the ``terms`` (a broadcast sorted array) in the whole index."""
+    wanted = terms
+
     def run(batches):
         for b in batches:
             for terms, ends in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                n = np.diff(np.frombuffer(ends, np.int64), prepend=0)
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(terms, np.int64)), pa.array(n)], names=["term", "n"])
+                n, terms = np.diff(np.frombuffer(ends, np.int64), prepend=0), np.frombuffer(terms, np.uint64)
+                on = np.isin(terms, wanted.value, assume_unique=True)
+                yield pa.RecordBatch.from_arrays([pa.array(terms[on].view(np.int64)), pa.array(n[on])], names=["term", "n"])
     return index.select("terms", "ends").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
@@ -146,6 +166,7 @@ def _plan(wins: list[np.ndarray], counts: dict[int, int], rarest: int) -> list[t
 
 class Segment:
     def __init__(self, row: list[bytes]):
+        self.key, row = row[0], row[1:]
         self.doc_ids, self.n_words, self.terms, self.ends = (np.frombuffer(x, t) for x, t in zip(row, (np.int64, np.int64, np.uint64, np.int64)))
         docs, positions = np.frombuffer(row[4], np.int32), np.frombuffer(row[5], np.int32)
         self.places = docs.astype(np.int64) << 32 | positions  # sorted within each term
@@ -177,7 +198,7 @@ class Segment:
         return got
 
 
-MATCH = StructType([StructField("doc_id", LongType()), StructField("n_words", LongType()),
+MATCH = StructType([StructField("segment", BinaryType()), StructField("row", IntegerType()), StructField("doc_id", LongType()), StructField("n_words", LongType()),
                     StructField("starts", ArrayType(IntegerType())), StructField("lengths", ArrayType(IntegerType())),
                     StructField("items", ArrayType(IntegerType()))])
 
@@ -206,25 +227,27 @@ def _search_block(index: DataFrame, plan_b, slop: int) -> DataFrame:
                 cuts = np.searchsorted(cat[0][order], np.arange(len(seg.doc_ids) + 1)).astype(np.int32)
                 lists = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(x[order].astype(np.int32))) for x in cat[1:]]
                 ids = pa.array(seg.doc_ids, mask=seg.doc_ids == NULL_ID)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(seg.n_words), *lists], names=MATCH.names)
+                key = [pa.array([seg.key] * len(ids), pa.binary()), pa.array(np.arange(len(ids), dtype=np.int32))]
+                yield pa.RecordBatch.from_arrays([*key, ids, pa.array(seg.n_words), *lists], names=MATCH.names)
 
     return index.mapInArrow(run, MATCH)
 
 
 def search(docs: DataFrame, bench: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
            window: int = WINDOW, slop: int = 0, rarest: int = 0, block_windows: int = BLOCK_WINDOWS):
-    """Yields per block of test items (item ids, matches): one row per document with
-    starts, lengths and items (indexes into the ids) of its matches."""
+    """Yields per block of test items (item ids, matches): one row per document, with
+    its key, and starts, lengths and items (indexes into the ids) of its matches."""
     if slop and not rarest:
         rarest = 3
-    spark = docs.sparkSession
+    sc = docs.sparkSession.sparkContext
+    voc = vocabulary_of(bench, item_id, item_text)
+    index = cut_lineage(build_index(docs, id, text, None if voc is None else sc.broadcast(voc)))
     for ids, wins, owner in item_blocks(bench, item_id, item_text, window, block_windows):
-        voc = np.unique(np.concatenate(wins)) if wins else np.zeros(0, np.uint64)
-        index = cut_lineage(build_index(docs, id, text, spark.sparkContext.broadcast(voc)))
-        counts = {r["term"]: r["n"] for r in term_counts(index).collect()}  # at most the block's terms
+        terms = np.unique(np.concatenate(wins)) if wins else np.zeros(0, np.uint64)
+        counts = {r["term"]: r["n"] for r in term_counts(index, sc.broadcast(terms)).collect()}  # at most the block's terms
         plan = [(len(wins[k]), owner[k], terms, offs) for k, terms, offs in _plan(wins, counts, rarest)]
         plan.sort(key=lambda p: int(p[2][0]))
-        yield ids, _search_block(index, spark.sparkContext.broadcast(plan), slop)
+        yield ids, _search_block(index, sc.broadcast(plan), slop)
 
 
 def contamination(docs: DataFrame, bench: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id",
@@ -240,18 +263,19 @@ def contamination(docs: DataFrame, bench: DataFrame, id: str = "doc_id", text: s
             for b in batches:
                 keep = names.value
                 out = []
-                for starts, lengths, items in zip(*(b.column(i).to_pylist() for i in (2, 3, 4))):
+                for starts, lengths, items in zip(*(b.column(i).to_pylist() for i in (4, 5, 6))):
                     out.append(_spans(np.array(starts, np.int64), np.array(lengths, np.int64)) + (sorted({keep[i] for i in items}),))
                 cols = [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.string())))]
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=["doc_id", "n_words", "starts", "ends", "items"])
+                yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(4)), *cols], names=[*MATCH.names[:4], "starts", "ends", "items"])
 
-        part = matches.mapInArrow(run, "doc_id long, n_words long, starts array<int>, ends array<int>, items array<string>")
+        part = matches.mapInArrow(run, "segment binary, row int, doc_id long, n_words long, starts array<int>, ends array<int>, items array<string>")
         merged = part if merged is None else merged.unionByName(part)
         blocks = 1 if merged is part else 2
-    if blocks > 1:  # ranges of several blocks of items meet per document
-        merged = merged.groupBy("doc_id", "n_words").agg(F.flatten(F.collect_list("starts")).alias("starts"),
-                                                         F.flatten(F.collect_list("ends")).alias("ends"),
-                                                         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    if blocks > 1:  # ranges of several blocks of items meet per document row
+        merged = merged.groupBy("segment", "row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+                                                      F.flatten(F.collect_list("starts")).alias("starts"),
+                                                      F.flatten(F.collect_list("ends")).alias("ends"),
+                                                      F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
         ends = F.udf(lambda s, e: [list(x) for x in _spans(np.array(s, np.int64), np.array(e, np.int64) - np.array(s, np.int64))],
                      ArrayType(ArrayType(IntegerType())))
         merged = merged.withColumn("r", ends("starts", "ends")).withColumns({"starts": F.col("r")[0], "ends": F.col("r")[1]}).drop("r")

@@ -68,6 +68,26 @@ def test_short_items_repeats_and_odd_rows(sp, odd, empty):
     assert decontam.contamination(empty, bench).count() == 0
 
 
+def test_rows_stay_apart_in_many_blocks(sp):
+    a, b = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    rows = [(1, a), (1, a), (1, b), (None, a), (None, b), (None, b), (2, f"{a} {b}"), (3, None), (3, None)]
+    items = [(1, a), (2, b), (3, f"{b} {a}")]
+    d = sp.createDataFrame(rows, "doc_id long, text string")
+    bench = sp.createDataFrame(items, "item_id long, text string")
+    want = contamination(rows, items)
+    for size in (1000, 25, 4):  # 4: every item is cut
+        assert digest(decontam.contamination(d, bench, block_windows=size)) == want, size
+
+
+def test_an_index_of_all_terms_gives_the_same(sp, monkeypatch):
+    rows, items = [(1, "x " * 3 + "a b c d"), (2, "e f")], [(1, "a b c"), (2, "d e")]
+    d = sp.createDataFrame(rows, "doc_id long, text string")
+    bench = sp.createDataFrame(items, "item_id long, text string")
+    assert decontam.vocabulary_of(bench, "item_id", "text", 4) is None and len(decontam.vocabulary_of(bench, "item_id", "text", 5)) == 5
+    monkeypatch.setattr(decontam, "vocabulary_of", lambda *a: None)
+    assert digest(decontam.contamination(d, bench, block_windows=1)) == contamination(rows, items)
+
+
 def test_proximity_allows_moved_words(sp):
     rng = random.Random(4)
     w = ["w%03d" % i for i in range(200)]
