@@ -18,8 +18,8 @@ Test items go to the segments in blocks of at most ``block_windows`` windows
 (so what is broadcast is bounded; a long item is cut); the matches of all blocks
 are merged by row key, so equal rows and rows without an id stay apart.
 
-Cases: null and empty texts have no words and no hits; null or empty items have
-no window; an item with fewer words than the window is one window; texts of any
+Cases: null and empty texts have no words and no hits; items of null or empty text have
+no window; an item without an id hits like any other and is left out of the id lists; an item with fewer words than the window is one window; texts of any
 length are whole (a long one is a segment of its own); repeated documents or
 items are each treated on their own, repeated item ids count once; empty tables
 give an empty result, or documents without hits; only the id and text columns
@@ -61,7 +61,7 @@ def term_prints(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def item_terms(bench: DataFrame, id: str, text: str):
     """(item id, its term fingerprints) of the items with words."""
     for row in bench.select(quoted(id).cast("string"), quoted(text).cast("string")).toLocalIterator():
-        if row[0] is not None and row[1] is not None:
+        if row[1] is not None:
             prints, _ = term_prints(pa.array([row[1]], pa.string()))
             if len(prints):
                 yield row[0], prints
@@ -84,7 +84,7 @@ def vocabulary_of(bench: DataFrame, id: str, text: str, limit: int = VOCABULARY)
 def item_blocks(bench: DataFrame, id: str, text: str, window: int, block_windows: int):
     """Blocks of (item ids, windows, item of each window), each of at most
     ``block_windows`` windows; items pass the driver block by block."""
-    ids: list[str] = []
+    ids: list[str | None] = []
     wins: list[np.ndarray] = []
     owner: list[int] = []
     for item, w in item_terms(bench, id, text):
@@ -264,7 +264,7 @@ def contamination(docs: DataFrame, bench: DataFrame, id: str = "doc_id", text: s
                 keep = names.value
                 out = []
                 for starts, lengths, items in zip(*(b.column(i).to_pylist() for i in (4, 5, 6))):
-                    out.append(_spans(np.array(starts, np.int64), np.array(lengths, np.int64)) + (sorted({keep[i] for i in items}),))
+                    out.append(_spans(np.array(starts, np.int64), np.array(lengths, np.int64)) + (sorted({keep[i] for i in items} - {None}),))
                 cols = [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.string())))]
                 yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(4)), *cols], names=[*MATCH.names[:4], "starts", "ends", "items"])
 

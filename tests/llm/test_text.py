@@ -79,6 +79,15 @@ def test_rows_stay_apart_in_many_blocks(sp):
         assert digest(decontam.contamination(d, bench, block_windows=size)) == want, size
 
 
+def test_items_without_an_id_hit_too(sp):
+    d = sp.createDataFrame([(1, "x a b c y"), (2, "d e"), (3, "f")], "doc_id long, text string")
+    bench = sp.createDataFrame([(None, "a b c"), (None, "b c y"), (5, "d e")], "item_id long, text string")
+    for size in (100, 1):
+        got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.contaminated)
+               for r in decontam.contamination_digest(decontam.contamination(d, bench, block_windows=size)).collect()}
+        assert got == {1: (5, 4, 0, True), 2: (2, 2, 1, True), 3: (1, 0, 0, False)}
+
+
 def test_an_index_of_all_terms_gives_the_same(sp, monkeypatch):
     rows, items = [(1, "x " * 3 + "a b c d"), (2, "e f")], [(1, "a b c"), (2, "d e")]
     d = sp.createDataFrame(rows, "doc_id long, text string")
