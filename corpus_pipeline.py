@@ -5,14 +5,15 @@ every stage's result as Parquet and reads it again as the next one's input, so
 a lost executor costs at most the running stage. All stages but the last keep
 the columns of ``documents``.
 
-    quality            rows scored below 0.7 go
+    quality            rows scored below 0.7 go (none where no model can be fitted)
     near_duplicates    one document of each group stays (five-word shingles, 0.8)
     decontaminate      documents that hold a benchmark window go
     secrets            secrets found are replaced by a mark; n_chars follows
     byte_bpe           doc_id, packed ids, counts and digests
 
 An empty table passes through all stages. Rows with a null id are never joined
-to labels, groups or matches and stay; null texts are empty texts.
+to labels or groups and stay there; benchmark matches go by the text (its 64-bit
+hash), whatever the id. Null texts are empty texts.
 """
 
 from __future__ import annotations
@@ -43,9 +44,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
-    hit = found.where("n_hit > 0").select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    # keyed by text, so that null and repeated ids are judged by their own text
+    keyed = docs.withColumn("__key", F.xxhash64("text"))
+    found = decontam.contamination(keyed, table(spark, sf_dir, "benchmark"), id="__key")
+    hit = found.where("n_hit > 0").select(F.col("doc_id").alias("__key")).distinct()
+    return keyed.join(hit, "__key", "left_anti").select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -238,10 +238,14 @@ def classify(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
 
 def keep_good(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality",
               threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score at least ``threshold``. The statistics are
-    made again beside the text instead of moving texts for a join."""
+    """The rows of ``docs`` that score at least ``threshold``; all rows where the labels
+    give no model (none usable, or of one class only). The statistics are made again
+    beside the text instead of moving texts for a join."""
     stats = cut_lineage(statistics(docs, id, text))
-    model = docs.sparkSession.sparkContext.broadcast(fit(stats, labels.withColumnsRenamed({id: "doc_id"}), label))
+    fitted = fit(stats, labels.withColumnsRenamed({id: "doc_id"}), label)
+    if fitted.coef is None:
+        return docs
+    model = docs.sparkSession.sparkContext.broadcast(fitted)
 
     def work(texts: pa.Array) -> list:
         return [pa.array(model.value.score(text_statistics(texts)))]

@@ -41,6 +41,15 @@ def test_stages_and_run_against_brute_force(sp, docs, tmp_path):
         assert np.frombuffer(got[i].ids, "<u4").tolist() == ids and got[i].n_tokens == len(ids)
 
 
+def test_decontaminate_judges_each_row_by_its_text(sp, tmp_path):
+    passage = " ".join(f"w{i}" for i in range(12))
+    sp.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(None, f"x {passage}"), (None, "clean"), (1, f"y {passage}"), (1, "clean too"), (2, None), (None, None)]
+    df = sp.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in cp.decontaminate(sp, df, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted([(None, "clean"), (1, "clean too"), (2, None), (None, None)], key=str)
+
+
 @pytest.mark.parametrize("table", ["odd", "empty"])
 def test_stages_take_odd_rows_and_keep_the_columns(sp, odd, empty, table, tmp_path):
     df = (odd if table == "odd" else empty).drop("score")

@@ -229,6 +229,12 @@ def test_quality_without_labels_and_odd_rows(sp, odd, empty):
     assert kept.columns == odd.columns and kept.count() == odd.count()
 
 
+@pytest.mark.parametrize("labels", [[], [(1, None)], [(1, 0), (2, 0), (4, 0)]])
+def test_quality_stage_keeps_all_rows_where_nothing_is_learned(sp, odd, labels):
+    kept = quality.keep_good(odd, sp.createDataFrame(labels, "doc_id long, quality int"))
+    assert kept.columns == odd.columns and kept.count() == odd.count()
+
+
 def test_pool_adjacent_is_the_closest_monotone_sequence():
     assert quality.pool_adjacent(np.array([0.0, 1, 0, 1]), np.array([1.0, 1, 1, 1])).tolist() == [0, 0.5, 0.5, 1]
     assert quality.pool_adjacent(np.array([3.0, 2, 1]), np.array([1.0, 1, 2])).tolist() == [1.75] * 3
