@@ -4,10 +4,10 @@ A text is the set of its byte n-grams (1 to 3, lower-cased, non-letters of ASCII
 as blanks), hashed to ``CELLS`` cells; the blended-spectrum presence kernel of
 two texts is the size of the intersection over the geometric mean of the sizes.
 ``PER_LANGUAGE`` landmark texts of each language (those with the smallest
-hashes of their id, at most ``LANDMARK_CHARS`` long) give Nyström features, on
+hashes of id and text; of long ones ``LANDMARK_CHARS`` characters) give Nyström features, on
 which one ridge regression per language (one versus rest) is fitted from
 partition-summed normal equations over a bounded sample of ``FIT_ROWS`` learnable
-rows. Scores come from batched matrix products: presence rows times landmarks,
+rows, drawn per language. Scores come from batched matrix products: presence rows times landmarks,
 times the weights.
 
 Cases: null texts and texts without a letter are ``und`` with score 0; so is
@@ -98,21 +98,39 @@ def has_letter(arr: pa.Array) -> np.ndarray:
     return pc.match_substring_regex(arr.fill_null(""), r"\pL").to_numpy(zero_copy_only=False)
 
 
+#: Steps of the sampling shares.
+SHARES = 1 << 40
+
+
+def fit_shares(counts: dict[str, int], fit_rows: int) -> dict[str, float]:
+    """Share of each language's rows to fit on: all rows of rare languages, and an
+    equal number of the others', ``fit_rows`` together."""
+    out, left = {}, fit_rows
+    for k, (lang, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        take = min(n, left / (len(counts) - k))
+        out[lang], left = take / n, left - take
+    return out
+
+
 def fit(rows: DataFrame, per_language: int = PER_LANGUAGE, fit_rows: int = FIT_ROWS) -> Kernel | None:
     """From learnable ``rows`` (id, text, lang)."""
-    rows = rows.where("id is not null and lang is not null and text is not null").withColumn("h", F.xxhash64("id", "text"))
+    rows = (rows.where("id is not null and lang is not null and text is not null").where(F.col("text").rlike(r"\p{L}"))
+            .withColumn("h", F.xxhash64("id", "text")))
     near = Window.partitionBy("lang").orderBy("h")
-    marks = (rows.where(F.length("text").between(1, LANDMARK_CHARS)).withColumn("r", F.row_number().over(near)).where(F.col("r") <= per_language)
+    # of a long text the part from its first letter on
+    cut = F.when(F.length("text") <= LANDMARK_CHARS, F.col("text")).otherwise(
+        F.substring("text", F.regexp_instr("text", F.lit(r"\p{L}")), F.lit(LANDMARK_CHARS)))
+    marks = (rows.select("lang", cut.alias("text"), "h").withColumn("r", F.row_number().over(near)).where(F.col("r") <= per_language)
              .select("lang", "text", "h").orderBy("lang", "h").collect())  # languages x per_language texts of bounded length
-    marks = [m for m in marks if has_letter(pa.array([m["text"]]))[0]]
     if not marks:
         return None
     langs = sorted({m["lang"] for m in marks})
     kernel = Kernel(langs, [m["text"] for m in marks])
-    total = rows.count()
-    share = min(1.0, fit_rows / max(total, 1))
-    sample = rows.where(F.pmod(F.xxhash64("h"), F.lit(1_000_000)) < int(share * 1_000_000))
-    shared = rows.sparkSession.sparkContext.broadcast(kernel)
+    spark = rows.sparkSession
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
+    below = spark.createDataFrame([(g, int(s * SHARES)) for g, s in fit_shares(counts, fit_rows).items()], "lang string, below long")
+    sample = rows.join(F.broadcast(below), "lang").where(F.pmod(F.xxhash64("h"), F.lit(SHARES)) < F.col("below"))
+    shared = spark.sparkContext.broadcast(kernel)
     k, m = kernel.weights.shape
     size = k * k + k * m
 

@@ -262,6 +262,21 @@ def test_language_of_odd_rows(odd, empty):
     assert {r.lang_pred for r in none} == {"und"}
 
 
+def test_language_of_long_texts_only_and_of_letterless_ones_is_learned(sp):
+    en, de, fr = "the house and the world of people ", "das haus und die welt der menschen ", "la maison et le monde des gens "
+    rows = [(i, en * (2 + i % 3), "en") for i in range(60)] + [(100 + i, de * 700 + str(i), "de") for i in range(60)]
+    rows += [(200 + i, f"{i} 1234 !!", "fr") for i in range(400)] + [(900 + i, fr * 2 + str(i), "fr") for i in range(12)]
+    got = language.identify(sp.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    want = {i: g for i, t, g in rows if not (200 <= i < 600)}
+    assert all(r.lang_pred == want[r.doc_id] for r in got if r.doc_id in want)
+
+
+def test_fit_rows_are_drawn_per_language():
+    s = language.fit_shares({"a": 10 ** 9, "b": 5, "c": 10 ** 6}, 2005)
+    assert s["b"] == 1.0 and s["a"] * 10 ** 9 == pytest.approx(1000) and s["c"] * 10 ** 6 == pytest.approx(1000)
+    assert language.fit_shares({"a": 3, "b": 4}, 100) == {"a": 1.0, "b": 1.0}
+
+
 def test_presence_ignores_other_texts():
     a = language.presence(np.frombuffer(b"abcabc", np.uint8), np.array([0, 3, 6]))
     assert (a[0] == a[1]).all() and a[0].sum() == 6
