@@ -53,6 +53,7 @@ def vocabulary(name: str) -> str:
 
 
 MULTILINGUAL_BPE = "byte_bpe_multi_50k.tiktoken"
+WORD_BPE = "word_bpe_49k.json"
 
 
 @query("op5_decontaminate")
@@ -139,3 +140,58 @@ def _op7(spark, sf_dir):
     """Language of whole documents."""
     from ledgerline.llm import language as m
     return m.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op11_filter_audit")
+def _op11(spark, sf_dir):
+    """What five filters remove in every order, per source."""
+    from ledgerline.llm import filter_audit as m
+    return m.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: The same from the definitions: failures per document, then every order and step by direct counts.
+ORACLES["op11_filter_audit"] = r"""
+WITH d AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+first AS (SELECT t, min(doc_id) AS id FROM d GROUP BY t),
+lab AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+        FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             (CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END)
+             || (CASE WHEN 100 * length(regexp_replace(w.t, '[^A-Z]', '', 'g')) > 2 * length(w.t) THEN 'C' ELSE '' END)
+             || (CASE WHEN regexp_matches(w.t, '[#$%&*|]') THEN 'D' ELSE '' END)
+             || (CASE WHEN w.doc_id > first.id THEN 'E' ELSE '' END) AS fails
+      FROM w JOIN first ON w.t = first.t LEFT JOIN lab ON w.doc_id = lab.doc_id),
+g AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL),
+f(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+      WHERE a.x NOT IN (b.x, c.x, d.x, e.x)
+        AND b.x NOT IN (c.x, d.x, e.x) AND c.x NOT IN (d.x, e.x) AND d.x <> e.x),
+s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS this, substr(filter_order, 1, step - 1) AS earlier
+      FROM o, (SELECT unnest(range(1, 6)) AS step)),
+r AS (SELECT part, filter_order, step, this,
+             sum(CASE WHEN contains(fails, this) THEN 0 WHEN gone THEN 0 ELSE n END) AS kept,
+             sum(CASE WHEN contains(fails, this) AND NOT gone THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN contains(fails, this) AND gone THEN n ELSE 0 END) AS redundant,
+             sum(CASE WHEN fails = this THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN contains(fails, this) AND NOT gone THEN good ELSE 0 END) AS good_lost,
+             sum(CASE WHEN contains(fails, this) AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost
+      FROM (SELECT *, fails <> '' AND translate(fails, earlier, '') <> fails AS gone FROM g, s) GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, this) AS BIGINT) AS shapley FROM r"""
+
+
+@query("op12_spelling")
+def _op12(spark, sf_dir):
+    """Words one edit apart, their form and root."""
+    from ledgerline.llm import spelling as m
+    return m.variants(table(spark, sf_dir, "documents"))
+
+
+@query("op13_tree_bpe")
+def _op13(spark, sf_dir):
+    """Word-end BPE counts and digests of ids and of the text decoded from them."""
+    from ledgerline.llm import tree_bpe as m
+    docs = table(spark, sf_dir, "documents")
+    return m.token_digest(m.encode_decode(docs, vocabulary(WORD_BPE), keep=["doc_id"]))
