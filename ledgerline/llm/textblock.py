@@ -7,7 +7,9 @@ works on the UTF-8 bytes without building a Python string per word.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +47,29 @@ def slices(arr: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]
         lo = hi
 
 
+_KEPT: dict[Hashable, object] = {}
+
+
+def release() -> None:
+    """Drops what the worker keeps, and gives free memory back to the system:
+    workers outlive their stage, next to those of the following ones."""
+    if _KEPT:
+        _KEPT.clear()
+        gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def kept(key: Hashable, make: Callable[[], object]):
+    """The worker's object for ``key``, made once; only one operator's is kept."""
+    if key not in _KEPT:
+        release()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def map_text(df: DataFrame, text: str, fn: Callable[[pa.Array], list], fields: list[StructField],
              keep: list[str] | None = None, limit: int = SLICE_BYTES, setup: Callable | None = None) -> DataFrame:
     """``df``'s ``keep`` columns plus ``fields`` computed from whole texts.
@@ -63,6 +88,8 @@ def map_text(df: DataFrame, text: str, fn: Callable[[pa.Array], list], fields: l
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_type
         types = [to_arrow_type(f.dataType) for f in fields]
+        if setup is None:
+            release()  # this operator keeps nothing
         work = setup() if setup else fn
         for b in batches:
             texts = b.column(n_keep)
@@ -79,7 +106,7 @@ def map_text(df: DataFrame, text: str, fn: Callable[[pa.Array], list], fields: l
                       *[F.col(f"n{i}").alias(f.name) for i, f in enumerate(fields)])
 
 
-# --- hashing: polynomial prefix sums over a random byte table, modulo 2^64 ---
+# --- hashing: two polynomial prefix sums over random byte values, modulo 2^31 - 1 ---
 
 def _splitmix(x: np.ndarray) -> np.ndarray:
     x = x.astype(U64) + U64(0x9E3779B97F4A7C15)
@@ -89,37 +116,58 @@ def _splitmix(x: np.ndarray) -> np.ndarray:
 
 
 mix = _splitmix
-BYTE = _splitmix(np.arange(256))
+#: The field: a prime, so two spans of n bytes agree in both sums with a probability
+#: of (n / 2^31)^2 at most, whatever their bytes (a power of two has no such bound).
+PRIME = (1 << 31) - 1
+_P, _BITS = U64(PRIME), U64(31)
+_BASES = (1_402_024_253, 1_790_655_309)
+BYTE = np.stack([_splitmix(np.arange(k * 256, (k + 1) * 256)) % U64(PRIME - 1) + U64(1) for k in range(2)])
 LOWER = np.arange(256)
 LOWER[65:91] += 32
-BYTE_LOWER = BYTE[LOWER]
-_BASE = 0xD1342543DE82EF95
-_BASE_INV = pow(_BASE, -1, 1 << 64)
-_pow: dict[str, np.ndarray] = {"p": np.ones(1, U64), "i": np.ones(1, U64)}
+BYTE_LOWER = BYTE[:, LOWER]
+
+
+def _powers_of(base: int, n: int) -> np.ndarray:
+    out = np.ones(n, np.uint32)
+    k = 1
+    while k < n:
+        m = min(k, n - k)
+        out[k:k + m] = out[:m].astype(U64) * U64(pow(base, k, PRIME)) % _P
+        k *= 2
+    return out
+
+
+_pow: list[tuple[np.ndarray, np.ndarray]] = [(np.ones(1, np.uint32), np.ones(1, np.uint32))] * 2
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_pow["p"]) < n:
-        size = max(n, 1 << 16)
-        for key, base in (("p", _BASE), ("i", _BASE_INV)):
-            step = np.full(size, base, U64)
-            step[0] = 1
-            _pow[key] = np.cumprod(step, dtype=U64)
-    return _pow["p"][:n], _pow["i"][:n]
+def _powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per base, its powers and those of its inverse: kept up to a slice's length,
+    made anew for a longer text."""
+    if len(_pow[0][0]) >= n:
+        return _pow
+    size = max(n, 1 << 16)
+    if n <= SLICE_BYTES + 1:
+        size = min(max(size, 2 * len(_pow[0][0])), SLICE_BYTES + 1)
+    got = [(_powers_of(b, size), _powers_of(pow(b, -1, PRIME), size)) for b in _BASES]
+    if n <= SLICE_BYTES + 1:
+        _pow[:] = got
+    return got
 
 
 def prefix_sums(buf: np.ndarray, table: np.ndarray = BYTE) -> np.ndarray:
-    """Running sums whose differences identify any span of ``buf``."""
-    p, _ = _powers(len(buf) + 1)
-    out = np.zeros(len(buf) + 1, U64)
-    np.cumsum(table[buf] * p[:-1], out=out[1:])
+    """Two rows of running sums whose differences identify any span of ``buf``."""
+    n = len(buf)
+    out = np.zeros((2, n + 1), U64)
+    for k, (power, _) in enumerate(_powers(n + 1)):
+        x = table[k][buf] * power[:n]
+        np.cumsum((x & _P) + (x >> _BITS), out=out[k, 1:])
     return out
 
 
 def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit fingerprints of the spans; equal bytes give equal values anywhere."""
-    _, inv = _powers(len(sums))
-    return _splitmix(((sums[end] - sums[start]) * inv[start]) ^ (np.asarray(end - start).astype(U64) << U64(40)))
+    high, low = ((sums[k][end] - sums[k][start]) % _P * inverse[start] % _P for k, (_, inverse) in enumerate(_powers(sums.shape[1])))
+    return _splitmix((high << _BITS | low) ^ (np.asarray(end - start).astype(U64) << U64(40)))
 
 
 def word_spans(buf: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField
 
-from ledgerline.llm.textblock import map_text, quoted
+from ledgerline.llm.textblock import kept, map_text, quoted
 
 #: Symbols of a leaf, tokens a side of a join starts with, words a worker keeps
 #: (in each of two generations).
@@ -274,16 +274,9 @@ class Encoder:
         return " ".join(map(self.token.__getitem__, memoryview(packed).cast("i")))
 
 
-_ENCODERS: dict[int, Encoder] = {}
-
-
 def encoder(data: bytes) -> Encoder:
     """The worker's encoder for a tokenizer file, made once."""
-    key = hash(data)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(data)
-    return _ENCODERS[key]
+    return kept(("tree_bpe", hash(data)), lambda: Encoder(data))
 
 
 def encode_decode(docs: DataFrame, model_path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:

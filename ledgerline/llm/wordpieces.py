@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField
 
 from ledgerline.llm.byte_bpe import char_classes, parse_ranks, read_ranks, split_words
-from ledgerline.llm.textblock import map_text, prefix_sums, quoted, span_hash, utf8
+from ledgerline.llm.textblock import kept, map_text, prefix_sums, quoted, span_hash, utf8
 
 MAX_WORDS = 500_000
 NONE = -1
@@ -98,15 +98,8 @@ class PieceCounter:
         return n + last if last != NONE else 1
 
 
-_COUNTERS: dict[int, tuple] = {}
-
-
 def _counter(data: bytes):
-    key = hash(data)
-    if key not in _COUNTERS:
-        _COUNTERS.clear()
-        _COUNTERS[key] = PieceCounter(parse_ranks(data)), char_classes(), {}
-    return _COUNTERS[key]
+    return kept(("wordpieces", hash(data)), lambda: (PieceCounter(parse_ranks(data)), char_classes(), {}))
 
 
 def count_pieces(docs: DataFrame, vocabulary_path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
