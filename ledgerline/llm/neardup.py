@@ -22,16 +22,17 @@ node with probability (1 - s^3)^16, 1e-5 at s = 0.8.
 
 Cases: null texts, and texts without words, have an empty set and are linked
 with nothing; a text of fewer words than a shingle is one shingle; texts are
-whole; ties go to the smallest id; repeated rows get equal results (rows with
-one id but several texts are taken by the smallest set fingerprint when links
-are confirmed); an empty table gives an empty result; other columns are not read.
+whole; ties go to the smallest id; repeated rows get equal results, and rows with
+one id but several texts are judged each by its own text (a class of equal sets,
+not an id, is what is linked); rows with a null id belong to no group; an empty
+table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField
 
@@ -118,7 +119,7 @@ def _sketcher(words: int):
             return [pa.array(size, pa.int64()), pa.array([None] * n, pa.int64()), empty, empty]
         sig = signatures(prints, at)
         same = np.zeros(n, np.int64)
-        same[some] = np.add.reduceat(mix(prints), at[:-1][some]).view(np.int64)
+        same[some] = _same(prints, at)
         nodes = np.empty((len(some), 2 * TREES), np.int64)
         for t in range(TREES):
             h = np.full(len(some), t, U64)
@@ -137,12 +138,32 @@ def _sketcher(words: int):
     return work
 
 
-def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(id, set) of ``docs`` (id, text)."""
+def _same(prints: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Fingerprint of each non-empty set."""
+    some = np.diff(at) > 0
+    return np.add.reduceat(mix(prints), at[:-1][some]).view(np.int64) if some.any() else np.zeros(0, np.int64)
+
+
+def _class_key():
+    """What stands for a class of equal sets: its fingerprint and size in 63 bits."""
+    return F.shiftrightunsigned(F.xxhash64("same", "n"), 1)
+
+
+def shingle_sets(need: DataFrame, classes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """(id, set) of the classes ``need`` (id); the texts are found by the classes'
+    smallest document ids, and told from others of the same id by their set."""
     def work(arr: pa.Array) -> list:
         prints, at = shingle_prints(arr, words)
-        return [pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(prints.view(np.int64)))]
-    return map_text(docs, "text", work, [StructField("set", ArrayType(LongType()))], keep=["id"])
+        same = np.zeros(len(arr), np.int64)
+        same[np.diff(at) > 0] = _same(prints, at)
+        return [pa.array(same), pa.array(np.diff(at), pa.int64()),
+                pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(prints.view(np.int64)))]
+
+    wanted = need.join(classes.select(F.col("rep").alias("id"), "doc"), "id")
+    texts = docs.join(wanted.select(F.col("doc").alias("id")).distinct(), "id", "left_semi")
+    fields = [StructField("same", LongType()), StructField("n", LongType()), StructField("set", ArrayType(LongType()))]
+    sets = map_text(texts, "text", work, fields, keep=[]).where("n > 0").select(_class_key().alias("id"), "set")
+    return sets.join(need, "id", "left_semi").groupBy("id").agg(F.first("set").alias("set"))
 
 
 def _alike(a: str, b: str):
@@ -154,24 +175,22 @@ def _alike(a: str, b: str):
     return (small * 100 >= large * SIMILARITY) & (differ <= MISMATCHES), differ
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
+def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets reach the threshold."""
     need = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = shingle_sets(docs.join(need, "id", "left_semi"), words)
-    # rows that repeat an id are one document
-    sets = sets.groupBy("id").agg(F.min("set").alias("set"))
+    sets = shingle_sets(need, classes, docs, words)
     found = (pairs.select("a", "b").join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a")
              .join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
              .withColumn("i", F.size(F.array_intersect("x", "y"))))
     return found.where(F.col("i") * 100 >= (F.size("x") + F.size("y") - F.col("i")) * SIMILARITY).select("a", "b")
 
 
-def deltas(members: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+def deltas(members: DataFrame, classes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     """For (hub, rep): how the set of ``rep`` differs from its hub's. ``gone`` and
     ``new`` are the sizes of both differences, ``bits`` their elements hashed into
     ``DELTA_BITS`` bits, ``lost`` the elements that share a bit with another."""
     need = members.select(F.explode(F.array("hub", "rep")).alias("id")).distinct()
-    sets = shingle_sets(docs.join(need, "id", "left_semi"), words).groupBy("id").agg(F.min("set").alias("set"))
+    sets = shingle_sets(need, classes, docs, words)
     both = (members.join(sets.select(F.col("id").alias("hub"), F.col("set").alias("h")), "hub")
             .join(sets.select(F.col("id").alias("rep"), F.col("set").alias("s")), "rep"))
 
@@ -206,12 +225,15 @@ def _may_link(a: str, b: str):
     return most * 100 >= (col(a, "n") + col(b, "n") - most) * SIMILARITY
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 2) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id, kept."""
+def grouped(docs: DataFrame, id: str, text: str, words: int) -> DataFrame:
+    """(id, th, n, label, component) of every row: the hash of its text, the size of
+    its set, the group its set belongs to and the smallest id in that group
+    (both null for a null id or an empty set)."""
     docs = docs.select(quoted(id).cast("long").alias("id"), quoted(text).cast("string").alias("text"))
-    sketched = cut_lineage(map_text(docs, "text", _sketcher(words), SKETCH, keep=["id"]))
-    classes = cut_lineage(sketched.where("same is not null and id is not null").groupBy("same", "n").agg(
-        F.min("id").alias("rep"), F.first("nodes").alias("nodes"), F.first("planes").alias("planes")))
+    sketched = map_text(docs.withColumn("th", F.xxhash64("text")), "text", _sketcher(words), SKETCH, keep=["id", "th"])
+    sketched = cut_lineage(sketched.withColumn("rep", F.when(F.col("same").isNotNull() & F.col("id").isNotNull(), _class_key())))
+    classes = cut_lineage(sketched.where("rep is not null").groupBy("rep").agg(
+        F.min("id").alias("doc"), F.first("n").alias("n"), F.first("nodes").alias("nodes"), F.first("planes").alias("planes")))
     members = classes.select("rep", F.explode("nodes").alias("node"))
     crowded = members.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
     # only members of nodes with company, from here on
@@ -229,7 +251,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     near = (near.join(x, F.col("hub") == F.col("x.rep")).join(y, near["rep"] == F.col("y.rep")).where(ok)
             .groupBy(near["rep"].alias("b")).agg(F.min(F.struct(differ.alias("differ"), F.col("hub").alias("a"))).alias("best")))
     first = near.select(F.least("best.a", "b").alias("a"), F.greatest("best.a", "b").alias("b")).distinct()
-    links = cut_lineage(confirm(cut_lineage(first), docs, words))
+    links = cut_lineage(confirm(cut_lineage(first), classes, docs, words))
     joined = components(links)
     # hubs whose company still holds several components; members of one node have
     # one hub, so going by hubs compares all they would, and each pair once a hub
@@ -242,30 +264,51 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     ok, _ = _alike("x", "y")
     # texts far from their hub keep only the sketch test: their differences say little
     close = x.join(y, F.col("x.hub") == F.col("y.rep")).where(ok).select(F.col("x.hub").alias("hub"), F.col("x.rep").alias("rep"))
-    delta = cut_lineage(deltas(cut_lineage(close), docs, words))
+    delta = cut_lineage(deltas(cut_lineage(close), classes, docs, words))
     regions = cut_lineage(regions.join(delta, ["hub", "rep"], "left"))
     x, y = regions.alias("x"), regions.alias("y")
     ok, _ = _alike("x", "y")
     bound = F.coalesce(_may_link("x", "y"), F.lit(True))
     cross = (x.join(y, (F.col("x.hub") == F.col("y.hub")) & (F.col("x.component") < F.col("y.component")) & ok & bound)
              .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct())
-    more = cut_lineage(confirm(cut_lineage(cross), docs, words))
+    more = cut_lineage(confirm(cut_lineage(cross), classes, docs, words))
     if not more.isEmpty():
         joined = components(links.union(more))
-    # every row's class, then the class's component
-    part = classes.select("same", "n", "rep").join(joined.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "same", "n", F.coalesce("component", "rep").alias("component_id"))
-    return (sketched.select("id", "n", "same").join(part, ["same", "n"], "left")
-            .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+    # every row's class, then the class's group and the smallest id in it
+    part = classes.select("rep", "doc").join(joined.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
+        "rep", "doc", F.coalesce("component", "rep").alias("label"))
+    least = part.groupBy("label").agg(F.min("doc").alias("component"))
+    part = part.join(least, "label").select("rep", "label", "component")
+    rows = sketched.select("id", "th", "n", "rep")
+    found = rows.where("rep is not null").join(part, "rep").select("id", "th", "n", "label", "component")
+    nothing = F.lit(None).cast("long")
+    return found.unionByName(rows.where("rep is null").select("id", "th", "n", nothing.alias("label"), nothing.alias("component")))
+
+
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 2) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id, kept."""
+    found = grouped(docs, id, text, words)
+    return (found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
 def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5) -> DataFrame:
-    """One document (the smallest id, one row) of each group; columns unchanged.
-    Rows with a null id belong to no group and stay."""
-    found = near_duplicates(docs, id, text, words)
-    gone = found.where("not kept").select(F.col("doc_id").alias(id)).distinct()
-    rest = docs.join(gone, id, "left_anti").select(*[quoted(c) for c in docs.columns])
-    # one row of an id; rows without an id are told apart by their text
-    row = Window.partitionBy(quoted(id), F.when(quoted(id).isNull(), F.xxhash64(quoted(text)))).orderBy(quoted(text))
-    return rest.withColumn("__row", F.row_number().over(row)).where(quoted(id).isNull() | (F.col("__row") == 1)).drop("__row")
+    """One document of each group stays: the one with the smallest id (of several
+    texts with that id, the smallest hash), one row of it; columns unchanged. Rows
+    of one id with texts of different groups stay each. Rows with a null id belong
+    to no group and stay; other rows that repeat an id and a text without words
+    stay once."""
+    found = cut_lineage(grouped(docs, id, text, words).where("id is not null").select("id", "th", "label"))
+    first = found.where("label is not null").groupBy("label").agg(F.min(F.struct("id", "th")).alias("first"))
+    gone = (found.join(first, "label").where(F.struct("id", "th") != F.col("first")).select(F.col("id").alias("__id"), F.col("th").alias("__th"))
+            .withColumn("__more", F.lit(False)))
+    # a kept (id, text) on several rows: one of them stays
+    more = found.groupBy("id", "th").agg(F.count("*").alias("rows")).where("rows > 1").select(
+        F.col("id").alias("__id"), F.col("th").alias("__th"), F.lit(True).alias("__more"))
+    told = gone.unionByName(more).groupBy("__id", "__th").agg(F.min("__more").alias("__more"))
+    marked = docs.alias("__d").join(told.alias("__t"), (quoted(id).cast("long") == F.col("__t.__id")) & (
+        F.xxhash64(quoted(text).cast("string")) == F.col("__t.__th")), "left")
+    flat = marked.select(F.struct("__d.*").alias("d"), F.col("__t.__more").alias("more"), F.col("__t.__id").alias("i"), F.col("__t.__th").alias("t"))
+    single = flat.where("more is null").select("d.*")
+    several = flat.where("more").groupBy("i", "t").agg(F.min("d").alias("d")).select("d.*")
+    return single.unionByName(several)
