@@ -7,11 +7,20 @@ leave as TIMESTAMP_NTZ (UTC wall clock).
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.plans import specs as S
 from ledgerline.plans.catalog import query
 from ledgerline.plans.fixtures import table, view, with_views
+from ledgerline.plans.spec import run_spec
+from ledgerline.plans.stream_spec import DEAD, TARGET, tables_of
+from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.streaming import events as ev
+from ledgerline.streaming.feed import EventFeed
+from ledgerline.streaming.slots import empty_slots, state_on_disk
 
 TOPIC = "clickstream_events"
 WATERMARK_SECONDS = 600  # fixed: 10 minutes, the default watermark
@@ -39,6 +48,24 @@ def good(spark, sf):
     return ev.good_events(parsed(spark, sf))
 
 
+def scratch(spark, name: str) -> str:
+    """A new folder beside the checkpoints, which all executors reach."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def arrivals(df: DataFrame, at: str, path: str, parts: int):
+    """Writes a feed in ``parts`` equal spans of its arrival time, one after the
+    other; what is run between two of them sees a stream go on (and restart)."""
+    lo, hi = df.agg(F.min(F.unix_micros(at)), F.max(F.unix_micros(at))).first()
+    if lo is None:
+        lo = hi = 0
+    step = (hi - lo) // parts + 1
+    slot = F.floor((F.unix_micros(at) - F.lit(lo)) / F.lit(step))
+    for i in range(parts):
+        df.where(slot == i).write.mode("append").parquet(path)
+        yield i
+
+
 # ------------------------------------------------------------------ oracle CTEs
 
 PARSE_SQL = """
@@ -177,3 +204,91 @@ def json_parse_events(spark, sf):
     """typed field out of the events' JSON props."""
     e = table(spark, sf, "events").select("event_id", "props")
     return ev.parse_props(e, "props", "k bigint").select("event_id", "k")
+
+
+# ------------------------------------------------------------------ streams, run to the end of the feed
+
+MARK_SQL = f"""
+SELECT *, max(event_time) OVER (ORDER BY ingest_ts, "partition", "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+          - INTERVAL {WATERMARK_SECONDS} SECOND AS watermark_ts FROM good"""
+#: Kept rows of the feed: on time, first arrival of their id. Rejected, late and copied ones complete the input.
+FEED_SQL = """
+SELECT 'good' AS kind, "offset", event_id, event_time, CAST(NULL AS TIMESTAMP) AS watermark_ts, CAST(NULL AS VARCHAR) AS reason FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ingest_ts, "partition", "offset") AS rn FROM marked
+  WHERE watermark_ts IS NULL OR event_time >= watermark_ts) WHERE rn = 1
+UNION ALL SELECT 'late', "offset", event_id, event_time, watermark_ts, NULL FROM marked WHERE event_time < watermark_ts
+UNION ALL SELECT 'dead', "offset", NULL, NULL, NULL, reason FROM pr WHERE reason IS NOT NULL"""
+
+
+def run_feed(spark, sf, parts: int = 3) -> EventFeed:
+    """The feed through the one-read query, which restarts after each part."""
+    base = scratch(spark, "feed")
+    feed = EventFeed(f"{base}/tables", WATERMARK_SECONDS, BAD_RATE_THRESHOLD, partition_by=("dt",))
+    for _ in arrivals(frames(spark, sf), "timestamp", f"{base}/in", parts):
+        feed.start(ev.read_envelope_files(spark, f"{base}/in"), f"{base}/checkpoint").awaitTermination()
+    return feed
+
+
+@query("stream_late_table", with_views(FEED_SQL, ["v_raw_events"], [*STREAM_CTES, ("marked", MARK_SQL)]))
+def stream_late_table(spark, sf):
+    """One streaming read, all its sinks: events kept, late rows stored
+    with the watermark they missed, dead letters."""
+    feed = run_feed(spark, sf)
+    none = F.lit(None)
+    cols = lambda kind, **c: [F.lit(kind).alias("kind"), "offset", *[c.get(n, none.cast(t)).alias(n) for n, t in (
+        ("event_id", "string"), ("event_time", "timestamp_ntz"), ("watermark_ts", "timestamp_ntz"), ("reason", "string"))]]
+    good = feed.read(spark, "good").select(cols("good", event_id=F.col("event_id"), event_time=_ntz("event_time")))
+    late = feed.read(spark, "late").select(cols("late", event_id=F.col("event_id"), event_time=_ntz("event_time"), watermark_ts=_ntz("watermark_ts")))
+    dead = feed.read(spark, "dead").select(cols("dead", reason=F.col("reason")))
+    return good.unionByName(late).unionByName(dead)
+
+
+@query("stream_empty_slots", stream_sql(f"""
+SELECT event_type, slot_start, 'ZERO_EVENTS' AS alert_type FROM (
+  SELECT event_type, unnest(generate_series(lo, hi, INTERVAL 10 MINUTE)) AS slot_start
+  FROM (SELECT event_type, {_slot_sql('min(event_time)')} AS lo FROM good GROUP BY event_type),
+       (SELECT max(event_time) - INTERVAL 1 HOUR AS mark, {_slot_sql("max(event_time) - INTERVAL 1 HOUR")} - INTERVAL 10 MINUTE AS hi FROM good)) s
+WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT event_type, {_slot_sql('event_time')} AS slot FROM good) g
+                  WHERE g.event_type = s.event_type AND g.slot = s.slot_start)"""))
+def stream_empty_slots(spark, sf):
+    """Per event type, the 10-minute slots that closed without an event
+    (keyed state and event-time timers); the stream restarts once."""
+    base = scratch(spark, "slots")
+    good_rows = good(spark, sf).select("event_type", "event_time", "kafka_ingest_ts")
+    for _ in arrivals(good_rows, "kafka_ingest_ts", f"{base}/in", 2):
+        stream = spark.readStream.schema(good_rows.schema).parquet(f"{base}/in")
+        with state_on_disk(spark):
+            q = (empty_slots(stream, "event_time", "event_type", 600, "1 hour").writeStream.format("parquet").option("path", f"{base}/out")
+                 .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+        q.awaitTermination()
+    out = spark.read.schema("event_type string, slot_start timestamp, alert_type string").parquet(f"{base}/out")
+    return out.withColumn("slot_start", _ntz("slot_start"))
+
+
+def order_feed(spark, sf) -> DataFrame:
+    """Orders as a feed: some rows sent twice, some with a priority that is no number."""
+    o = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("buyer_key"), F.col("o_orderdate").cast("timestamp").alias("placed_at"),
+        F.when(F.col("o_orderkey") % 89 == 0, F.lit("unknown")).otherwise(F.col("o_orderpriority")).alias("priority"),
+        F.col("o_totalprice").cast("double").alias("price"))
+    return o.unionByName(o.where("order_key % 20 = 3"))
+
+
+@query("spec_stream_orders", """
+WITH f AS (SELECT o_orderkey AS order_key, o_custkey AS buyer_key, CASE WHEN o_orderkey % 89 = 0 THEN 'unknown' ELSE o_orderpriority END AS priority,
+                  CAST(CAST(o_totalprice AS DOUBLE) AS DECIMAL(18,2)) AS price, strftime(o_orderdate, '%Y-%m') AS month
+           FROM orders WHERE o_custkey IS NOT NULL)
+SELECT order_key, buyer_key, TRY_CAST(substr(priority, 1, 1) AS INTEGER) AS urgency, CAST(price AS DOUBLE) AS price, month,
+       CASE WHEN TRY_CAST(substr(priority, 1, 1) AS INTEGER) IS NULL AND priority IS NOT NULL THEN 'CAST:urgency' END AS reason FROM f""")
+def spec_stream_orders(spark, sf):
+    """A spec in streaming mode (watermark, dedupe, contract, dead letters),
+    run again after each part of the feed has arrived."""
+    base = scratch(spark, "order-feed")
+    for i in arrivals(order_feed(spark, sf), "placed_at", f"{base}/{S.ORDER_FEED_SPEC['source']['path']}", 3):
+        run_spec(spark, S.ORDER_FEED_SPEC, base, f"{base}/out", {"run_id": f"r{i}", "run_dt": "2024-01-01"})
+    tables = tables_of(S.ORDER_FEED_SPEC, f"{base}/out")
+    fields = "order_key bigint, buyer_key bigint, urgency int, price double, month string"
+    good_rows = tables.read(spark, TARGET).select("order_key", "buyer_key", "urgency", F.col("price").cast("double").alias("price"), "month",
+                                                  F.lit(None).cast("string").alias("reason"))
+    dead = tables.read(spark, DEAD).select(F.from_json("value", fields.replace("urgency int", "urgency string")).alias("v"), "reason")
+    return good_rows.unionByName(dead.select("v.order_key", "v.buyer_key", F.lit(None).cast("int").alias("urgency"), "v.price", "v.month", "reason"))

@@ -26,9 +26,13 @@ _KEYS = {
     "batch": {"name", "mode", "sources", "transforms", "joins", "target", "dq"},
     "scd2": {"name", "mode", "source", "keys", "dedupe", "columns", "scd2", "target", "dq"},
     "diff": {"name", "mode", "source", "keys", "columns", "target", "dq"},
+    "stream": {"name", "mode", "source", "watermark", "dedupe", "transforms", "columns", "target", "trigger"},
 }
 _INNER = {
     "transform": {"name", "input", "select", "filter", "group_by", "agg", "derive"},
+    "stream transform": {"name", "input", "select", "filter", "group_by", "agg", "derive", "window"},
+    "watermark": {"column", "delay"},
+    "trigger": {"available_now", "processing_time"},
     "join": {"left", "right", "type", "on", "output"},
     "target": {"path", "input", "format", "partition_by", "add_columns", "write_current_view", "current_view_path"},
     "dedupe": {"enabled", "key", "order_by"},
@@ -52,13 +56,13 @@ def check_spec(spec: Mapping) -> None:
         only(f"source {name}", src, _SCAN)
     only("source", spec.get("source", {}), _SCAN)
     for t in spec.get("transforms", ()):
-        only(f"transform {t.get('name')}", t, _INNER["transform"])
+        only(f"transform {t.get('name')}", t, _INNER["stream transform" if mode == "stream" else "transform"])
     for j in spec.get("joins", ()):
         only(f"join {j.get('output')}", j, _INNER["join"])
     for c in spec.get("columns", ()):
         only(f"column {c.get('name')}", c, _INNER["column"])
     only("keys", spec.get("keys", {}), {"business"})
-    for part in ("target", "dedupe", "scd2", "dq"):
+    for part in ("target", "dedupe", "scd2", "dq", "watermark", "trigger"):
         only(part, spec.get(part) or {}, _INNER[part])
 
 
@@ -167,10 +171,14 @@ def dq_verdict(spec: Mapping, out: DataFrame, run_ts: str | None) -> tuple[DataF
 
 
 def run_spec(spark: SparkSession, spec: Mapping, base_in: str, base_out: str, run_values: Mapping[str, str]) -> dict[str, int]:
-    """``_run_spec`` with the session sized for the spec's inputs."""
+    """``_run_spec`` with the session sized for the spec's inputs; a streaming spec
+    runs over what has arrived since its last run."""
     from ledgerline.session import sized
 
     check_spec(spec)
+    if spec.get("mode") == "stream":
+        from ledgerline.plans.stream_spec import run_stream_spec
+        return run_stream_spec(spark, spec, base_in, base_out, run_values)
     scans = list((spec.get("sources") or {}).values()) or [spec["source"]]
     with sized(spark, [f"{base_in}/{s['path']}" for s in scans]):
         return _run_spec(spark, spec, base_in, base_out, run_values)

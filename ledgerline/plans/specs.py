@@ -37,6 +37,44 @@ ORDER_VALUE_SPEC = {
     "target": {"path": "order_value", "input": "valued", "partition_by": ["dt"], "add_columns": {"dt": "run_dt", "run_id": "run_id"}},
 }
 
+#: Orders as they arrive: each once, typed, by month; what breaks the contract is a dead letter.
+ORDER_FEED_SPEC = {
+    "name": "order_feed",
+    "mode": "stream",
+    "source": {"format": "parquet", "path": "order_feed",
+               "schema": "order_key bigint, buyer_key bigint, placed_at timestamp, priority string, price double"},
+    "watermark": {"column": "placed_at", "delay": "3 days"},
+    "dedupe": {"key": ["order_key"]},
+    "transforms": [
+        {"name": "known_buyers", "filter": "buyer_key is not null"},
+        {"name": "priced", "input": "known_buyers", "derive": {"month": "date_format(placed_at, 'yyyy-MM')"}},
+    ],
+    "columns": [
+        {"name": "order_key", "expr": "order_key", "type": "bigint", "nullable": False},
+        {"name": "buyer_key", "expr": "buyer_key", "type": "bigint", "nullable": False},
+        {"name": "urgency", "expr": "substr(priority, 1, 1)", "type": "int"},
+        {"name": "price", "expr": "price", "type": "decimal(18,2)", "nullable": False},
+        {"name": "month", "expr": "month", "type": "string"},
+    ],
+    "target": {"path": "order_feed", "partition_by": ["month"], "add_columns": {"run_id": "run_id"}},
+    "trigger": {"available_now": True},
+}
+
+#: Events per type and hour, each hour once the watermark has closed it.
+HOURLY_EVENTS_SPEC = {
+    "name": "hourly_events",
+    "mode": "stream",
+    "source": {"format": "parquet", "path": "events", "schema": "event_id string, event_type string, amount double, event_time timestamp"},
+    "watermark": {"column": "event_time", "delay": "2 hours"},
+    "dedupe": {"key": ["event_id"]},
+    "transforms": [{"name": "hourly", "group_by": ["event_type"], "window": "1 hour",
+                    "agg": {"n_events": "count(1)", "total": "sum(cast(amount as decimal(18,2)))"}}],
+    "columns": [{"name": "window_start", "expr": "window_start", "type": "timestamp", "nullable": False},
+                {"name": "event_type", "expr": "event_type"}, {"name": "n_events", "expr": "n_events", "type": "bigint"},
+                {"name": "total", "expr": "total", "type": "decimal(18,2)"}],
+    "target": {"path": "hourly_events"},
+}
+
 #: Versions of a customer's place and market.
 BUYER_SPEC = {
     "name": "buyer_history",

@@ -309,6 +309,72 @@ def dead_letter_writer(path: str, alerts_path: str | None = None, bad_rate: floa
     return run
 
 
+class BatchTables:
+    """Several tables that one streaming query writes together (K6, K7).
+
+    Each micro-batch goes to every table under its ``batch_id``; a row in the
+    batch log, written last, is the commit. Readers see committed batches only, so
+    a crash between two tables leaves no half batch, and the batch's replay
+    overwrites what the crash left. One folder belongs to one checkpoint.
+
+    ``tables`` maps a table to its partition columns (``batch_id`` is added).
+    """
+
+    LOG = "_batches"
+    LOG_SCHEMA = "counts map<string,bigint>, facts map<string,string>, schemas map<string,string>"
+
+    def __init__(self, base: str, tables: dict[str, Sequence[str]]):
+        self.base, self.tables = base, tables
+
+    def commit(self, spark: SparkSession, batch_id: int, frames: dict[str, DataFrame],
+               facts: Callable[[dict[str, int]], dict[str, str]] | None = None) -> dict[str, int]:
+        """Writes ``frames`` (one per table), counting rows on the way, then the log
+        row with what ``facts`` makes of the counts."""
+        from pyspark.sql import Observation
+
+        counts, schemas = {}, {}
+        for name, parts in self.tables.items():
+            out = frames[name].withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            schemas[name] = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
+            obs = Observation(f"{name}_{batch_id}")
+            if parts:  # few files a partition; a partition with much of the batch is split
+                out = out.hint("rebalance", *parts)
+            write_table(out.observe(obs, F.count(F.lit(1)).alias("rows")), f"{self.base}/{name}", partition_by=(*parts, "batch_id"))
+            counts[name] = int((obs.get or {}).get("rows") or 0)
+        row = [(counts, facts(counts) if facts else {}, schemas)]
+        write_table(spark.createDataFrame(row, self.LOG_SCHEMA).coalesce(1), f"{self.base}/{self.LOG}/batch_id={batch_id}")
+        return counts
+
+    def log_row(self, spark: SparkSession, batch_id: int):
+        """The committed batch's log row, or None."""
+        path = f"{self.base}/{self.LOG}/batch_id={batch_id}"
+        return spark.read.schema(self.LOG_SCHEMA).parquet(path).first() if "_SUCCESS" in _names(spark, path) else None
+
+    def last(self, spark: SparkSession) -> int | None:
+        """The newest committed batch."""
+        ids = sorted((int(n.partition("=")[2]) for n in _names(spark, f"{self.base}/{self.LOG}") if n.startswith("batch_id=")), reverse=True)
+        return next((b for b in ids if "_SUCCESS" in _names(spark, f"{self.base}/{self.LOG}/batch_id={b}")), None)
+
+    def log(self, spark: SparkSession) -> DataFrame:
+        """Counts and facts of all committed batches."""
+        last = self.last(spark)
+        if last is None:
+            return spark.createDataFrame([], f"{self.LOG_SCHEMA}, batch_id bigint")
+        return spark.read.schema(f"{self.LOG_SCHEMA}, batch_id bigint").parquet(f"{self.base}/{self.LOG}").where(F.col("batch_id") <= last)
+
+    def read(self, spark: SparkSession, name: str, before: int | None = None) -> DataFrame | None:
+        """Rows of a table's committed batches (those before ``before``, if given); None
+        while no batch is committed."""
+        last = self.last(spark) if before is None else before - 1
+        row = None if last is None else self.log_row(spark, last)
+        if row is None:
+            return None
+        path = f"{self.base}/{name}"
+        if not any("=" in n for n in _names(spark, path)):
+            return spark.createDataFrame([], row["schemas"][name])
+        return spark.read.schema(row["schemas"][name]).parquet(path).where(F.col("batch_id") <= last)
+
+
 def stream_to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", trigger: dict | None = None,
                     query_name: str | None = None):
     """Append a stream to files with its own checkpoint (K7)."""

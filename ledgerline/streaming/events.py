@@ -160,19 +160,19 @@ def event_partitions(df: DataFrame, ts: str = "event_time") -> DataFrame:
 
 # ---------------------------------------------------------------- late data (T4)
 
-def late_events(df: DataFrame, ts: str, delay_seconds: int, order: Sequence[str] = ARRIVAL, block: Column | None = None,
-                blocks_of: int = 1024) -> DataFrame:
-    """Rows a watermark of ``delay_seconds`` would drop, for an ordered feed (T4).
-
-    A row is late when its time is older than the running maximum of all
-    *earlier* arrivals minus the delay. The running maximum is computed
-    without funnelling the feed through one task: arrivals are cut into
-    ``block``s (a number that does not decrease along ``order``; the minute of
-    the first order column, a timestamp, unless given). A window per block gives
-    the in-block running maximum; the block maxima (a partial aggregate, one
-    row per block) get their prefix maximum in two levels, groups of
-    ``blocks_of`` blocks and the groups' own maxima, so that the one task of the
-    last level sees one row per group.
+def running_watermark(df: DataFrame, ts: str, delay_seconds: int, order: Sequence[str] = ARRIVAL, block: Column | None = None,
+                      blocks_of: int = 1024, since: Column | None = None) -> DataFrame:
+    """``df`` with ``watermark_ts``: the running maximum of ``ts`` over all
+    *earlier* arrivals (and ``since``, the maximum before this frame, if any) minus
+    the delay; null for the first arrivals.
+
+    The running maximum is computed without funnelling the feed through one
+    task: arrivals are cut into ``block``s (a number that does not decrease along
+    ``order``; the minute of the first order column, a timestamp, unless given). A
+    window per block gives the in-block running maximum; the block maxima (a
+    partial aggregate, one row per block) get their prefix maximum in two levels,
+    groups of ``blocks_of`` blocks and the groups' own maxima, so that the one task
+    of the last level sees one row per group.
     """
     if block is None:
         block = F.floor(F.unix_seconds(F.col(order[0])) / F.lit(60))
@@ -187,11 +187,16 @@ def late_events(df: DataFrame, ts: str, delay_seconds: int, order: Sequence[str]
               .select("__blk", F.greatest("__gbefore", "__gin").alias("__before")))
     w_in = Window.partitionBy("__blk").orderBy(*[F.col(c) for c in order]).rowsBetween(*earlier)
     x = x.withColumn("__inblk", F.max(ts).over(w_in)).join(before, "__blk", "left")
-    seen = F.greatest(F.col("__before"), F.col("__inblk"))
+    seen = F.greatest(F.col("__before"), F.col("__inblk"), *([since] if since is not None else []))
     mark = seen - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(delay_seconds))
-    return (x.withColumn("watermark_ts", mark)
-             .where(F.col(ts) < F.col("watermark_ts"))
-             .drop("__blk", "__before", "__inblk"))
+    return x.withColumn("watermark_ts", mark).drop("__blk", "__before", "__inblk")
+
+
+def late_events(df: DataFrame, ts: str, delay_seconds: int, order: Sequence[str] = ARRIVAL, block: Column | None = None,
+                blocks_of: int = 1024) -> DataFrame:
+    """Rows a watermark of ``delay_seconds`` would drop, for an ordered feed (T4):
+    older than ``running_watermark``."""
+    return running_watermark(df, ts, delay_seconds, order, block, blocks_of).where(F.col(ts) < F.col("watermark_ts"))
 
 
 def late_drop_count(progress) -> int:

@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as E
+from ledgerline.plans import catalog
 from tests.oracle_compare import compare, duck
 
 from .conftest import SF_SMALL
 
-NAMES = sorted(E.queries())
+catalog.load_all()
+NAMES = sorted(catalog.QUERIES)  # the optional package tests its own queries
 
 
 @pytest.fixture(scope="module")
@@ -16,14 +18,14 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    missing = sorted(set(E.queries()) - set(E.oracle_sql()))
-    assert missing == []
+    assert sorted(set(NAMES) - set(E.oracle_sql())) == []
+    assert set(NAMES) <= set(E.queries())
 
 
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0
-    assert "order_total" in df.columns
+    assert {"order_key", "net_value", "value_per_unit"} <= set(df.columns)
 
 
 @pytest.mark.parametrize("name", NAMES)
