@@ -29,10 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField
 
-from ledgerline.llm.textblock import map_text, prefix_sums, span_hash, utf8
+from ledgerline.llm.textblock import kept, map_text, prefix_sums, span_hash, utf8
 
-#: Limits of what a worker keeps: words, determinised states, token pairs.
-MAX_WORDS, MAX_STATES, MAX_PAIRS = 350_000, 40_000, 200_000
+#: Limits of what a worker keeps: words (in each of two generations), determinised states, token pairs.
+MAX_WORDS, MAX_STATES, MAX_PAIRS = 250_000, 80_000, 200_000
 SLICE = 1 << 20
 MAX_VOCABULARY_BYTES = 64 << 20
 NEVER = 1 << 62
@@ -153,10 +153,10 @@ class Transducer:
         if not nxt:
             return _DEAD
         common = first = nxt[0][2]
-        for h in nxt:
-            p = h[2]
-            while common and p[:len(common)] != common:
-                common = common[:-1]
+        if common:
+            for _, _, p in nxt:
+                while common and p[:len(common)] != common:
+                    common = common[:-1]
         if k := len(common):
             nxt = [(n, last, p[k:]) for n, last, p in nxt]
             common = first[:k]
@@ -282,62 +282,76 @@ def split_words(buf: np.ndarray, off: np.ndarray, classes: np.ndarray) -> tuple[
     return lead[s], lead[e]
 
 
-class Encoder:
-    """Splits texts by the pattern, each distinct word by the transducer; the
-    ids of recent words are kept by the word's 64-bit fingerprint."""
-
-    def __init__(self, ranks: dict[bytes, int]):
-        self.fst = Transducer(ranks)
-        self.classes = char_classes()
-        self._forget()
+class Store:
+    """Ids of words by fingerprint, in flat arrays."""
 
-    def _forget(self) -> None:
+    def __init__(self):
         self.known: dict[int, int] = {}
         self.at = np.zeros(1 << 16, np.int64)     # word -> first id in flat
         self.size = np.zeros(1 << 16, np.int64)   # word -> number of ids
         self.flat = np.zeros(1 << 18, np.uint32)
         self.n_flat = 0
 
-    def _learn(self, prints: list[int], words: list[bytes]) -> None:
+    def add(self, prints: list[int], sizes: np.ndarray, ids: np.ndarray) -> None:
         n = len(self.known)
-        need = n + len(words)
+        need = n + len(prints)
         if need > len(self.at):
             grow = max(need, 2 * len(self.at)) - len(self.at)
             self.at, self.size = (np.append(x, np.zeros(grow, np.int64)) for x in (self.at, self.size))
-        ids: list[int] = []
-        sizes = []
-        for got in self.fst.encode_words(words):
-            sizes.append(len(got))
-            ids += got
         if self.n_flat + len(ids) > len(self.flat):
             self.flat = np.append(self.flat, np.zeros(max(len(ids), len(self.flat)), np.uint32))
         self.flat[self.n_flat:self.n_flat + len(ids)] = ids
-        ends = self.n_flat + np.cumsum(sizes)
         self.size[n:need] = sizes
-        self.at[n:need] = ends - sizes
+        self.at[n:need] = self.n_flat + np.cumsum(sizes) - sizes
         self.n_flat += len(ids)
         self.known.update(zip(prints, range(n, need)))
 
+
+class Encoder:
+    """Splits texts by the pattern, each distinct word by the transducer; the
+    ids of recent words are kept by the word's 64-bit fingerprint, in two
+    generations, so that what is in use is never forgotten."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.fst = Transducer(ranks)
+        self.classes = char_classes()
+        self.young, self.old = Store(), Store()
+
+    def _learn(self, prints: list[int], words: list[bytes]) -> None:
+        ids: list[int] = []
+        sizes = []
+        for got in self.fst.encode_words(words):
+            sizes.append(len(got))
+            ids += got
+        self.young.add(prints, np.array(sizes, np.int64), np.array(ids, np.uint32))
+
     def encode(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (bytes and offsets) and their n+1 offsets."""
         if not len(buf):
             return np.zeros(0, np.uint32), np.zeros(len(off), np.int64)
-        if len(self.known) > MAX_WORDS:
-            self._forget()
+        if len(self.young.known) > MAX_WORDS:
+            self.old, self.young = self.young, Store()
         s, e = split_words(buf, off, self.classes)
         prints = span_hash(prefix_sums(buf), s, e)
         uniq, where, back = np.unique(prints, return_index=True, return_inverse=True)
         uniq = uniq.tolist()
-        got = list(map(self.known.get, uniq))
+        young, old = self.young, self.old
+        got = list(map(young.known.get, uniq))
         new = [i for i, g in enumerate(got) if g is None]
         if new:
+            again = [(i, g) for i in new if (g := old.known.get(uniq[i])) is not None]
+            if again:  # used again: taken over from the older generation
+                g = np.array([g for _, g in again])
+                young.add([uniq[i] for i, _ in again], old.size[g], gather(old.flat, old.at[g], old.size[g]))
+                new = [i for i in new if uniq[i] not in young.known]
             data = buf.tobytes()
             at = where[new]
             todo = sorted(zip([data[a:b] for a, b in zip(s[at].tolist(), e[at].tolist())], [uniq[i] for i in new]))
-            self._learn([p for _, p in todo], [w for w, _ in todo])
-            got = list(map(self.known.get, uniq))
+            if todo:
+                self._learn([p for _, p in todo], [w for w, _ in todo])
+            got = list(map(young.known.get, uniq))
         word = np.array(got, np.int64)[back]
-        ids = gather(self.flat, self.at[word], size := self.size[word])
+        ids = gather(young.flat, young.at[word], size := young.size[word])
         sums = np.append(0, np.cumsum(size))
         return ids, sums[np.searchsorted(s, off)]
 
@@ -371,17 +385,12 @@ class Decoder:
         return "".join(self.stream(ids[i:i + chunk] for i in range(0, len(ids), chunk)))
 
 
-_ENCODERS: dict[int, tuple[Encoder, Decoder]] = {}
-
-
 def coders(data: bytes) -> tuple[Encoder, Decoder]:
     """The worker's coders for a rank file, made once."""
-    key = hash(data)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
+    def make():
         enc = Encoder(parse_ranks(data))
-        _ENCODERS[key] = enc, Decoder(enc.fst.bytes_of)
-    return _ENCODERS[key]
+        return enc, Decoder(enc.fst.bytes_of)
+    return kept(("byte_bpe", hash(data)), make)
 
 
 def encode_decode(docs: DataFrame, ranks_path: str, text: str = "text", keep: list[str] | None = None,
