@@ -61,7 +61,7 @@ def sql_hash(cols):
 CUST_COLS = ["customer_id", "customer_unique_id", "zip_code_prefix", "customer_city", "customer_state",
              "segment", "last_updated_dt"]
 
-CUST_SELECT_SQL = ("customer_id, segment AS market, lower(trim(customer_city)) AS nation, upper(trim(customer_state)) AS region, "
+CUST_SELECT_SQL = ("customer_id, segment AS market, upper(trim(customer_city)) AS nation, lower(trim(customer_state)) AS region, "
                    "CAST(zip_code_prefix AS INTEGER) AS nation_code, customer_unique_id AS label")
 
 
@@ -104,13 +104,15 @@ def derive_shipments(spark, sf):
     return jobs.derive_shipments(view(spark, sf, "v_shipments"))
 
 
-SHIPMENT_COLS_SQL = "order_id AS order_key, shipment_status AS stage, shipped_ts AS shipped_at, delivered_ts AS arrived_at"
+SHIPMENT_COLS_SQL = """shipped_ts IS NOT NULL AND delivered_ts IS NULL AS still_out,
+       date_diff('day', CAST(shipped_ts AS DATE), CAST(delivered_ts AS DATE)) AS days_on_the_way,
+       strftime(shipped_ts, '%Y-%m') AS left_in, order_id AS order_key"""
 
 
 @query("select_expr_shipments", with_views(f"SELECT {SHIPMENT_COLS_SQL} FROM ship", ["v_shipments"], [("ship", SHIP_SQL)]))
 def select_expr_shipments(spark, sf):
     """The shipments fact config over derived shipments."""
-    return shape.select_expr(jobs.derive_shipments(view(spark, sf, "v_shipments")), S.SHIPMENTS_CFG["select_expr"])
+    return shape.select_expr(jobs.derive_shipments(view(spark, sf, "v_shipments")), S.TRANSIT_CFG["select_expr"])
 
 
 @query("spec_select_customer", with_views(f"SELECT {CUST_SELECT_SQL} FROM v_cust_d1", ["v_cust_d1"]))
@@ -119,8 +121,8 @@ def spec_select_customer(spark, sf):
     return shape.build_select(view(spark, sf, "v_cust_d1"), S.BUYER_SPEC["columns"])
 
 
-PAYMENT_COLS_SQL = """order_id AS order_key, payment_type AS method, CAST(payment_installments AS INTEGER) AS parts,
-       CAST(payment_value AS DOUBLE) AS amount, CAST(payment_value AS DOUBLE) / CAST(payment_installments AS DOUBLE) AS per_part"""
+PAYMENT_COLS_SQL = """CAST(payment_installments AS BIGINT) AS months, CAST(payment_value AS DOUBLE) / payment_installments AS due_a_month,
+       payment_installments > 6 AS over_half_a_year, order_id AS order_key"""
 
 
 @query("audit_columns", with_views(f"""
@@ -129,7 +131,7 @@ SELECT {PAYMENT_COLS_SQL}, '2019-01-02' AS run_dt, 'r20190102' AS run_id,
 FROM v_payments""", ["v_payments"]))
 def audit_columns(spark, sf):
     """Run date, run id, and creation and update times given as an argument."""
-    f = shape.select_expr(view(spark, sf, "v_payments"), S.PAYMENTS_CFG["select_expr"])
+    f = shape.select_expr(view(spark, sf, "v_payments"), S.INSTALMENTS_CFG["select_expr"])
     out = shape.add_audit_columns(f, RUN_DT, RUN_ID, load_ts="2019-01-02 06:00:00")
     return out.withColumn("run_dt", _date_text("run_dt"))
 
@@ -175,7 +177,9 @@ def dim_date(spark, sf):
     return jobs.full_load(o, S.DIM_DATE_CFG).withColumn("date", _date_text("date"))
 
 
-@query("dim_payment_method", with_views("SELECT DISTINCT payment_type AS payment_method FROM v_payments WHERE payment_type IS NOT NULL",
+@query("dim_payment_method", with_views("""
+SELECT DISTINCT CAST(substr(payment_type, 1, 1) AS BIGINT) AS method_no, lower(substr(payment_type, 3)) AS shown_as
+FROM v_payments WHERE payment_type IS NOT NULL""",
                                         ["v_payments"]))
 def dim_payment_method(spark, sf):
     """A5/B1: payment-method dimension from payments (full-load job, empty dedupe order)."""
@@ -238,16 +242,34 @@ def hash_diff(spark, sf):
     return d.select("customer_id", _hash_diff(TRACKED).alias("hash_diff"))
 
 
-@query("return_features", with_views("""
-SELECT s.order_id, r.review_score,
+RETURN_SQL = """
+SELECT s.order_id, CAST(coalesce(r.review_score, 5) AS BIGINT) AS review_score,
        coalesce(date_diff('second', s.created_ts, s.delivered_ts) / 86400, 0.0) AS delivery_delay_days
-FROM v_shipments s LEFT JOIN v_reviews r ON s.order_id = r.order_id WHERE s.order_status = 'F'""",
-                                   ["v_shipments", "v_reviews"]))
+FROM v_shipments s LEFT JOIN v_reviews r ON s.order_id = r.order_id WHERE s.order_status = 'F'"""
+CHANCE_SQL = """
+SELECT *, least(greatest(delivery_delay_days, 0.0::DOUBLE), 60.0::DOUBLE) AS delay_counted,
+       least(greatest(0.03::DOUBLE + (5 - review_score) * 0.01::DOUBLE
+                      + least(greatest(delivery_delay_days, 0.0::DOUBLE), 60.0::DOUBLE) / 60.0::DOUBLE * 0.02::DOUBLE, 0.0::DOUBLE), 0.25::DOUBLE) AS return_propensity
+FROM feat"""
+
+
+@query("return_features", with_views("SELECT * FROM chance", ["v_shipments", "v_reviews"], [("feat", RETURN_SQL), ("chance", CHANCE_SQL)]))
 def return_features(spark, sf):
-    """Review join, delivery delay."""
+    """Review join with its default, delivery delay, clipped delay and return propensity."""
     return jobs.return_features(view(spark, sf, "v_shipments"), view(spark, sf, "v_reviews"))
 
 
+@query("return_cost", with_views("""
+SELECT c.order_id, c.return_propensity,
+       CAST(round(CAST(o.o_totalprice AS DECIMAL(18,2)) * CAST(c.return_propensity AS DECIMAL(9,6)), 2) AS DOUBLE) AS expected_refund
+FROM chance c LEFT JOIN orders o ON c.order_id = o.o_orderkey""", ["v_shipments", "v_reviews"], [("feat", RETURN_SQL), ("chance", CHANCE_SQL)]))
+def return_cost(spark, sf):
+    """Rounded decimal sums on the return features."""
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"), "o_totalprice")
+    out = jobs.return_cost(jobs.return_features(view(spark, sf, "v_shipments"), view(spark, sf, "v_reviews")), o, "o_totalprice")
+    return out.select("order_id", "return_propensity", F.col("expected_refund").cast("double").alias("expected_refund"))
+
+
 # Category translation (source name -> English name); the lookup file holds each
 # kind that has a translation, the others are left out to exercise the fallback.
 TRANSLATED_SQL = "SELECT DISTINCT p_type AS product_category_name, lower(p_type) || '_goods' AS product_category_name_english FROM part WHERE p_type < 'S'"
@@ -328,7 +350,7 @@ def fact_order_items(spark, sf):
 @query("fact_payments", with_views(f"SELECT {PAYMENT_COLS_SQL}, '{RUN_DT}' AS dt FROM v_payments", ["v_payments"]))
 def fact_payments(spark, sf):
     """Payments fact from its config."""
-    return jobs.fact_load(view(spark, sf, "v_payments"), S.PAYMENTS_CFG, RUN_DT)
+    return jobs.fact_load(view(spark, sf, "v_payments"), S.INSTALMENTS_CFG, RUN_DT)
 
 
 @query("fact_payments_delta", with_views(f"""
@@ -337,21 +359,21 @@ SELECT DISTINCT {PAYMENT_COLS_SQL}, '{RUN_DT}' AS dt FROM v_payments p JOIN v_or
 def fact_payments_delta(spark, sf):
     """Payments of a change feed; the config takes inserts and changes."""
     feed = view(spark, sf, "v_payments").join(view(spark, sf, "v_orders_delta").select("order_id", "op"), "order_id")
-    return jobs.fact_load(feed, S.PAYMENTS_CFG, RUN_DT)
+    return jobs.fact_load(feed, S.INSTALMENTS_CFG, RUN_DT)
 
 
 @query("fact_shipments", with_views(f"SELECT {SHIPMENT_COLS_SQL}, '{RUN_DT}' AS dt FROM ship", ["v_shipments"], [("ship", SHIP_SQL)]))
 def fact_shipments(spark, sf):
     """Shipments fact from its config."""
-    return jobs.fact_load(jobs.derive_shipments(view(spark, sf, "v_shipments")), S.SHIPMENTS_CFG, RUN_DT)
+    return jobs.fact_load(jobs.derive_shipments(view(spark, sf, "v_shipments")), S.TRANSIT_CFG, RUN_DT)
 
 
 @query("fact_returns", with_views(f"""
-SELECT CAST(order_id AS VARCHAR) || '/' || CAST(line_no AS VARCHAR) AS return_key, order_id AS order_key, return_ts AS returned_at,
-       lower(return_reason) AS why, CAST(refund_amount AS DOUBLE) AS refund, '{RUN_DT}' AS dt FROM v_returns""", ["v_returns"]))
+SELECT strftime(return_ts, '%Y-%m') AS back_in, CAST(refund_amount * 100 AS BIGINT) AS cents, return_reason = 'DAMAGED' AS damage,
+       CAST(order_id AS VARCHAR) || '#' || CAST(line_no AS VARCHAR) AS line, '{RUN_DT}' AS dt FROM v_returns""", ["v_returns"]))
 def fact_returns(spark, sf):
     """Returns fact from its config."""
-    return jobs.fact_load(view(spark, sf, "v_returns"), S.RETURNS_CFG, RUN_DT)
+    return jobs.fact_load(view(spark, sf, "v_returns"), S.RETURN_COSTS_CFG, RUN_DT)
 
 
 @query("log_parse", with_views("""

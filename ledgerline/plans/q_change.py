@@ -10,8 +10,9 @@ from ledgerline.operators import change as ch
 from ledgerline.operators import scd2
 from ledgerline.operators.dedupe import dedupe_latest
 from ledgerline.operators.quality import null_keys
+from ledgerline.operators import shape
 from ledgerline.operators.shape import filter_op
-from ledgerline.plans import jobs
+from ledgerline.plans import history, jobs
 from ledgerline.plans import specs as S
 from ledgerline.plans.catalog import query
 from ledgerline.plans.fixtures import table, view, with_views
@@ -27,13 +28,13 @@ CUST_RAW = ["customer_id", "customer_unique_id", "zip_code_prefix", "customer_ci
             "segment", "last_updated_dt"]
 CUST_OUT = ["customer_id", "market", "nation", "region", "nation_code", "label"]
 CUST_TRACKED = S.DIM_CUSTOMER_CFG["scd2_columns"]
-CUST_SELECT_SQL = ("customer_id, segment AS market, lower(trim(customer_city)) AS nation, upper(trim(customer_state)) AS region, "
+CUST_SELECT_SQL = ("customer_id, segment AS market, upper(trim(customer_city)) AS nation, lower(trim(customer_state)) AS region, "
                    "CAST(zip_code_prefix AS INTEGER) AS nation_code, customer_unique_id AS label")
 
 PROD_RAW = ["product_id", "category", "weight_g", "brand"]
 PROD_OUT = ["product_id", "kind", "size_class", "brand"]
 SUPP_RAW = ["supplier_id", "city", "state", "supplier_status"]
-SUPP_OUT = ["supplier_id", "nation", "region", "standing"]
+SUPP_OUT = ["supplier_id", "may_deliver", "place"]
 
 
 def hist_out(h, cols):
@@ -152,24 +153,26 @@ def cdc_upserts(spark, sf):
 
 
 @query("fact_append", with_views("""
-SELECT DISTINCT order_id AS order_key, customer_id AS buyer_key, order_status AS state, CAST(order_ts AS TIMESTAMP) AS placed_at, '2019-01-02' AS dt
+SELECT DISTINCT customer_id AS buyer_key, year(order_ts) || '-Q' || quarter(order_ts) AS quarter, isodow(order_ts) AS weekday, order_id AS order_key,
+       '2019-01-02' AS dt
 FROM v_facts_delta WHERE op = 'I'""", ["v_facts_delta"]))
 def fact_append(spark, sf):
     """Insert-only fact rows of a delta, tagged with the run date; inserts
     that differ only in the sequence are one fact."""
-    return jobs.delta_append(view(spark, sf, "v_facts_delta"), S.PLACED_ORDERS_CFG, RUN_DT[2])
+    return jobs.delta_append(view(spark, sf, "v_facts_delta"), S.ORDER_TIMES_CFG, RUN_DT[2])
 
 
 @query("cdc_merge_inventory", with_views("""
-SELECT product_id, warehouse_id, on_hand_qty, reserved_qty FROM v_inventory i
+SELECT warehouse_id AS site, product_id AS part_key, greatest(on_hand_qty - reserved_qty, 0) AS free FROM v_inventory i
 WHERE NOT EXISTS (SELECT 1 FROM net n WHERE n.product_id = i.product_id AND n.warehouse_id = i.warehouse_id)
 UNION ALL
-SELECT product_id, warehouse_id, on_hand_qty, reserved_qty FROM net WHERE op <> 'D'""",
+SELECT warehouse_id, product_id, greatest(on_hand_qty - reserved_qty, 0) FROM net WHERE op <> 'D'""",
     ["v_inventory", "v_inventory_delta"],
     [("net", sql_net_ops("v_inventory_delta", ["product_id", "warehouse_id"], INV_DELTA))]))
 def cdc_merge_inventory(spark, sf):
     """Deletes and upserts applied together to the inventory state (upsert job)."""
-    return jobs.delta_upsert(view(spark, sf, "v_inventory"), view(spark, sf, "v_inventory_delta"), S.INVENTORY_CFG)
+    stock = shape.select_expr(view(spark, sf, "v_inventory"), S.FREE_STOCK_CFG["select_expr"])
+    return jobs.delta_upsert(stock, view(spark, sf, "v_inventory_delta"), S.FREE_STOCK_CFG)
 
 
 @query("delete_by_key", with_views("""
@@ -199,15 +202,12 @@ def update_attribute(spark, sf):
 @query("facts_accumulate", with_views("""
 SELECT order_id, customer_id, CAST(amount AS DOUBLE) AS amount, strftime(order_dt, '%Y-%m-%d') AS dt FROM v_orders_dated""", ["v_orders_dated"]))
 def facts_accumulate(spark, sf):
-    """U-2: each day's facts appended to the running fact table, for the days that
-    the data holds."""
-    src = view(spark, sf, "v_orders_dated")
-    found = [r["d"] for r in src.select(F.date_format("order_dt", "yyyy-MM-dd").alias("d")).distinct().orderBy("d").collect()]  # one row a day
-    days = [src.where(F.col("order_dt") == F.to_date(F.lit(d)))
-               .select("order_id", "customer_id", F.col("amount").cast("double").alias("amount"))
-               .withColumn("dt", F.lit(d)) for d in found]
-    empty = src.limit(0).select("order_id", "customer_id", F.col("amount").cast("double").alias("amount"), F.lit("").alias("dt"))
-    return jobs.accumulate(days or [empty])
+    """U-2: a backfill of many days appended to the running fact table in one write,
+    each day its own partition, and the table read back."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/facts-{uuid.uuid4().hex}"
+    days = view(spark, sf, "v_orders_dated").select("order_id", "customer_id", F.col("amount").cast("double").alias("amount"),
+                                                    F.date_format("order_dt", "yyyy-MM-dd").alias("dt"))
+    return jobs.append_days(days, path, "dt")
 
 
 NULL_KEY_SQL = """
@@ -273,16 +273,26 @@ def scd2_history_close_missing(spark, sf):
 def scd2_rerun(spark, sf):
     """The daily job over three days, day 3 run again under its own id and
     once more under another: the same table as a single run of each day."""
-    name = f"rerun_{uuid.uuid4().hex}"
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rerun-{uuid.uuid4().hex}"
     for d, run_id in ((1, "r1"), (2, "r2"), (3, "r3"), (3, "r3"), (3, "again")):
-        h = jobs.scd2_daily(spark, name, path, view(spark, sf, f"v_cust_d{d}"), S.DIM_CUSTOMER_CFG, RUN_TS[d], run_id, buckets=8)
-    return hist_out(h, CUST_OUT)
+        history.scd2_daily_buckets(spark, path, view(spark, sf, f"v_cust_d{d}"), S.DIM_CUSTOMER_CFG, RUN_TS[d], run_id, buckets=8)
+    return hist_out(history.read_history(spark, path), CUST_OUT)
+
+
+@query("scd2_daily_soft_delete", with_views(sql_hist_out("h3", CUST_OUT), cust_views(3), cust_hist_ctes(3, "close")))
+def scd2_daily_soft_delete(spark, sf):
+    """The daily job closes keys missing for a day; last sightings are part of
+    each day's commit, and day 2 is retried."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/soft-{uuid.uuid4().hex}"
+    for d, run_id in ((1, "r1"), (2, "r2"), (2, "r2"), (3, "r3")):
+        history.scd2_daily_buckets(spark, path, view(spark, sf, f"v_cust_d{d}"), S.DIM_CUSTOMER_CFG, RUN_TS[d], run_id, buckets=8,
+                                   close_after_days=1)
+    return hist_out(history.read_history(spark, path), CUST_OUT)
 
 
 def _addr_sql(day: int) -> str:
-    return (f"SELECT 'A' || CAST(customer_id AS VARCHAR) AS address_key, customer_id, lower(trim(customer_city)) AS nation, "
-            f"upper(trim(customer_state)) AS region FROM ({sql_dedupe(f'v_addr_d{day}', ['customer_id'], 'last_updated_dt DESC NULLS LAST', CUST_RAW)})")
+    return (f"SELECT 'A' || CAST(customer_id AS VARCHAR) AS address_key, customer_id, upper(trim(customer_city)) AS nation, "
+            f"lower(trim(customer_state)) AS region FROM ({sql_dedupe(f'v_addr_d{day}', ['customer_id'], 'last_updated_dt DESC NULLS LAST', CUST_RAW)})")
 
 
 ADDR_OUT = ["address_key", "customer_id", "nation", "region"]
@@ -318,8 +328,8 @@ def scd2_apply_product(spark, sf):
 def _supp_hist_ctes():
     t1 = sql_dedupe("v_supp_d1", ["supplier_id"], "", SUPP_RAW)
     t2 = sql_dedupe("v_supp_d2", ["supplier_id"], "", SUPP_RAW)
-    sel = ("supplier_id, lower(trim(city)) AS nation, upper(trim(state)) AS region, "
-           "upper(substr(supplier_status, 1, 1)) || lower(substr(supplier_status, 2)) AS standing")
+    sel = ("supplier_id, supplier_status = 'ACTIVE' AS may_deliver, "
+           "concat_ws(', ', trim(city), upper(trim(state))) AS place")
     tracked = S.DIM_SUPPLIER_CFG["scd2_columns"]
     return [("t1", f"SELECT {sel} FROM ({t1})"), ("t2", f"SELECT {sel} FROM ({t2})"),
             ("h1", sql_scd2_initial("t1", SUPP_OUT, tracked, RUN_TS[1])),

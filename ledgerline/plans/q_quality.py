@@ -129,7 +129,7 @@ SELECT 'market', 'string', 'string', false, false, CAST(count(*) - count(market)
 UNION ALL
 SELECT 'email', 'string', NULL, true, false, NULL, NULL""",
     ["v_cust_d3"], [("d", """
-SELECT customer_id, segment AS market, lower(trim(customer_city)) AS nation, upper(trim(customer_state)) AS region,
+SELECT customer_id, segment AS market, upper(trim(customer_city)) AS nation, lower(trim(customer_state)) AS region,
        CAST(zip_code_prefix AS INTEGER) AS nation_code, customer_unique_id AS label FROM v_cust_d3""")]))
 def contract_violations(spark, sf):
     """Declared names, types and nullability checked against the output

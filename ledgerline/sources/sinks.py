@@ -44,6 +44,25 @@ def _delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file, through the file system that Spark uses."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, False)
+    try:
+        out.write(text.encode("utf-8"))
+    finally:
+        out.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: Sequence[str] = (), options: dict | None = None) -> None:
     """Batch write (K1, K2). With ``partition_by`` and mode overwrite only the
@@ -187,28 +206,49 @@ def drop_old_versions(spark: SparkSession, table_path: str, keep: int = 2) -> li
 
 # ---------------------------------------------------------------- keyed tables in buckets (K5)
 
+def manifest(spark: SparkSession, table_path: str, folder: str) -> dict:
+    """A bucketed version's document: schema, folder of each bucket, and its facts."""
+    return json.loads(_read_text(spark, f"{table_path}/{folder}/{MANIFEST}"))
+
+
 def _manifest(spark: SparkSession, table_path: str, folder: str) -> tuple[str, dict[int, str]]:
-    doc = json.loads("".join(r[0] for r in spark.read.text(f"{table_path}/{folder}/{MANIFEST}").collect()))  # one small line
+    doc = manifest(spark, table_path, folder)
     return doc["schema"], {int(b): f for b, f in doc["buckets"].items()}
 
 
-def _bucket(keys: Sequence[str], buckets: int):
+def read_buckets(spark: SparkSession, table_path: str, folder: str, wanted: Sequence[int] | None = None) -> DataFrame:
+    """The rows of some (or all) key buckets of a published version."""
+    schema, places = _manifest(spark, table_path, folder)
+    paths = [f"{table_path}/{places[b]}/{BUCKET}={b}" for b in sorted(places if wanted is None else wanted) if b in places]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def folders(spark: SparkSession, table_path: str) -> list[str]:
+    """Folders of the published versions, newest first."""
+    return [f for _, f, _ in reversed(_pointer_list(spark, table_path))]
+
+
+def key_bucket(keys: Sequence[str], buckets: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
 def publish_buckets(df: DataFrame, table_path: str, version: str, keys: Sequence[str], buckets: int,
-                    untouched: dict[int, str] | None = None) -> str:
+                    untouched: dict[int, str] | None = None, facts: dict | None = None, side: dict[str, DataFrame] | None = None) -> str:
     """Publish a version whose rows lie in one folder per key bucket. ``untouched``
     names the buckets that stay where an earlier version wrote them, so a change
-    rewrites only the buckets it touches."""
+    rewrites only the buckets it touches. ``facts`` go into the manifest and the small
+    tables of ``side`` beside the buckets (``_<name>``): one commit covers them."""
     spark = df.sparkSession
     pointer(spark, table_path)
     folder = _new_folder(spark, table_path, version)
-    write_table(df.withColumn(BUCKET, _bucket(keys, buckets)), f"{table_path}/{folder}", mode="error", partition_by=(BUCKET,))
+    rows = df.withColumn(BUCKET, key_bucket(keys, buckets)).hint("rebalance", BUCKET)  # one file a bucket, more for a large one
+    write_table(rows, f"{table_path}/{folder}", mode="error", partition_by=(BUCKET,))
+    for name, small in (side or {}).items():
+        write_table(small, f"{table_path}/{folder}/_{name}")
     written = {int(n.partition("=")[2]): folder for n in _names(spark, f"{table_path}/{folder}") if n.startswith(f"{BUCKET}=")}
-    doc = json.dumps({"schema": ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields),
+    doc = json.dumps({"facts": facts or {}, "schema": ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields),
                       "buckets": {str(b): f for b, f in {**(untouched or {}), **written}.items()}})
-    spark.createDataFrame([(doc,)], "value string").coalesce(1).write.text(f"{table_path}/{folder}/{MANIFEST}")
+    _write_text(spark, f"{table_path}/{folder}/{MANIFEST}", doc)
     _move_pointer(spark, table_path, folder)
     return f"{table_path}/{folder}"
 
@@ -230,7 +270,7 @@ def foreach_batch_upsert(table_path: str, keys: Sequence[str], seq_col: str = "s
         spark = batch_df.sparkSession
         version = f"b{batch_id:012d}"
         base = base_folder(spark, table_path, version)
-        touched = [r[0] for r in batch_df.select(_bucket(keys, buckets)).distinct().collect()]  # at most ``buckets`` numbers
+        touched = [r[0] for r in batch_df.select(key_bucket(keys, buckets)).distinct().collect()]  # at most ``buckets`` numbers
         places: dict[int, str] = {}
         target = batch_df.drop(seq_col, op_col).limit(0)
         if base is not None:
@@ -434,6 +474,12 @@ def read_bucketed_folder(spark: SparkSession, name: str, table_path: str, folder
     return read_bucketed(spark, _table_name(name, folder), f"{table_path}/{folder}", keys, buckets)
 
 
+def drop_old_bucketed(spark: SparkSession, name: str, table_path: str, keep: int = 2) -> None:
+    """``drop_old_versions`` for bucketed tables: their catalog entries go as well."""
+    for folder in drop_old_versions(spark, table_path, keep):
+        spark.sql(f"DROP TABLE IF EXISTS `{_table_name(name, folder)}`")
+
+
 def read_current_bucketed(spark: SparkSession, name: str, table_path: str, keys: Sequence[str],
                           buckets: int) -> DataFrame | None:
     folder, _ = pointer(spark, table_path)

@@ -296,14 +296,14 @@ def test_full_and_delta_jobs_write_audited_days(spark, tmp):
     from ledgerline.plans.fixtures import view
 
     path = os.path.join(tmp, "pay")
-    jobs.run_full_load(spark, view(spark, SF_SMALL, "v_payments"), S.PAYMENTS_CFG, path, "2019-01-02", "r", "2019-01-02 06:00:00")
+    jobs.run_full_load(spark, view(spark, SF_SMALL, "v_payments"), S.INSTALMENTS_CFG, path, "2019-01-02", "r", "2019-01-02 06:00:00")
     assert {"run_dt", "run_id", "created_at", "updated_at"} <= set(spark.read.parquet(path).columns)
     path = os.path.join(tmp, "placed")
     feed = view(spark, SF_SMALL, "v_facts_delta")
-    jobs.run_delta_append(feed, S.PLACED_ORDERS_CFG, path, "2019-01-02", "r", "2019-01-02 06:00:00")
+    jobs.run_delta_append(feed, S.ORDER_TIMES_CFG, path, "2019-01-02", "r", "2019-01-02 06:00:00")
     got = spark.read.parquet(path)
-    assert got.count() == feed.where("op = 'I'").select("order_id", "customer_id", "order_status", "order_ts").distinct().count()
-    jobs.run_delta_append(feed.limit(0), S.PLACED_ORDERS_CFG, path, "2019-01-02", "r", "2019-01-02 06:00:00")
+    assert got.count() == feed.where("op = 'I'").select("order_id", "customer_id", "order_ts").distinct().count()
+    jobs.run_delta_append(feed.limit(0), S.ORDER_TIMES_CFG, path, "2019-01-02", "r", "2019-01-02 06:00:00")
     assert not os.path.exists(os.path.join(path, "dt=2019-01-02"))
 
 
