@@ -38,17 +38,29 @@ def _stale(newest: Column, run_ts: str, max_age_seconds: int) -> Column:
     return F.coalesce(age > max_age_seconds, F.lit(True))
 
 
-def row_checks_report(df: DataFrame, checks: Sequence[Mapping], run_ts: str | None = None) -> DataFrame:
-    """Row-level and freshness checks in one pass -> one report row per check
-    (D1, D3, D4, D5, D6). A table without rows fails no row-level check (0 rows,
-    0 failed, passed) and is stale."""
+def row_check_aggs(checks: Sequence[Mapping], run_ts: str | None = None) -> list[Column]:
+    """Aggregates of the row-level and freshness checks (``__rows``, ``__f0`` ...), for
+    one pass of their own or for an observation on a table that is written anyway."""
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, ch in enumerate(checks):
         if ch["check"] == "freshness":
             aggs.append(_stale(F.max(F.col(ch["column"])), run_ts, ch["max_age_seconds"]).cast("bigint").alias(f"__f{i}"))
         else:
             aggs.append(F.count_if(_fail_expr(ch)).alias(f"__f{i}"))
-    one = df.agg(*aggs)
+    return aggs
+
+
+def row_check_rows(checks: Sequence[Mapping], got: Mapping) -> list[tuple]:
+    """Report rows from the values of ``row_check_aggs``."""
+    return [(ch["check"], ch["column"], 1 if ch["check"] == "freshness" else int(got["__rows"]), int(got[f"__f{i}"]), not got[f"__f{i}"])
+            for i, ch in enumerate(checks)]
+
+
+def row_checks_report(df: DataFrame, checks: Sequence[Mapping], run_ts: str | None = None) -> DataFrame:
+    """Row-level and freshness checks in one pass -> one report row per check
+    (D1, D3, D4, D5, D6). A table without rows fails no row-level check (0 rows,
+    0 failed, passed) and is stale."""
+    one = df.agg(*row_check_aggs(checks, run_ts))
     rows = F.array(*[F.struct(F.lit(ch["check"]).alias("check_name"), F.lit(ch["column"]).alias("column_name"),
                               (F.lit(1).cast("bigint") if ch["check"] == "freshness" else F.col("__rows")).alias("rows"),
                               F.col(f"__f{i}").alias("failed"))
@@ -116,13 +128,9 @@ def null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.where(cond)
 
 
-def contract_violations(df: DataFrame, contract: Sequence[Mapping]) -> DataFrame:
-    """Check a DataFrame against declared columns.
-
-    Per declared column: whether it exists, whether the Spark type matches,
-    and (in one aggregate over the rows) how many rows break ``nullable:
-    false`` and how many non-null values cannot be cast to the declared type.
-    """
+def contract_aggs(df: DataFrame, contract: Sequence[Mapping]) -> tuple[list[tuple], list[Column]]:
+    """(name, declared type, actual type, present) of each declared column, and the
+    aggregates that count nulls (``__n0`` ...) and failing casts (``__c0`` ...)."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     aggs, meta = [], []
     for i, c in enumerate(contract):
@@ -136,6 +144,26 @@ def contract_violations(df: DataFrame, contract: Sequence[Mapping]) -> DataFrame
         else:
             nulls, casts = F.lit(None), F.lit(None)
         aggs += [nulls.cast("bigint").alias(f"__n{i}"), casts.cast("bigint").alias(f"__c{i}")]
+    return meta, aggs
+
+
+def contract_rows(meta: Sequence[tuple], got: Mapping) -> list[tuple]:
+    """Report rows from the values of ``contract_aggs``: what each column breaks."""
+    out = []
+    for i, (name, typ, actual, present) in enumerate(meta):
+        failed = int(not present) + int(bool(present and actual != typ)) + int(got.get(f"__n{i}") or 0) + int(got.get(f"__c{i}") or 0)
+        out.append(("contract", name, None, failed, failed == 0))
+    return out
+
+
+def contract_violations(df: DataFrame, contract: Sequence[Mapping]) -> DataFrame:
+    """Check a DataFrame against declared columns.
+
+    Per declared column: whether it exists, whether the Spark type matches,
+    and (in one aggregate over the rows) how many rows break ``nullable:
+    false`` and how many non-null values cannot be cast to the declared type.
+    """
+    meta, aggs = contract_aggs(df, contract)
     one = df.agg(*aggs)
     rows = F.array(*[F.struct(F.lit(n).alias("column_name"), F.lit(t).alias("declared_type"),
                               F.lit(a).cast("string").alias("actual_type"), F.lit(not p).alias("missing"),

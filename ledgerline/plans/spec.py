@@ -9,9 +9,10 @@ pushed into the scan, unused columns are pruned, the aggregate is partial).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators import meta, quality
@@ -115,29 +116,33 @@ def run_batch_spec(spec: Mapping, sources: Mapping[str, DataFrame], run_values:
     return spec_frames(spec, sources, run_values)[spec["target"].get("path") or spec.get("name")]
 
 
-def run_scd2_spec(spec: Mapping, source: DataFrame, hist: DataFrame | None, run_ts: str, rewind_first: bool = False) -> DataFrame:
-    """SCD2 mode (B4): dedupe raw rows, project with ``build_select``, merge.
-
-    Dedupe runs on the raw rows, before the projection, because its order
-    column is not among the projected columns. Returns the whole new history;
-    the current view is ``current_rows`` of it.
-    """
-    check_spec(spec)
-    keys = spec["keys"]["business"]
+def scd2_today(spec: Mapping, source: DataFrame) -> DataFrame:
+    """The day's rows of an SCD2 spec: dedupe on the raw rows, before the projection,
+    because its order column is not among the projected columns."""
     dd = spec.get("dedupe") or {}
-    deduped = dd.get("enabled", bool(dd))
-    if deduped:
+    if dd.get("enabled", bool(dd)):
         source = dedupe_latest(source, dd["key"], dd.get("order_by", []))
-    today = build_select(source, spec["columns"])
+    return build_select(source, spec["columns"])
+
+
+def merge_today(spec: Mapping, today: DataFrame, hist: DataFrame | None, run_ts: str, rewind_first: bool = False) -> DataFrame:
+    """The whole new history after ``scd2_today``'s rows."""
+    keys, dd = spec["keys"]["business"], spec.get("dedupe") or {}
     tracked = spec["scd2"]["track_columns"]
     open_to = spec["scd2"].get("effective_to_open", "9999-12-31 00:00:00")
-    on_missing = spec["scd2"].get("on_missing", "keep")
     if hist is None:
         return scd2_initial(today, keys, tracked, run_ts, open_to)
     exprs = {c["name"]: c.get("expr") for c in spec["columns"]}
-    same_key = deduped and list(dd["key"]) == list(keys) and all(exprs.get(k) == k for k in keys)
-    return scd2_apply(hist, today, keys, tracked, run_ts, on_missing=on_missing, open_to=open_to, unique_today=same_key,
-                      rewind_first=rewind_first)
+    same_key = dd.get("enabled", bool(dd)) and list(dd["key"]) == list(keys) and all(exprs.get(k) == k for k in keys)
+    return scd2_apply(hist, today, keys, tracked, run_ts, on_missing=spec["scd2"].get("on_missing", "keep"), open_to=open_to,
+                      unique_today=same_key, rewind_first=rewind_first)
+
+
+def run_scd2_spec(spec: Mapping, source: DataFrame, hist: DataFrame | None, run_ts: str, rewind_first: bool = False) -> DataFrame:
+    """SCD2 mode (B4): dedupe raw rows, project with ``build_select``, merge. Returns
+    the whole new history; the current view is ``current_rows`` of it."""
+    check_spec(spec)
+    return merge_today(spec, scd2_today(spec, source), hist, run_ts, rewind_first)
 
 
 def run_diff_spec(spec: Mapping, previous: DataFrame, current: DataFrame) -> DataFrame:
@@ -149,25 +154,58 @@ def run_diff_spec(spec: Mapping, previous: DataFrame, current: DataFrame) -> Dat
     return snapshot_diff(build_select(previous, spec["columns"]), build_select(current, spec["columns"]), keys)
 
 
-def dq_verdict(spec: Mapping, out: DataFrame, run_ts: str | None) -> tuple[DataFrame | None, int]:
-    """The report of the spec's ``dq`` block (checks, and with ``contract`` the
-    declared columns) and the number of checks that failed."""
+REPORT = "check_name string, column_name string, rows bigint, failed bigint, passed boolean"
+
+
+class Watch:
+    """Counts rows, and row-level and contract checks, of frames on their way to
+    the place where they are written (A10, D6, D7): no pass of their own."""
+
+    def __init__(self):
+        self.seen: dict[str, Observation] = {}
+
+    def __call__(self, name: str, df: DataFrame, *aggs) -> DataFrame:
+        self.seen[name] = Observation(f"{name}_{uuid.uuid4().hex[:8]}")
+        return df.observe(self.seen[name], F.count(F.lit(1)).alias("__rows"), *aggs)
+
+    def get(self, name: str) -> dict:
+        """The values, after the frame was written."""
+        return self.seen[name].get or {"__rows": 0}
+
+    def rows(self, name: str) -> int:
+        return int(self.get(name).get("__rows") or 0)
+
+
+def dq_aggs(spec: Mapping, df: DataFrame, run_ts: str | None) -> list:
+    """Aggregates for the checks of the spec's ``dq`` block that go by rows."""
     dq = spec.get("dq") or {}
-    parts = []
-    if dq.get("checks"):
-        parts.append(quality.dq_report(out, dq["checks"], run_ts))
-    if dq.get("contract"):
-        v = quality.contract_violations(out, spec["columns"])
-        failed = (F.col("missing").cast("bigint") + F.col("type_mismatch").cast("bigint") + F.coalesce("null_violations", F.lit(0))
-                  + F.coalesce("cast_failures", F.lit(0)))
-        parts.append(v.select(F.lit("contract").alias("check_name"), "column_name", F.lit(None).cast("bigint").alias("rows"),
-                              failed.alias("failed"), (failed == 0).alias("passed")))
-    if not parts:
-        return None, 0
-    rows = [r for p in parts for r in p.collect()]  # one small row per check
-    spark = out.sparkSession
-    report = spark.createDataFrame(rows, "check_name string, column_name string, rows bigint, failed bigint, passed boolean")
-    return report, sum(not r["passed"] for r in rows)
+    by_row = [c for c in dq.get("checks", ()) if c["check"] != "unique"]
+    aggs = quality.row_check_aggs(by_row, run_ts)[1:] if by_row else []
+    return aggs + (quality.contract_aggs(df, spec["columns"])[1] if dq.get("contract") else [])
+
+
+def dq_rows(spec: Mapping, got: Mapping, staged: DataFrame) -> list[tuple]:
+    """Report rows: from the observed values, and the unique checks on what was staged."""
+    dq = spec.get("dq") or {}
+    checks = dq.get("checks", ())
+    by_row = [c for c in checks if c["check"] != "unique"]
+    out = quality.row_check_rows(by_row, got)
+    out += [tuple(quality.unique_report(staged, c["columns"]).first()) for c in checks if c["check"] == "unique"]
+    return out + (quality.contract_rows(quality.contract_aggs(staged, spec["columns"])[0], got) if dq.get("contract") else [])
+
+
+def needed_nodes(spec: Mapping) -> set[str]:
+    """The named outputs of a batch spec that the target is made of."""
+    up: dict[str, set[str]] = {}
+    for a, b, _ in lineage_from_spec(spec):
+        up.setdefault(b, set()).add(a)
+    found, todo = set(), [spec["target"].get("path") or spec.get("name")]
+    while todo:
+        n = todo.pop()
+        if n not in found:
+            found.add(n)
+            todo += up.get(n, ())
+    return found
 
 
 def run_spec(spark: SparkSession, spec: Mapping, base_in: str, base_out: str, run_values: Mapping[str, str]) -> dict[str, int]:
@@ -184,6 +222,16 @@ def run_spec(spark: SparkSession, spec: Mapping, base_in: str, base_out: str, ru
         return _run_spec(spark, spec, base_in, base_out, run_values)
 
 
+def stage(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder, as columns, and read back."""
+    from ledgerline.session import ensure_checkpoint_dir
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _run_spec(spark: SparkSession, spec: Mapping, base_in: str, base_out: str, run_values: Mapping[str, str]) -> dict[str, int]:
     """A whole run: scan the sources, transform or merge, check, write the target
     (and the current view), and append the run-log row, all under ``base_out``.
@@ -195,7 +243,6 @@ def _run_spec(spark: SparkSession, spec: Mapping, base_in: str, base_out: str, r
     ``_run_log``.
     """
     from ledgerline.plans.jobs import utc_now
-    from ledgerline.session import cut_lineage
     from ledgerline.sources import sinks
     from ledgerline.sources.readers import read_spec_sources
 
@@ -208,51 +255,62 @@ def _run_spec(spark: SparkSession, spec: Mapping, base_in: str, base_out: str, r
     fmt = target.get("format", "parquet")
     error = None
     rows_in = rows_out = failed = 0
+    watch = Watch()
+    nodes: dict[str, int] = {}
     try:
         if mode == "batch":
             sources = read_spec_sources(spark, spec, base_in)
-            rows_in = sum(df.count() for df in sources.values())
-            out = cut_lineage(run_batch_spec(spec, sources, run_values))
-            checked = out
+            node, used = target.get("path") or spec.get("name"), needed_nodes(spec)
+
+            def named(name: str, df: DataFrame) -> DataFrame:
+                return watch(name, df, *(dq_aggs(spec, df, run_ts) if name == node else ())) if name in used else df
+
+            staged = out = stage(spec_frames(spec, sources, run_values, named)[node])  # one scan of each source
+            nodes = {n: watch.rows(n) for n in watch.seen}
+            rows_in = sum(nodes[n] if n in used else df.count() for n, df in sources.items())
+            checked = watch.get(node)
         else:
             source = read_spec_sources(spark, {**spec, "sources": {"source": spec["source"]}}, base_in)["source"]
-            rows_in = source.count()
-            checked = build_select(source, spec["columns"])
+            rows = watch("source", source)
+            today = scd2_today(spec, rows) if mode == "scd2" else build_select(rows, spec["columns"])
+            staged = stage(watch("today", today, *dq_aggs(spec, today, run_ts)))
+            rows_in, checked = watch.rows("source"), watch.get("today")
+            nodes = {n: watch.rows(n) for n in watch.seen}
             folder = sinks.base_folder(spark, path, run_id)
             hist = None if folder is None else sinks.read_folder(spark, path, folder, fmt)
             if mode == "diff":
-                snapshot = checked
-                empty = snapshot.limit(0)
-                out = cut_lineage(run_diff_spec({**spec, "columns": [{"name": c, "expr": c} for c in snapshot.columns]},
-                                                empty if hist is None else hist, snapshot))
+                plain = {**spec, "columns": [{"name": c, "expr": c} for c in staged.columns]}
+                out = run_diff_spec(plain, staged.limit(0) if hist is None else hist, staged)
             else:
                 again = hist is not None and check_run_order(hist, run_ts)
-                out = cut_lineage(run_scd2_spec(spec, source, hist, run_ts, rewind_first=again))
-                today = checked
-                dd = spec.get("dedupe") or {}
-                if dd.get("enabled", bool(dd)):
-                    today = build_select(dedupe_latest(source, dd["key"], dd.get("order_by", [])), spec["columns"])
-                checked = today
-        report, failed = dq_verdict(spec, checked, run_ts)
-        if report is not None:
-            stamped = report.withColumns({"run_id": F.lit(run_id), "run_dt": F.lit(run_dt), "job": F.lit(spec["name"])})
+                out = merge_today(spec, staged, hist, run_ts, rewind_first=again)
+        report = dq_rows(spec, checked, staged)
+        failed = sum(not r[-1] for r in report)
+        if report:
+            frame = spark.createDataFrame(report, REPORT)
+            stamped = frame.withColumns({"run_id": F.lit(run_id), "run_dt": F.lit(run_dt), "job": F.lit(spec["name"])})
             sinks.write_table(stamped, f"{base_out}/_dq", partition_by=("run_id", "job"))
             alerts = quality.threshold_alerts(stamped, "failed", (spec["dq"]).get("alert_over", 0), "DQ_FAILED")
             sinks.write_table(alerts, f"{base_out}/_alerts", partition_by=("run_id", "job"))
         limit = (spec.get("dq") or {}).get("fail_over")
         if limit is not None and failed > limit:
             raise ValueError(f"{spec['name']}: {failed} checks failed, more than {limit}")
-        rows_out = out.count()
+        out = watch("out", out)
         parts: Sequence[str] = target.get("partition_by", ())
         if mode == "batch":
             sinks.write_table(out, path, fmt=fmt, partition_by=parts)
         elif mode == "diff":
-            sinks.publish_version(snapshot, path, run_id, parts, fmt)
             sinks.write_table(out.withColumn("run_dt", F.lit(run_dt)), f"{path}_changes", partition_by=("run_dt",))
+            sinks.publish_version(staged, path, run_id, parts, fmt)
         else:
-            sinks.publish_version(out, path, run_id, parts, fmt)
+            written = sinks.publish_version(out, path, run_id, parts, fmt)
             if target.get("write_current_view"):
-                sinks.publish_version(current_view(out), f"{base_out}/{target['current_view_path']}", run_id, (), fmt)
+                new = spark.read.format(fmt).schema(out.schema).load(written)
+                sinks.publish_version(current_view(new), f"{base_out}/{target['current_view_path']}", run_id, (), fmt)
+        rows_out = watch.rows("out")
+        counts = [(n, k) for n, k in nodes.items()]
+        sinks.write_table(spark.createDataFrame(counts, "node string, rows bigint").withColumns(
+            {"run_id": F.lit(run_id), "job": F.lit(spec["name"])}), f"{base_out}/_node_rows", partition_by=("run_id", "job"))
     except Exception as e:
         error = f"{type(e).__name__}: {e}"[:1000]
         raise
@@ -267,19 +325,12 @@ def current_view(hist: DataFrame) -> DataFrame:
 
 
 def observed_node_rows(spec: Mapping, sources: Mapping[str, DataFrame], run_values: Mapping[str, str]) -> dict[str, int]:
-    """Rows of every named output of a batch spec, counted by observations in the
-    one pass that computes the target (to the no-op sink)."""
-    from pyspark.sql import Observation
-
-    seen: dict[str, Observation] = {}
-
-    def watch(name: str, df: DataFrame) -> DataFrame:
-        seen[name] = Observation(name)
-        return df.observe(seen[name], F.count(F.lit(1)).alias("rows"))
-
-    frames = spec_frames(spec, sources, run_values, watch)
+    """Rows of every output of a batch spec that its target is made of, counted by
+    observations in the one pass that computes the target (to the no-op sink)."""
+    watch, used = Watch(), needed_nodes(spec)
+    frames = spec_frames(spec, sources, run_values, lambda n, df: watch(n, df) if n in used else df)
     frames[spec["target"].get("path") or spec.get("name")].write.format("noop").mode("overwrite").save()
-    return {name: int((obs.get or {}).get("rows") or 0) for name, obs in seen.items()}
+    return {name: watch.rows(name) for name in watch.seen}
 
 
 def lineage_from_spec(spec: Mapping) -> list[tuple[str, str, str]]:

@@ -320,3 +320,38 @@ def test_unfinished_lineage_raises(spark):
     e = meta.edges_frame(spark, [(f"n{i:03d}", f"n{i + 1:03d}", "x") for i in range(40)])
     with pytest.raises(RuntimeError):
         meta.lineage_closure(e, max_rounds=2)
+
+
+def test_run_spec_scans_each_source_once_and_counts_every_node(spark, tmp, monkeypatch):
+    import pytest
+
+    from ledgerline.operators import quality
+    from ledgerline.plans import spec as sp
+
+    src, out = os.path.join(tmp, "in"), os.path.join(tmp, "out")
+    for t in ("orders", "lineitem"):
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").write.parquet(f"{src}/{t}.parquet")
+    plans = []
+    real = sp.stage
+    monkeypatch.setattr(sp, "stage", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    checks = [{"check": "not_null", "column": "buyer_key"}, {"check": "range", "column": "urgency", "min": 2, "max": 5},
+              {"check": "freshness", "column": "placed_at", "max_age_seconds": 60}, {"check": "unique", "columns": ["order_key"]}]
+    spec = dict(S.ORDER_VALUE_SPEC, dq={"checks": checks})
+    got = sp.run_spec(spark, spec, src, out, {"run_dt": "2019-01-02", "run_id": "b1"})
+    assert len(plans) == 1 and plans[0].count("FileScan parquet") == 2  # two sources, each once
+    assert "l_comment" not in plans[0]  # observing a source does not read its other columns
+    orders, lines = (spark.read.parquet(f"{src}/{t}.parquet").count() for t in ("orders", "lineitem"))
+    assert got["rows_in"] == orders + lines
+    table = spark.read.parquet(f"{out}/order_value")
+    nodes = {r.node: r.rows for r in spark.read.parquet(f"{out}/_node_rows").collect()}
+    frames = sp.spec_frames(spec, {t: spark.read.parquet(f"{src}/{t}.parquet") for t in ("orders", "lineitem")}, {"run_dt": "2019-01-02", "run_id": "b1"})
+    assert nodes == {n: df.count() for n, df in frames.items()} and nodes["order_value"] == got["rows_out"] == table.count()
+    want = {tuple(r) for r in quality.dq_report(table, checks, "2019-01-02 00:00:00").collect()}
+    report = {tuple(r) for r in spark.read.parquet(f"{out}/_dq").select("check_name", "column_name", "rows", "failed", "passed").collect()}
+    assert report == want and sum(not r[-1] for r in want) == got["dq_failed"] == 2
+    # a source that nothing uses is counted on its own; an unknown one raises
+    spare = dict(spec, sources={**spec["sources"], "more": {"format": "parquet", "path": "orders.parquet"}})
+    assert sp.run_spec(spark, spare, src, out, {"run_dt": "2019-01-02", "run_id": "b2"})["rows_in"] == 2 * orders + lines
+    with pytest.raises(Exception):
+        sp.run_spec(spark, dict(spec, sources={**spec["sources"], "more": {"format": "parquet", "path": "none.parquet"}}), src, out,
+                    {"run_dt": "2019-01-02", "run_id": "b3"})
