@@ -98,6 +98,26 @@ def lineage_closure(edges: DataFrame, max_rounds: int = 32, checkpoint_every: in
     raise RuntimeError(f"lineage deeper than 2^{max_rounds} steps: the closure is not complete")
 
 
+def carry_tags(edges: DataFrame, tags: DataFrame, max_rounds: int = 64) -> DataFrame:
+    """Tags carried along lineage (D9): (column_name, tag, origin, hops) for every column
+    that a tagged one flows into, and the tagged ones themselves (0 hops); ``hops`` is
+    the shortest way.
+
+    ``edges`` (upstream, downstream) and ``tags`` (column_name, tag) are bounded by the
+    specs. Each round joins only what the last one found new, so a round costs one
+    small join and a cycle ends."""
+    found = frontier = cut_lineage(tags.select("column_name", "tag", F.col("column_name").alias("origin"), F.lit(0).alias("hops")).distinct())
+    key = ["column_name", "tag", "origin"]
+    for _ in range(max_rounds):
+        step = frontier.join(edges, frontier["column_name"] == edges["upstream"]).select(
+            F.col("downstream").alias("column_name"), "tag", "origin", (F.col("hops") + 1).alias("hops")).distinct()
+        frontier = cut_lineage(step.join(found, key, "left_anti"))
+        if frontier.isEmpty():
+            return found
+        found = found.unionByName(frontier)
+    raise RuntimeError(f"tags still move after {max_rounds} rounds")
+
+
 def node_row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     """Row count of every named node of a pipeline (lineage run metadata),
     each a global count (partial per task), unioned into one small frame."""

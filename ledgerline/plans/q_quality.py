@@ -9,7 +9,7 @@ from ledgerline.operators.shape import build_select
 from ledgerline.plans import specs as S
 from ledgerline.plans.catalog import query
 from ledgerline.plans.fixtures import table, view, with_views
-from ledgerline.plans.spec import lineage_from_spec, observed_node_rows
+from ledgerline.plans.spec import column_lineage, lineage_from_spec, observed_node_rows
 
 # Fixed accepted values: the five market segments of the source table.
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
@@ -227,3 +227,32 @@ def pii_tags(spark, sf):
 def pii_scan_documents(spark, sf):
     """D9 per document: PII matches counted over each whole text."""
     return meta.pii_counts(table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text")
+
+
+#: The lineage of TEXT_PROFILE_SPEC written out, for the oracle.
+_TEXT_EDGES = [("documents.doc_id", "heads.doc_id"), ("documents.source", "heads.source"), ("documents.text", "heads.head"),
+               ("documents.n_chars", "heads.size"), ("documents.text", "heads.shout"), ("documents.n_chars", "heads.big"),
+               ("labels.doc_id", "marked.doc_id"), ("labels.quality", "marked.fine"),
+               *[(f"heads.{c}", f"judged.{c}") for c in ("doc_id", "source", "head", "size", "shout", "big")],
+               ("marked.doc_id", "judged.doc_id"), ("marked.fine", "judged.fine"),
+               *[(f"judged.{c}", f"text_profile.{c}") for c in ("doc_id", "source", "head", "size", "shout", "big", "fine")]]
+
+
+@query("pii_lineage", with_views("""
+SELECT column_name, tag, origin, min(hops) AS hops FROM carried GROUP BY ALL""", ctes=[
+    ("edges(upstream, downstream)", "VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in _TEXT_EDGES)),
+    ("tags", " UNION ALL ".join(
+        f"SELECT 'documents.{c}' AS column_name, '{t}' AS tag FROM documents HAVING count(CASE WHEN regexp_matches({c}, '{rx}') THEN 1 END) > 0"
+        for c in ("text", "source") for t, rx in meta.PII_PATTERNS.items())),
+    ("carried(column_name, tag, origin, hops)", """
+SELECT column_name, tag, column_name, 0 FROM tags
+UNION
+SELECT e.downstream, c.tag, c.origin, c.hops + 1 FROM carried c JOIN edges e ON e.upstream = c.column_name""")], recursive=True))
+def pii_lineage(spark, sf):
+    """Personal-data tags of source columns, found in the data, carried to
+    every column of a spec that is computed from them."""
+    sources = {t: table(spark, sf, t) for t in ("documents", "labels")}
+    found = meta.pii_hit_rates(sources["documents"], ["text", "source"])
+    tags = found.where("tagged").select(F.concat(F.lit("documents."), "column_name").alias("column_name"), F.col("pii_type").alias("tag"))
+    edges = spark.createDataFrame(column_lineage(S.TEXT_PROFILE_SPEC, sources), "upstream string, downstream string")
+    return meta.carry_tags(edges, tags).withColumn("hops", F.col("hops").cast("bigint"))

@@ -356,3 +356,49 @@ def lineage_from_spec(spec: Mapping) -> list[tuple[str, str, str]]:
         if spec["target"].get("current_view_path"):
             edges.append((target, spec["target"]["current_view_path"], "current_view"))
     return edges
+
+
+# ---------------------------------------------------------------- column lineage
+
+def references(df: DataFrame, expr: str) -> set[str]:
+    """Columns of ``df`` that a SQL expression reads, from its analysed plan."""
+    seq = df.select(F.expr(expr).alias("x"))._jdf.queryExecution().analyzed().references().toSeq()
+    return {seq.apply(i).name() for i in range(seq.size())}
+
+
+def column_lineage(spec: Mapping, sources: Mapping[str, DataFrame]) -> list[tuple[str, str]]:
+    """Edges ``(node.column, node.column)`` of a batch spec: what each output column is
+    computed from. Only schemas are looked at."""
+    frames = spec_frames(spec, {n: df.limit(0) for n, df in sources.items()},
+                         {v: "" for v in spec["target"].get("add_columns", {}).values()})
+    edges: list[tuple[str, str]] = []
+
+    def link(up: str, cols, down: str, col: str) -> None:
+        edges.extend((f"{up}.{c}", f"{down}.{col}") for c in sorted(cols))
+
+    last = None
+    for t in spec.get("transforms", []):
+        df, up, name = frames[t["input"]], t["input"], t["name"]
+        made: dict[str, set[str]] = {c: {c} for c in df.columns}  # column so far -> columns of the input
+        steps = [("select", t["select"])] if "select" in t else []
+        if "group_by" in t:
+            steps.append(("group_by", {**{k: f"`{k}`" for k in t["group_by"]}, **t["agg"]}))
+        steps += [("derive", {k: e}) for k, e in t.get("derive", {}).items()]
+        now = df.where(F.expr(t["filter"])) if "filter" in t else df
+        for kind, exprs in steps:
+            refs = {n: set().union(*(made[c] for c in references(now, e)), set()) for n, e in exprs.items()}
+            made = {**made, **refs} if kind == "derive" else refs
+            part = {"select": {"select": exprs}, "derive": {"derive": exprs}}.get(kind) or {"group_by": t["group_by"], "agg": t["agg"]}
+            now = _transform(now, part)
+        for c in frames[name].columns:
+            link(up, made[c], name, c)
+        last = name
+    for jn in spec.get("joins", []):
+        for side in ("left", "right"):
+            for c in frames[jn[side]].columns:
+                link(jn[side], {c}, jn["output"], c)
+        last = jn["output"]
+    target = spec["target"].get("path") or spec.get("name")
+    for c in frames[spec["target"].get("input") or last].columns:
+        link(spec["target"].get("input") or last, {c}, target, c)
+    return edges

@@ -37,6 +37,20 @@ ORDER_VALUE_SPEC = {
     "target": {"path": "order_value", "input": "valued", "partition_by": ["dt"], "add_columns": {"dt": "run_dt", "run_id": "run_id"}},
 }
 
+#: What is known of a source's texts; some of it is copied out of them.
+TEXT_PROFILE_SPEC = {
+    "name": "text_profile",
+    "mode": "batch",
+    "sources": {"documents": {"format": "parquet", "path": "documents.parquet"}, "labels": {"format": "parquet", "path": "labels.parquet"}},
+    "transforms": [
+        {"name": "heads", "input": "documents", "select": {"doc_id": "doc_id", "source": "source", "head": "substr(text, 1, 80)", "size": "n_chars"},
+         "derive": {"shout": "upper(head)", "big": "size > 1000"}},
+        {"name": "marked", "input": "labels", "select": {"doc_id": "doc_id", "fine": "quality = 1"}},
+    ],
+    "joins": [{"left": "heads", "right": "marked", "type": "left", "on": ["doc_id"], "output": "judged"}],
+    "target": {"path": "text_profile", "input": "judged"},
+}
+
 #: Orders as they arrive: each once, typed, by month; what breaks the contract is a dead letter.
 ORDER_FEED_SPEC = {
     "name": "order_feed",

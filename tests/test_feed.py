@@ -224,3 +224,48 @@ def test_what_a_stream_cannot_do_raises(spark, tmp, change, message):
     os.makedirs(os.path.join(tmp, "order_feed"))
     with pytest.raises(ValueError, match=message):
         start_stream_spec(spark, {k: v for k, v in {**S.ORDER_FEED_SPEC, **change}.items() if v is not None}, tmp, os.path.join(tmp, "out"), RUN)
+
+
+# ------------------------------------------------------------------ facts on a stream
+
+def test_waiting_facts_are_tried_when_the_dimension_moves(spark, tmp, monkeypatch):
+    from ledgerline.operators import scd2, star
+    from ledgerline.streaming.facts import FactStream
+
+    def dim(rows):
+        df = spark.createDataFrame(rows, "id long, v string")
+        return scd2.scd2_initial(df, ["id"], ["v"], "2024-01-02 00:00:00")
+
+    def facts(*rows):
+        return spark.createDataFrame(rows, "fact long, id long, at string").withColumn("at", F.to_timestamp("at"))
+
+    now = {"v": ("d1", dim([(1, "a")]))}
+    s = FactStream(os.path.join(tmp, "s"), lambda _: now["v"], ["id"], "at", "sk", ["v"])
+    assert s.read(spark) is None
+    batches = [facts((1, 1, "2024-01-03"), (2, 2, "2024-01-03"), (3, 2, "2024-01-01"), (4, None, "2024-01-03")), facts((5, 2, "2024-01-04"))]
+    s.write_batch(batches[0], 0)
+    state = lambda: {r.fact: r.v for r in s.read(spark).collect()}
+    assert state() == {1: "a", 2: None, 3: None, 4: None}
+    s.write_batch(batches[1].limit(0), 1)  # the dimension stands: nothing is tried again
+    assert state() == {1: "a", 2: None, 3: None, 4: None} and s.waiting(spark).count() == 3
+    now["v"] = ("d2", dim([(1, "a"), (2, "b")]))
+    real = sinks.write_table
+
+    def failing(df, path, *a, **k):
+        if path.endswith("/waiting"):
+            raise OSError("disk full")
+        real(df, path, *a, **k)
+
+    monkeypatch.setattr(sinks, "write_table", failing)
+    with pytest.raises(OSError):
+        s.write_batch(batches[1], 2)
+    monkeypatch.setattr(sinks, "write_table", real)
+    assert state() == {1: "a", 2: None, 3: None, 4: None}  # the half batch is not seen
+    for _ in range(2):  # the batch, and its replay
+        s.write_batch(batches[1], 2)
+        assert state() == {1: "a", 2: "b", 3: "b", 4: None, 5: "b"} and s.read(spark).count() == 5
+    every = batches[0].unionByName(batches[1])
+    first = star.point_in_time_join(batches[0], dim([(1, "a")]), ["id"], "at", "sk", ["v"])
+    want = star.backfill_unknown(first, now["v"][1], ["id"], "at", "sk", ["v"]).unionByName(
+        star.point_in_time_join(batches[1], now["v"][1], ["id"], "at", "sk", ["v"]))
+    assert same(s.read(spark), want) and every.count() == want.count()

@@ -355,3 +355,26 @@ def test_run_spec_scans_each_source_once_and_counts_every_node(spark, tmp, monke
     with pytest.raises(Exception):
         sp.run_spec(spark, dict(spec, sources={**spec["sources"], "more": {"format": "parquet", "path": "none.parquet"}}), src, out,
                     {"run_dt": "2019-01-02", "run_id": "b3"})
+
+
+def test_column_lineage_and_carried_tags(spark):
+    import pytest
+
+    from ledgerline.plans import spec as sp
+    from ledgerline.plans.q_quality import _TEXT_EDGES
+
+    sources = {t: spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("documents", "labels", "orders", "lineitem")}
+    assert sorted(sp.column_lineage(S.TEXT_PROFILE_SPEC, sources)) == sorted(_TEXT_EDGES)
+    edges = set(sp.column_lineage(S.ORDER_VALUE_SPEC, sources))
+    assert {("lineitem.l_extendedprice", "line_values.net"), ("lineitem.l_discount", "line_values.net"), ("line_values.net", "per_order.net_value"),
+            ("line_values.net", "per_order.value_per_unit"), ("line_values.quantity", "per_order.value_per_unit"),
+            ("line_values.order_key", "per_order.order_key"), ("valued.net_value", "order_value.net_value")} <= edges
+    assert not any(down == "per_order.lines" for _, down in edges)  # count(1) reads nothing
+    e = spark.createDataFrame([("a.x", "b.x"), ("b.x", "c.x"), ("c.x", "b.x"), ("a.x", "c.x"), ("z.q", "c.x")], "upstream string, downstream string")
+    tags = spark.createDataFrame([("a.x", "email"), ("a.x", "email"), ("b.x", "phone")], "column_name string, tag string")
+    got = {tuple(r) for r in meta.carry_tags(e, tags).collect()}
+    assert got == {("a.x", "email", "a.x", 0), ("b.x", "email", "a.x", 1), ("c.x", "email", "a.x", 1), ("b.x", "phone", "b.x", 0), ("c.x", "phone", "b.x", 1)}
+    assert meta.carry_tags(e, tags.limit(0)).count() == 0
+    chain = spark.createDataFrame([(f"n{i:02d}", f"n{i + 1:02d}") for i in range(6)], "upstream string, downstream string")
+    with pytest.raises(RuntimeError):
+        meta.carry_tags(chain, spark.createDataFrame([("n00", "t")], "column_name string, tag string"), max_rounds=3)
