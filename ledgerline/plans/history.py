@@ -146,3 +146,39 @@ def read_history(spark: SparkSession, table_path: str) -> DataFrame | None:
 def rejected(snapshot: DataFrame, cfg: Mapping) -> DataFrame:
     """Rows of a snapshot that no history takes: a null business key."""
     return null_keys(select_expr(snapshot, cfg["select_expr"]), cfg["business_key"])
+
+
+# ---------------------------------------------------------------- snapshots with digests
+
+def publish_snapshot(spark: SparkSession, table_path: str, rows: DataFrame, keys, version: str, buckets: int = 64,
+                     cols=None, keep: int = 2) -> tuple[DataFrame | None, list[int]]:
+    """Stores a snapshot (one row per key) in key buckets, with a digest of each, and gives
+    the changes against the stored one before (None for the first) and the buckets in
+    which something differs. Only those are written, and only those of both
+    snapshots are joined by ``snapshot_diff``."""
+    from ledgerline.operators.change import snapshot_diff
+
+    cols = [c for c in rows.columns if c not in keys] if cols is None else list(cols)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        digests = bucket_digests(rows, keys, [c for c in rows.columns if c not in keys], buckets)
+        facts = {"digests": {str(b): d for b, d in digests.items()}, "shape": repr([list(keys), rows.columns, buckets])}
+        folder = sinks.base_folder(spark, table_path, version)
+        if folder is None:
+            written = sinks.publish_buckets(rows, table_path, version, keys, buckets, facts=facts)
+            return None, sorted(digests)
+        doc = sinks.manifest(spark, table_path, folder)
+        if doc["facts"]["shape"] != facts["shape"]:
+            raise ValueError(f"{table_path}: the stored snapshot has other keys, columns or buckets")
+        before = {int(b): d for b, d in doc["facts"]["digests"].items()}
+        touched = sorted(b for b in {*before, *digests} if before.get(b) != digests.get(b))
+        bucket = sinks.key_bucket(keys, buckets)
+        day = rows.where(bucket.isin(touched)) if touched else rows.limit(0)
+        untouched = {int(b): f for b, f in doc["buckets"].items() if int(b) not in touched}
+        written = sinks.publish_buckets(day, table_path, version, keys, buckets, untouched, facts)
+    finally:
+        rows.unpersist()
+    old = sinks.read_buckets(spark, table_path, folder, touched)
+    new = sinks.read_buckets(spark, table_path, written.rpartition("/")[2], touched)
+    sinks.drop_old_versions(spark, table_path, max(keep, 2))  # the one before is what the changes are read from
+    return snapshot_diff(old, new, keys, cols), touched

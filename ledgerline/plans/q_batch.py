@@ -16,6 +16,7 @@ from ledgerline.plans.catalog import query
 from ledgerline.plans.fixtures import table, view, with_views
 from ledgerline.plans.spec import run_batch_spec
 from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.sources import sinks
 from ledgerline.sources.readers import parse_log_lines, read_lookup_csv
 
 RUN_DT, RUN_ID = "2019-01-02", "r20190102"
@@ -153,6 +154,21 @@ def lookup_by_status(spark, sf):
     return shape.lookup(o, o_orderstatus="P", o_orderpriority="1-URGENT")
 
 
+@query("lookup_by_index", """
+SELECT 'customer' AS found_by, o_orderkey, o_custkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice FROM orders WHERE o_custkey = 37
+UNION ALL
+SELECT 'order', o_orderkey, o_custkey, CAST(o_totalprice AS DOUBLE) FROM orders WHERE o_orderkey = 4242""")
+def lookup_by_index(spark, sf):
+    """P10: lookups in a copy ordered by customer, with a bloom filter on the order key."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/indexed-{uuid.uuid4().hex}"
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("double").alias("o_totalprice"))
+    sinks.write_indexed(orders, path, ["o_custkey"], ["o_orderkey"])
+    copy = spark.read.schema(orders.schema).parquet(path)
+    cols = ["found_by", *orders.columns]
+    return (shape.lookup(copy, o_custkey=37).withColumn("found_by", F.lit("customer")).select(cols)
+            .unionByName(shape.lookup(copy, o_orderkey=4242).withColumn("found_by", F.lit("order")).select(cols)))
+
+
 @query("derive_suppliers", """
 SELECT s_suppkey AS supplier_id, s_name AS supplier_name, s_nationkey AS zip_code_prefix,
        CAST(s_acctbal AS DOUBLE) AS account_balance, upper(s_name) AS display_name, 'ACTIVE' AS supplier_status

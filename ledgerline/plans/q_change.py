@@ -101,6 +101,20 @@ def snapshot_diff(spark, sf):
     return ch.snapshot_diff(prev, cur, ["customer_id"], DIFF_COLS)
 
 
+@query("snapshot_diff_stored", with_views(
+    _sql_diff("v_cust_d1", "d2", "customer_id", DIFF_COLS), ["v_cust_d1", "v_cust_d2"],
+    [("d2", sql_dedupe("v_cust_d2", ["customer_id"], "last_updated_dt DESC NULLS LAST", CUST_RAW))]))
+def snapshot_diff_stored(spark, sf):
+    """The same changes against the stored snapshot, joining only the key
+    buckets whose digest differs."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/snapshots-{uuid.uuid4().hex}"
+    cols = ["customer_id", *DIFF_COLS]
+    history.publish_snapshot(spark, path, view(spark, sf, "v_cust_d1").select(cols), ["customer_id"], "d1", buckets=16)
+    cur = dedupe_latest(view(spark, sf, "v_cust_d2"), ["customer_id"], ["last_updated_dt desc"]).select(cols)
+    changes, _ = history.publish_snapshot(spark, path, cur, ["customer_id"], "d2", buckets=16, cols=DIFF_COLS)
+    return changes
+
+
 @query("snapshot_diff_product", with_views(
     _sql_diff("v_prod_d1", "v_prod_d2", "product_id", ["category", "weight_g", "brand"]), ["v_prod_d1", "v_prod_d2"]))
 def snapshot_diff_product(spark, sf):

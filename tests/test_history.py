@@ -155,3 +155,51 @@ def test_digests_see_nulls_and_not_the_order(spark):
     a, b = (spark.createDataFrame([r], "id long, v string, u string") for r in ((1, None, "x"), (1, "x", None)))
     assert history.bucket_digests(a, ["id"], ["v", "u"], 4) != history.bucket_digests(b, ["id"], ["v", "u"], 4)
     assert history.rejected(snap(spark, [(None, "a", 1), (1, "b", 1)]), CFG).count() == 1
+
+
+def test_stored_snapshots_join_only_what_differs(spark, tmp):
+    path, n = os.path.join(tmp, "s"), 3000
+    day = spark.range(n).select("id", (F.col("id") % 5).cast("string").alias("v"), F.lit(1).alias("w"))
+    assert history.publish_snapshot(spark, path, day, ["id"], "d0", 32)[0] is None
+    from ledgerline.operators.change import snapshot_diff
+    hot = day.select(sinks.key_bucket(["id"], 32)).first()[0]
+    in_hot = sinks.key_bucket(["id"], 32) == hot
+    new = day.where(~(in_hot & (F.col("id") % 7 == 0))).withColumn("v", F.when(in_hot & (F.col("id") % 3 == 0), F.lit(None)).otherwise(F.col("v")))
+    changes, touched = history.publish_snapshot(spark, path, new, ["id"], "d1", 32)
+    want = snapshot_diff(day, new, ["id"], ["v", "w"])
+    assert touched == [hot] and want.count() > 0
+    assert changes.exceptAll(want).count() == 0 and want.exceptAll(changes).count() == 0
+    # the scan holds the one bucket of both snapshots and no other
+    assert {f.split(f"{sinks.BUCKET}=")[1].split("/")[0] for f in changes.inputFiles()} == {str(hot)}
+    same, touched = history.publish_snapshot(spark, path, new, ["id"], "d2", 32)
+    assert touched == [] and same.count() == 0
+    back = sinks.read_current(spark, path)
+    assert back.exceptAll(new).count() == 0 and new.exceptAll(back).count() == 0
+    # a retry of a version builds on the one before it
+    again, touched = history.publish_snapshot(spark, path, day, ["id"], "d2", 32)
+    assert touched == [hot] and again.count() == want.count()
+    with pytest.raises(ValueError, match="other keys"):
+        history.publish_snapshot(spark, path, new.drop("w"), ["id"], "d3", 32)
+
+
+def test_an_indexed_copy_reads_fewer_row_groups(spark, tmp):
+    from ledgerline.operators import shape
+
+    plain, indexed = os.path.join(tmp, "plain"), os.path.join(tmp, "indexed")
+    rows = spark.range(60_000).select(F.col("id").alias("k"), (F.xxhash64("id") % 3000).alias("customer"), F.sha2(F.col("id").cast("string"), 256).alias("code"))
+    rows.repartition(4).write.option("parquet.block.size", str(64 << 10)).parquet(plain)
+    sinks.write_indexed(spark.read.parquet(plain), indexed, ["customer"], ["code"], rows_per_file=15_000, block_bytes=64 << 10, distinct=2000)
+
+    def scanned(path, key):
+        got = shape.lookup(spark.read.parquet(path), **key)
+        out = sorted(tuple(r) for r in got.collect())
+        plan = got._jdf.queryExecution().executedPlan()
+        leaf = plan.collectLeaves().head()
+        return out, leaf.metrics().apply("numOutputRows").value()
+
+    one = rows.where("k = 777").first()
+    for key in ({"customer": one.customer}, {"code": one.code}):
+        a, read_plain = scanned(plain, key)
+        b, read_indexed = scanned(indexed, key)
+        assert a == b and one.k in {r[0] for r in a}
+        assert read_indexed < 0.25 * read_plain, (key, read_plain, read_indexed)
