@@ -24,6 +24,8 @@ import functools
 import math
 import random
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -244,10 +246,12 @@ def _scan(texts: pa.Array) -> list:
         kinds.append([k for _, k, _ in base])
         starts.append([s for s, _, _ in base])
         ends.append([e for _, _, e in base])
-        taken = base
+        taken = sorted((x, y) for x, _, y in base)
+        begins, reach = [x for x, _ in taken], list(accumulate((y for _, y in taken), max))
         row = []
         for s, e, cell in (token_tests(t) if t else ()):
-            if not any(x < e and s < y for x, _, y in taken):
+            before = bisect_left(begins, e)  # base spans that begin before the token's end
+            if not before or reach[before - 1] <= s:
                 row.append((s, e, cell))
         for i, out in enumerate(tests):
             out.append([r[i] for r in row])

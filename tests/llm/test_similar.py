@@ -122,12 +122,13 @@ def cut(rows, m):
 
 def repeats_of(df, m):
     got = repeats.repeat_digest(repeats.remove_repeats(df, length=m)).collect()
-    return sorted((tuple(r) for r in got), key=str)
+    assert all(r.repeated == (r.n_removed > 0) and r.removed_share == (r.n_removed / r.n_bytes if r.n_bytes else 0) for r in got)
+    return sorted((tuple(r)[:5] for r in got), key=str)
 
 
 def test_repeats_of_the_whole_table(sp, docs):
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
-    got = sorted((tuple(r) for r in QUERIES["op4_repeats"](sp, SF_SMALL).collect()), key=str)
+    got = sorted((tuple(r)[:5] for r in QUERIES["op4_repeats"](sp, SF_SMALL).collect()), key=str)
     assert got == cut(rows, 400)
 
 
