@@ -199,8 +199,7 @@ def fit(stats: DataFrame, labels: DataFrame, label: str = "quality", learn_from=
     def normal(x, y):
         z = model.features(x)
         return np.concatenate([(z.T @ z).ravel(), z.T @ y])
-    few = n < 200  # too few rows to hold any back
-    eq = _partition_sums(rows if few else rows.where("not calibrate"), k * k + k, normal)
+    eq = _partition_sums(rows.where("not calibrate"), k * k + k, normal)
     a, b = eq[:k * k].reshape(k, k), eq[k * k:]
     penalty = np.full(k, RIDGE * max(a[0, 0], 1.0) / 10)
     penalty[0] = 1e-9
@@ -209,7 +208,7 @@ def fit(stats: DataFrame, labels: DataFrame, label: str = "quality", learn_from=
     def binned(x, y):
         at = np.clip(((model.raw(x) + 0.5) * BINS / 2).astype(int), 0, BINS - 1)
         return np.concatenate([np.bincount(at, minlength=BINS), np.bincount(at, y, minlength=BINS)])
-    bins = _partition_sums(rows if few else rows.where("calibrate"), 2 * BINS, binned)
+    bins = _partition_sums(rows.where("calibrate"), 2 * BINS, binned)
     count, ones = bins[:BINS], bins[BINS:]
     used = count > 0
     if used.any():
