@@ -218,5 +218,10 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
 
 
 def repeat_digest(cut: DataFrame) -> DataFrame:
-    return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
-                      F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    """Counts and digest of what is kept; ``removed_share`` of the bytes (0 for an empty
+    text) and ``repeated``, whether anything was removed."""
+    removed = (F.col("n_bytes") - F.length("kept")).cast("long")
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("starts").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"),
+                      F.when(F.col("n_bytes") > 0, removed / F.col("n_bytes")).otherwise(F.lit(0.0)).alias("removed_share"),
+                      (removed > 0).alias("repeated"))
