@@ -4,7 +4,7 @@ A text is the set of its byte n-grams (1 to 3, lower-cased, non-letters of ASCII
 as blanks), hashed to ``CELLS`` cells; the blended-spectrum presence kernel of
 two texts is the size of the intersection over the geometric mean of the sizes.
 ``PER_LANGUAGE`` landmark texts of each language (those with the smallest
-hashes of id and text; of long ones ``LANDMARK_CHARS`` characters) give Nyström features, on
+hashes of id and text; whole, their presence rows are made in the tasks) give Nyström features, on
 which one ridge regression per language (one versus rest) is fitted from
 partition-summed normal equations over a bounded sample of ``FIT_ROWS`` learnable
 rows, drawn per language. Scores come from batched matrix products: presence rows times landmarks,
@@ -30,7 +30,7 @@ from ledgerline.llm.quality import held_out, tree_sum
 from ledgerline.llm.textblock import map_text, quoted, utf8
 
 CELLS = 1 << 16
-PER_LANGUAGE, LANDMARK_CHARS = 24, 20_000
+PER_LANGUAGE = 24
 FIT_ROWS = 20_000
 RIDGE = 1e-4
 SHARPNESS = 8.0
@@ -62,9 +62,10 @@ def presence(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 class Kernel:
-    def __init__(self, langs: list[str], landmarks: list[str]):
+    """``p``: the landmarks' presence rows."""
+
+    def __init__(self, langs: list[str], p: np.ndarray):
         self.langs = langs
-        p = self._rows(pa.array(landmarks, pa.string()))
         self.cells = np.flatnonzero(p.any(0))
         self.marks = p[:, self.cells].astype(np.float32)
         self.sizes = np.sqrt(np.maximum(p.sum(1), 1))
@@ -117,15 +118,17 @@ def fit(rows: DataFrame, per_language: int = PER_LANGUAGE, fit_rows: int = FIT_R
     rows = (rows.where("id is not null and lang is not null and text is not null").where(F.col("text").rlike(r"\p{L}"))
             .withColumn("h", F.xxhash64("id", "text")))
     near = Window.partitionBy("lang").orderBy("h")
-    # of a long text the part from its first letter on
-    cut = F.when(F.length("text") <= LANDMARK_CHARS, F.col("text")).otherwise(
-        F.substring("text", F.regexp_instr("text", F.lit(r"\p{L}")), F.lit(LANDMARK_CHARS)))
-    marks = (rows.select("lang", cut.alias("text"), "h").withColumn("r", F.row_number().over(near)).where(F.col("r") <= per_language)
-             .select("lang", "text", "h").orderBy("lang", "h").collect())  # languages x per_language texts of bounded length
+    chosen = rows.select("lang", "h", "text").withColumn("r", F.row_number().over(near)).where(F.col("r") <= per_language)
+
+    def pack(batches):  # whole texts stay in the tasks; a landmark is CELLS bits
+        for b in batches:
+            bits = [np.packbits(Kernel._rows(b.column(2).slice(i, 1))).tobytes() for i in range(len(b))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(bits, pa.binary())], names=["lang", "h", "bits"])
+    marks = chosen.select("lang", "h", "text").mapInArrow(pack, "lang string, h long, bits binary").orderBy("lang", "h").collect()
     if not marks:
         return None
     langs = sorted({m["lang"] for m in marks})
-    kernel = Kernel(langs, [m["text"] for m in marks])
+    kernel = Kernel(langs, np.unpackbits(np.array([np.frombuffer(m["bits"], np.uint8) for m in marks]), axis=1).astype(bool))
     spark = rows.sparkSession
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
     below = spark.createDataFrame([(g, int(s * SHARES)) for g, s in fit_shares(counts, fit_rows).items()], "lang string, below long")
