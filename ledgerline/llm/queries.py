@@ -14,10 +14,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+#: Rows of an Arrow batch: texts are whole, so rows bound what the JVM and a worker
+#: hold twice, as vectors; the operators work in slices of bytes anyway.
+BATCH_ROWS = 1000
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package to the executors, once per context: Python workers
-    import the operators' functions by name."""
+    import the operators' functions by name. Batches to Python become smaller where
+    the session has Spark's default or a larger number of rows."""
     sc = spark.sparkContext
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
     if getattr(sc, "_ledgerline_shipped", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
