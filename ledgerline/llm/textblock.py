@@ -106,7 +106,7 @@ def map_text(df: DataFrame, text: str, fn: Callable[[pa.Array], list], fields: l
                       *[F.col(f"n{i}").alias(f.name) for i, f in enumerate(fields)])
 
 
-# --- hashing: two polynomial prefix sums over random byte values, modulo 2^31 - 1 ---
+# --- hashing: two polynomial prefix sums modulo 2^31 - 1, each with a random base ---
 
 def _splitmix(x: np.ndarray) -> np.ndarray:
     x = x.astype(U64) + U64(0x9E3779B97F4A7C15)
@@ -121,10 +121,12 @@ mix = _splitmix
 PRIME = (1 << 31) - 1
 _P, _BITS = U64(PRIME), U64(31)
 _BASES = (1_402_024_253, 1_790_655_309)
-BYTE = np.stack([_splitmix(np.arange(k * 256, (k + 1) * 256)) % U64(PRIME - 1) + U64(1) for k in range(2)])
+BYTE = np.arange(1, 257, dtype=U64)  # coefficient of each byte
 LOWER = np.arange(256)
 LOWER[65:91] += 32
-BYTE_LOWER = BYTE[:, LOWER]
+BYTE_LOWER = BYTE[LOWER]
+#: So many products of a coefficient and a power add up to less than 2^64 as they are.
+PLAIN_SUM, CHUNK = 1 << 24, 1 << 15
 
 
 def _powers_of(base: int, n: int) -> np.ndarray:
@@ -157,10 +159,19 @@ def _powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
 def prefix_sums(buf: np.ndarray, table: np.ndarray = BYTE) -> np.ndarray:
     """Two rows of running sums whose differences identify any span of ``buf``."""
     n = len(buf)
-    out = np.zeros((2, n + 1), U64)
-    for k, (power, _) in enumerate(_powers(n + 1)):
-        x = table[k][buf] * power[:n]
-        np.cumsum((x & _P) + (x >> _BITS), out=out[k, 1:])
+    out = np.empty((2, n + 1), U64)
+    out[:, 0] = 0
+    powers = _powers(n + 1)
+    for a in range(0, n, CHUNK):  # in pieces that stay in the processor's cache
+        b = min(n, a + CHUNK)
+        values = table[buf[a:b]]
+        for k, (power, _) in enumerate(powers):
+            part = out[k, a + 1:b + 1]
+            np.multiply(values, power[a:b], out=part)
+            if n >= PLAIN_SUM:
+                part[:] = (part & _P) + (part >> _BITS)
+            np.cumsum(part, out=part)
+            part += out[k, a]
     return out
 
 
