@@ -72,6 +72,40 @@ def _op5(spark, sf_dir):
     return m.contamination_digest(m.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+_ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Every window of every item looked for at every place of every document.
+ORACLES["op5_decontaminate"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+i AS (SELECT item_id, regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+iw AS (SELECT DISTINCT item_id, k, array_to_string(ws[j:j + k - 1], ' ') AS w
+       FROM (SELECT item_id, ws, least(len(ws), 10) AS k, unnest(range(1, greatest(len(ws) - 10, 0) + 2)) AS j FROM i WHERE len(ws) > 0)),
+ks AS (SELECT DISTINCT k FROM iw),
+places AS (SELECT r, k, j, array_to_string(ws[j:j + k - 1], ' ') AS w
+           FROM (SELECT r, k, ws, unnest(range(1, len(ws) - k + 2)) AS j FROM d, ks WHERE len(ws) >= k)),
+found AS (SELECT r, j, k, item_id FROM places JOIN iw USING (k, w)),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(j, j + k)) AS p FROM (SELECT DISTINCT r, j, k FROM found)) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+          FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)"""
+
+#: All pairs of documents by their common shingles, and what is reachable over the links.
+ORACLES["op8_neardup"] = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_ASCII_LOWER}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) > 1 THEN ws[j] || ' ' || ws[j + 1] ELSE ws[1] END AS shingle
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws), 2))) AS j FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+sides AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, sides.y FROM reach r JOIN sides ON sides.x = r.other),
+least_id AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN least_id USING (doc_id)"""
+
+
 @query("op6_byte_bpe")
 def _op6(spark, sf_dir):
     """Token counts and digests of ids and of the text decoded from them."""
@@ -137,6 +171,24 @@ def _op3(spark, sf_dir):
     return m.count_pieces(table(spark, sf_dir, "documents"), vocabulary(MULTILINGUAL_BPE))
 
 
+#: Every 400-byte window of every text, by digest; windows that occur again cover what goes.
+ORACLES["op4_repeats"] = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT r, j, md5(substr(h, 2 * j + 1, 800)) AS m FROM (SELECT r, h, unnest(range(0, n - 399)) AS j FROM d WHERE n >= 400)),
+again AS (SELECT m FROM w GROUP BY m HAVING count(*) > 1),
+s AS (SELECT r, j, CASE WHEN j - lag(j) OVER (PARTITION BY r ORDER BY j) <= 400 THEN 0 ELSE 1 END AS fresh FROM w SEMI JOIN again USING (m)),
+g AS (SELECT r, j, sum(fresh) OVER (PARTITION BY r ORDER BY j) AS k FROM s),
+runs AS (SELECT r, min(j) AS a, max(j) + 400 AS b FROM g GROUP BY r, k),
+pieces AS (SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS s, a AS e FROM runs
+           UNION ALL SELECT r, max(b), any_value(n) FROM runs JOIN d USING (r) GROUP BY r),
+kept AS (SELECT r, string_agg(substr(h, 2 * s + 1, 2 * (e - s)), '' ORDER BY s) AS k FROM pieces JOIN d USING (r) GROUP BY r),
+gone AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY r)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(k, h))) AS kept_sha256, CASE WHEN n > 0 THEN coalesce(n_removed, 0) / n ELSE 0.0 END AS removed_share,
+       coalesce(n_removed, 0) > 0 AS repeated
+FROM d LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)"""
+
+
 @query("op4_repeats")
 def _op4(spark, sf_dir):
     """Documents without the bytes of 400-byte strings that occur again."""
