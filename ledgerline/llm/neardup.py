@@ -299,16 +299,22 @@ def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text"
     to no group and stay; other rows that repeat an id and a text without words
     stay once."""
     found = cut_lineage(grouped(docs, id, text, words).where("id is not null").select("id", "th", "label"))
-    first = found.where("label is not null").groupBy("label").agg(F.min(F.struct("id", "th")).alias("first"))
-    gone = (found.join(first, "label").where(F.struct("id", "th") != F.col("first")).select(F.col("id").alias("__id"), F.col("th").alias("__th"))
-            .withColumn("__more", F.lit(False)))
+    # an (id, text) is in one group, so what stays is told by that, and a large group is no hot key
+    first = found.where("label is not null").groupBy("label").agg(F.min(F.struct("id", "th")).alias("first")).select("first.id", "first.th")
+    gone = found.where("label is not null").join(first, ["id", "th"], "left_anti").select(
+        F.col("id").alias("__id"), F.col("th").alias("__th"), F.lit(False).alias("__more"))
     # a kept (id, text) on several rows: one of them stays
     more = found.groupBy("id", "th").agg(F.count("*").alias("rows")).where("rows > 1").select(
         F.col("id").alias("__id"), F.col("th").alias("__th"), F.lit(True).alias("__more"))
-    told = gone.unionByName(more).groupBy("__id", "__th").agg(F.min("__more").alias("__more"))
-    marked = docs.alias("__d").join(told.alias("__t"), (quoted(id).cast("long") == F.col("__t.__id")) & (
-        F.xxhash64(quoted(text).cast("string")) == F.col("__t.__th")), "left")
-    flat = marked.select(F.struct("__d.*").alias("d"), F.col("__t.__more").alias("more"), F.col("__t.__id").alias("i"), F.col("__t.__th").alias("t"))
-    single = flat.where("more is null").select("d.*")
-    several = flat.where("more").groupBy("i", "t").agg(F.min("d").alias("d")).select("d.*")
-    return single.unionByName(several)
+    told = cut_lineage(gone.unionByName(more).groupBy("__id", "__th").agg(F.min("__more").alias("__more")))
+
+    def rows(which: DataFrame, how: str) -> DataFrame:
+        same = (quoted(id).cast("long") == which["__id"]) & (F.xxhash64(quoted(text).cast("string")) == which["__th"])
+        return docs.join(which, same, how)
+    single = rows(told, "left_anti")
+    repeated = told.where("__more")
+    if repeated.isEmpty():
+        return single
+    key = [quoted(id).cast("long"), F.xxhash64(quoted(text).cast("string"))]
+    several = rows(repeated, "left_semi").groupBy(key[0].alias("i"), key[1].alias("t")).agg(F.min(F.struct(*[quoted(c) for c in docs.columns])).alias("d"))
+    return single.unionByName(several.select("d.*"))
