@@ -56,6 +56,11 @@ def release() -> None:
     if _KEPT:
         _KEPT.clear()
         gc.collect()
+    trim()
+
+
+def trim() -> None:
+    """Free memory back to the system; what is kept stays."""
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (OSError, AttributeError):  # another C library
@@ -100,6 +105,7 @@ def map_text(df: DataFrame, text: str, fn: Callable[[pa.Array], list], fields: l
                     g = g if isinstance(g, pa.Array) else pa.array(g, t)
                     cols.append(g if g.type == t else g.cast(t))
                 yield pa.RecordBatch.from_arrays(cols, names=out.names)
+        trim()  # an idle worker holds no more than it keeps
 
     res = src.mapInArrow(run, out)
     return res.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)],
