@@ -18,6 +18,7 @@ hash), whatever the id. Null texts are empty texts.
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,4 +78,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{base}/{i}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        gc.collect()  # lets the driver's JVM drop the finished stage's plans, broadcasts and shuffles
     return docs
