@@ -170,6 +170,17 @@ def test_variants_of_made_up_words(sp, depth, limit):
     assert S.variants(df.limit(0)).count() == 0
 
 
+def test_no_hash_without_an_id(sp):
+    """Runs that the hash of an id would cut stay whole where the id is null."""
+    runs = [w for w in ("".join(p) for p in itertools.product("abc", repeat=7)) if zlib.crc32(f":{w}".encode()) % 199 == 0][:3]
+    cut = next(w for w in ("".join(p) for p in itertools.product("abc", repeat=7)) if zlib.crc32(f"7:{w}".encode()) % 199 == 0)
+    assert len(runs) == 3
+    at = zlib.crc32(f"7:{cut}".encode()) % 7
+    docs = sp.createDataFrame([(None, " ".join(runs * 5)), (7, " ".join([cut] * 5))], "doc_id long, text string")
+    got = {r.word: r.n for r in S.vocabulary(docs).collect()}
+    assert got == {**dict.fromkeys(runs, 5), cut[:at] + cut[at + 1:]: 5}
+
+
 def test_variants_query_equals_brute_force(sp, docs):
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     got = QUERIES["op12_spelling"](sp, SF_SMALL)
