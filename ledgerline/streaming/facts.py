@@ -6,6 +6,10 @@ version is published, the waiting facts (and only they) are tried again with the
 next micro-batch. Resolved facts are appended once and never rewritten; the
 waiting ones are carried from batch to batch as a table of their own. Both are
 committed together with the name of the dimension version used.
+
+The history is joined by sort and merge, never broadcast: a published version is
+read from files whose compressed size says little about its rows, which would
+pass the driver twice a batch and grow with the dimension.
 """
 
 from __future__ import annotations
@@ -30,10 +34,15 @@ class FactStream:
         self.tables = BatchTables(base, {"facts": tuple(partition_by), "waiting": ()})
         self.dimension, self.keys, self.ts, self.sk, self.attrs = dimension, list(keys), ts, sk, list(attrs)
 
+    def published(self, spark: SparkSession) -> tuple[str, DataFrame]:
+        """The dimension's version name and its history, to be joined by sort and merge."""
+        version, hist = self.dimension(spark)
+        return version, hist.hint("merge")
+
     def write_batch(self, rows: DataFrame, batch_id: int) -> None:
         """The ``foreachBatch`` function."""
         spark = rows.sparkSession
-        version, hist = self.dimension(spark)
+        version, hist = self.published(spark)
         joined = point_in_time_join(rows, hist, self.keys, self.ts, self.sk, self.attrs).persist(StorageLevel.MEMORY_AND_DISK)
         kept = [joined]
         try:

@@ -269,3 +269,25 @@ def test_waiting_facts_are_tried_when_the_dimension_moves(spark, tmp, monkeypatc
     want = star.backfill_unknown(first, now["v"][1], ["id"], "at", "sk", ["v"]).unionByName(
         star.point_in_time_join(batches[1], now["v"][1], ["id"], "at", "sk", ["v"]))
     assert same(s.read(spark), want) and every.count() == want.count()
+
+
+def test_published_history_is_not_sent_to_the_driver(spark, tmp):
+    """A version read from files is small to the planner, whatever its rows: it was broadcast."""
+    from ledgerline.operators import scd2, star
+    from ledgerline.streaming.facts import FactStream
+
+    hist = scd2.scd2_initial(spark.range(50).withColumn("v", F.lit("a")), ["id"], ["v"], "2024-01-02 00:00:00")
+    sinks.publish_version(hist, os.path.join(tmp, "dim"), "v0")
+
+    def dimension(s):
+        folder, _ = sinks.pointer(s, os.path.join(tmp, "dim"))
+        return folder, sinks.read_folder(s, os.path.join(tmp, "dim"), folder)
+
+    stream = FactStream(os.path.join(tmp, "out"), dimension, ["id"], "at", "sk")
+    facts = spark.range(80).withColumn("at", F.to_timestamp(F.lit("2024-01-03")))
+    joined = star.point_in_time_join(facts, stream.published(spark)[1], ["id"], "at", "sk")
+    again = star.backfill_unknown(joined, stream.published(spark)[1], ["id"], "at", "sk")
+    for df in (joined, again):
+        assert df.where("sk <> '-1'").count() == 50
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
