@@ -50,6 +50,19 @@ def feed_over(spark, tmp, parts, name="f", crash=None, monkeypatch=None):
     return feed, queries
 
 
+def test_a_feed_of_one_split_arrives_in_several_files(spark, tmp):
+    path = os.path.join(tmp, "in")
+    rows = spark.range(0, 100_000, 1, 1).select("id", F.timestamp_seconds("id").alias("at"), F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    rows = rows.unionByName(rows.where("id % 10 = 3").select(F.lit(None).cast("bigint").alias("id"), "at", F.lit(None).cast("string").alias("text")))
+    seen = 0
+    for _ in q_stream.arrivals(rows, "at", path, 2):
+        files = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
+        total = sum(r["count"] for r in files)
+        assert max(r["count"] for r in files) <= 0.6 * (total - seen), "one task would parse most of a batch"
+        seen = total
+    assert spark.read.parquet(path).exceptAll(rows).count() == 0 and seen == rows.count()
+
+
 @pytest.fixture(scope="module")
 def reference(spark, tmp_path_factory):
     return feed_over(spark, str(tmp_path_factory.mktemp("feed")), 5)
